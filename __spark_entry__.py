@@ -60,19 +60,22 @@ def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_features(_sales(spark, sf_dir))
 
 
-def _trained(spark: SparkSession, sf_dir: str) -> forecast.Trained:
-    """Models over the weekly panel, trained on first use and then loaded."""
+def _forecaster(spark: SparkSession, sf_dir: str) -> tuple[forecast.Trained, DataFrame]:
+    """Models and forecast over the weekly panel, made on first use and then loaded."""
     path = staging_path(spark, sf_dir, "models")
     if path is None:
-        return forecast.train(_panel(spark, sf_dir))
+        panel = _panel(spark, sf_dir)
+        trained = forecast.train(panel)
+        return trained, forecast.forecast(trained.model, panel)
     if path not in _models:
-        forecast.save_trained(forecast.train(_panel(spark, sf_dir)), path)
+        forecast.run_forecaster(_sales(spark, sf_dir), path)
         _models.add(path)
-    return forecast.load_trained(spark, path)
+    return forecast.load_trained(spark, path), forecast.load_forecast(spark, f"{path}/forecast")
 
 
-def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.forecast(_trained(spark, sf_dir).model, _panel(spark, sf_dir))
+def _live_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained, _ = _forecaster(spark, sf_dir)
+    return forecast.forecast(trained.model, _panel(spark, sf_dir))
 
 
 def _normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_trend_monthly": kpi.revenue_trend_monthly,
         "revenue_trend_year": lambda s: kpi.revenue_trend_monthly(s, 1997),
         "top_products": kpi.top_products,
-        "top_products_50": lambda s: kpi.top_products(s, kpi.clamp_limit(500)),
+        "top_products_50": lambda s: kpi.requested_products(s, 500),
         "region_segment_matrix": kpi.region_segment_matrix,
         "sales_rep_leaderboard": kpi.sales_rep_leaderboard,
         "discount_impact": kpi.discount_impact,
@@ -132,12 +135,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_folder = {
         "normalize_text": _normalized_texts,
         "adhoc_select": _adhoc,
-        "model_metrics": lambda spark, d: _trained(spark, d).metrics,
-        "model_info": lambda spark, d: forecast.model_info(_trained(spark, d)),
-        "feature_importance": lambda spark, d: forecast.top_tree_features(_trained(spark, d)),
-        "forecast_8w": _forecast,
-        "forecast_lakhs": lambda spark, d: forecast.forecast_in_lakhs(_forecast(spark, d)),
-        "forecast_summary": lambda spark, d: forecast.forecast_summary(_forecast(spark, d)),
+        "forecast_8w": _live_forecast,
+    }
+    on_trained = {
+        "model_metrics": lambda trained: trained.metrics,
+        "model_info": forecast.model_info,
+        "feature_importance": forecast.top_tree_features,
+    }
+    on_forecast = {
+        "forecast_lakhs": forecast.forecast_in_lakhs,
+        "forecast_summary": forecast.forecast_summary,
     }
 
     def over(load, query):
@@ -146,10 +153,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def direct(query):
         return lambda spark, sf_dir: _shown(query(configure(spark), sf_dir))
 
+    def trained(spark: SparkSession, sf_dir: str):
+        return _forecaster(configure(spark), sf_dir)[0]
+
+    def predicted(spark: SparkSession, sf_dir: str):
+        return _forecaster(configure(spark), sf_dir)[1]
+
     return (
         {k: over(_raw, q) for k, q in on_raw.items()}
         | {k: over(_sales, q) for k, q in on_sales.items()}
         | {k: direct(q) for k, q in on_folder.items()}
+        | {k: over(trained, q) for k, q in on_trained.items()}
+        | {k: over(predicted, q) for k, q in on_forecast.items()}
     )
 
 

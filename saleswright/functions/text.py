@@ -13,6 +13,9 @@ _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{IsTitlecase}"
 # U+FDD0 is a noncharacter set aside for internal use, so no text contains it.
 _SEAM = "\ufdd0 "
 
+# A single ASCII word, with digits and signs after its letters only.
+_WORD = r"^[A-Za-z]++[!-@]*+\z"
+
 
 def strip(c: Column) -> Column:
     """Remove white space of any kind from both ends."""
@@ -31,4 +34,6 @@ def title_case(c: Column) -> Column:
 
 
 def normalize(c: Column) -> Column:
-    return title_case(strip(c))
+    """Stripped title case; single words, the usual label, go a shorter way."""
+    word = F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 2**31 - 1)))
+    return F.when(c.rlike(_WORD), word).otherwise(title_case(strip(c)))

@@ -100,6 +100,11 @@ def clamp_limit(limit: int | None) -> int:
     return max(1, min(10 if limit is None else limit, MAX_PRODUCTS))
 
 
+def requested_products(sales: DataFrame, limit: int | None = None) -> DataFrame:
+    """Top products for a client, who may ask for 1 to 50."""
+    return top_products(sales, clamp_limit(limit))
+
+
 def region_segment_matrix(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("region", "segment")

@@ -10,22 +10,24 @@ from ..schema import PUBLISHED_MARGIN, SEQUENCE
 from .raw import conform
 
 
-def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_sales_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Raw sales with the position of each row in its file.
 
     Columns are those of the header, so a file may lack optional ones. Values
     are read as text and typed by us: inference would cost a second pass and
     could differ between files. File, block and the rising id inside a block
     give the order of rows without any sort, and give it again on a retry.
-    The raw margin is not kept; cleaning computes it anew.
+    The raw margin is not kept; cleaning computes it anew. ``multiline`` allows
+    line breaks inside quotes, at the price of one task per file.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.option("header", True).option("multiLine", multiline).csv(path).columns
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     rows = (
         spark.read.schema(text)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("enforceSchema", False)
+        .option("multiLine", multiline)
         .csv(path)
     )
     position = F.struct(

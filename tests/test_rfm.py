@@ -1,0 +1,94 @@
+from datetime import date
+
+from frames import frame, money, twenty_orders
+from pyspark.sql import functions as F
+
+from saleswright.operators import clean, customer_value, lookup_by_key, rank_customers, with_rfm
+from saleswright.operators.rfm import rfm_segment
+
+
+def test_values_per_customer(spark):
+    df = clean(
+        frame(
+            spark,
+            {"customer_id": "A", "order_date": date(2024, 3, 1), "sales": money(10)},
+            {"customer_id": "A", "order_date": date(2024, 3, 11), "sales": money("5.50")},
+            {"customer_id": "B", "order_date": date(2024, 3, 31), "sales": money(1)},
+            {"customer_id": None, "order_date": date(2024, 4, 10), "sales": money(7)},
+        )
+    )
+    got = {r.customer_id: (r.recency_days, r.frequency, r.monetary) for r in customer_value(df).collect()}
+    assert got == {"A": (30, 2, money("15.50")), "B": (10, 1, money(1))}
+    joined = with_rfm(df)
+    assert joined.count() == 4
+    assert joined.filter("customer_id IS NULL AND recency_days IS NULL AND monetary IS NULL").count() == 1
+
+
+def test_segments_first_rule_wins_and_bounds_are_inclusive(spark):
+    cases = [(30, 10, "Champions"), (30, 9, "Loyal"), (60, 5, "Loyal"), (60, 4, "At Risk"), (90, 1, "At Risk"),
+             (91, 99, "Lost"), (None, None, "Lost")]
+    df = spark.createDataFrame([(r, f, s) for r, f, s in cases], "r int, f int, s string")
+    assert df.filter(rfm_segment(F.col("r"), F.col("f")) != F.col("s")).count() == 0
+
+
+def test_ranking(spark):
+    df = clean(
+        frame(
+            spark,
+            {"customer_id": "A", "customer_name": "Ann", "sales": money(10)},
+            {"customer_id": "A", "customer_name": "Anna", "sales": money(20)},
+            {"customer_id": "B", "customer_name": "Bo", "sales": money(40)},
+            {"customer_id": None, "customer_name": "?", "sales": money(99)},
+        )
+    )
+    got = [(r.customer_id, r.customer_name, r.monetary) for r in rank_customers(df).collect()]
+    assert got == [("B", "Bo", 40), ("A", "Ann", 30), ("A", "Anna", 30), (None, "?", None)]
+    assert len(rank_customers(df, limit=2).collect()) == 2
+
+
+def test_ranking_is_a_top_k(sales, plan):
+    assert "TakeOrderedAndProject(limit=30" in plan(rank_customers(sales))
+
+
+def skewed(spark, n=6000):
+    """A third of the rows under one key, a third without a key, the rest spread."""
+    return spark.range(n).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 3 == 2, (F.col("id") % 1999).cast("string"))
+        .alias("key"),
+    )
+
+
+def test_lookup_is_exact_under_skew(spark):
+    rows = skewed(spark)
+    per_key = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"), F.max("row").alias("top"))
+    want = {r.row: (r.key, r.n, r.top) for r in rows.join(per_key, "key", "left").collect()}
+    for threshold in ("10485760", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            got = lookup_by_key(rows, per_key, "key", weight="n", spread_on="row").collect()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert len(got) == 6000
+        assert {r.row: (r.key, r.n, r.top) for r in got} == want
+
+
+def test_lookup_spreads_hot_and_missing_keys(spark):
+    rows = skewed(spark, 30000)
+    per_key = rows.filter("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_by_key(rows, per_key, "key", weight="n", spread_on="row")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 30000
+    assert max(sizes) < 1.5 * 30000 / 8
+
+
+def test_no_row_is_paired_with_all_others(spark, plan):
+    text = plan(with_rfm(clean(twenty_orders(spark))))
+    assert "NestedLoop" not in text and "Cartesian" not in text
