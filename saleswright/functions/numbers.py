@@ -11,6 +11,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..schema import FRACTION, RAW_FRACTION
+
 SIX = "decimal(28,6)"
 
 
@@ -35,8 +37,8 @@ def average(c: Column, digits: int = 2, scale: int = 1) -> Column:
 
 def clip_fraction(c: Column) -> Column:
     """Missing becomes 0; the rest is held inside [0, 1]."""
-    zero, one = (F.lit(Decimal(n)).cast("decimal(4,2)") for n in (0, 1))
-    return F.least(one, F.greatest(zero, F.coalesce(c, zero)))
+    zero, one = (F.lit(Decimal(n)).cast(RAW_FRACTION) for n in (0, 1))
+    return F.least(one, F.greatest(zero, F.coalesce(c.cast(RAW_FRACTION), zero))).cast(FRACTION)
 
 
 def flag(condition: Column) -> Column:

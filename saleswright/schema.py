@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
-FRACTION = T.DecimalType(4, 2)
+# Wide enough in the raw data for values that cleaning then clips to [0, 1].
+RAW_FRACTION = T.DecimalType(18, 6)
+FRACTION = T.DecimalType(7, 6)
 
 RAW = T.StructType(
     [
@@ -20,7 +22,7 @@ RAW = T.StructType(
         T.StructField("product_category", T.StringType()),
         T.StructField("quantity", T.IntegerType()),
         T.StructField("unit_price", MONEY),
-        T.StructField("discount", FRACTION),
+        T.StructField("discount", RAW_FRACTION),
         T.StructField("sales", MONEY),
         T.StructField("cost", MONEY),
         T.StructField("profit", MONEY),

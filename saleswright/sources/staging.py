@@ -52,5 +52,18 @@ def written_once(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(spark, path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all intermediates of this application."""
+    root = working_dir(spark)
+    if root is not None:
+        own = f"{root}/saleswright/{spark.sparkContext.applicationId}"
+        _delete(spark, own)
+        _written.difference_update([p for p in _written if p.startswith(f"{own}/")])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

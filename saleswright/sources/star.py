@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW, SEQUENCE
+from ..schema import RAW, RAW_FRACTION, SEQUENCE
 
 # Determines, with the line number, the order id; the join on it leaves the
 # rows partitioned for the duplicate check.
@@ -72,7 +72,7 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
         "product_category": F.col("p_type"),
         "quantity": F.col("l_quantity").cast("int"),
         "unit_price": F.round(price, 2).cast("decimal(18,2)"),
-        "discount": discount,
+        "discount": discount.cast(RAW_FRACTION),
         "sales": sales,
         "cost": cost,
         "profit": (sales - cost).cast("decimal(18,2)"),

@@ -6,6 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from saleswright.session import local_session  # noqa: E402
+from saleswright.sources.staging import drop_staged  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -14,6 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8)
     yield session
+    drop_staged(session)
     session.stop()
 
 

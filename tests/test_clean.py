@@ -64,9 +64,9 @@ def test_invalid_rows_go(spark):
 
 
 def test_discount_fill_and_clip(spark):
-    df = clean(frame(spark, {"discount": Decimal("-0.10")}, {"discount": Decimal("1.50")}, {"discount": None}))
+    df = clean(frame(spark, {"discount": Decimal("-0.10")}, {"discount": Decimal("1.50")}, {"discount": None}, {"discount": Decimal("150"), "quantity": 1}, {"discount": Decimal("0.125")}))
     got = {r.order_id: (r.discount, r.is_discounted) for r in df.collect()}
-    assert got == {"ORD-0": (0, 0), "ORD-1": (1, 1), "ORD-2": (0, 0)}
+    assert got == {"ORD-0": (0, 0), "ORD-1": (1, 1), "ORD-2": (0, 0), "ORD-3": (1, 1), "ORD-4": (Decimal("0.125"), 1)}
 
 
 def test_missing_profit_is_zero(spark):

@@ -6,7 +6,7 @@ from frames import frame, money
 from pyspark.sql import functions as F
 
 from saleswright.operators import clean, issues, with_rfm
-from saleswright.plans import pipeline
+from saleswright.plans import pipeline, views
 from saleswright.plans.forecast import Settings
 from saleswright.schema import MARGIN, RAW
 from saleswright.session import shuffle_partitions
@@ -88,14 +88,22 @@ def test_table_round_trip(spark, tmp_path):
     assert "profit_margin_%" in spark.read.parquet(path).columns
 
 
-def test_catalog_table(spark):
+def test_catalog_table_and_views(spark):
+    for name in views.VIEWS:
+        spark.catalog.dropTempView(name)
     spark.sql("CREATE DATABASE IF NOT EXISTS shop")
     try:
         df = clean(frame(spark, {}, {}))
         for _ in range(2):
             save_sales_table(df, "shop.sales")
         assert spark.table("shop.sales").select("`profit_margin_%`").count() == 2
+        views.create_views(spark, "shop.sales", temporary=False)
+        assert spark.table("monthly_kpi").first().total_orders == 2
+        save_sales_table(df.limit(1), "shop.sales")
+        assert spark.table("category_kpi").first().total_orders == 1
     finally:
+        for name in views.VIEWS:
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
         spark.sql("DROP DATABASE shop CASCADE")
 
 
