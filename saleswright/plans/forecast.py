@@ -318,8 +318,13 @@ def model_info(trained: Trained) -> DataFrame:
 def run_forecaster(
     sales: DataFrame, path: str, series: Sequence[str] = (), settings: Settings = Settings(), weeks: int = WEEKS
 ) -> tuple[Trained, DataFrame]:
-    """Features, training and forecast of cleaned sales, all stored under ``path``."""
-    panel = build_features(sales, series)
+    """Features, training and forecast of cleaned sales, all stored under ``path``.
+
+    The panel is checkpointed: training and forecast both start from it, and
+    sales should be read and aggregated once.
+    """
+    ensure_checkpoint_dir(sales.sparkSession)
+    panel = build_features(sales, series).checkpoint()
     trained = train(panel, series, settings)
     save_trained(trained, path)
     save_forecast(forecast(trained.model, panel, weeks, series), f"{path}/forecast")

@@ -149,3 +149,16 @@ def test_csv_to_table(spark, tmp_path):
     sales = pipeline.run_etl(read_sales_csv(spark, raw_path), str(tmp_path / "out"))
     assert sorted(r.order_id for r in sales.collect()) == ["A", "D"]
     assert [r.frequency for r in sales.collect()] == [2, 2]
+
+
+def test_command_line(spark, sales, tmp_path, monkeypatch):
+    from saleswright import __main__ as command
+    from saleswright.plans import forecast
+
+    raw_path, root = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_csv(sales.select(*RAW.fieldNames()), raw_path)
+    quick = lambda *a, **kw: pipeline.run_all(*a, **kw, settings=Settings(trees=3, rounds=2, bins=16))
+    monkeypatch.setattr(command, "run_all", quick)
+    command.main([raw_path, root, "--series", "region", "--weeks", "2"])
+    assert read_sales(spark, f"{root}/sales").count() == 4599
+    assert forecast.load_forecast(spark, f"{root}/models/forecast").count() == 10
