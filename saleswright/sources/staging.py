@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..session import working_dir
-from .tables import read_sales, write_sales
+from .tables import publish, read_sales, write_sales
 
-_written: set[str] = set()
+_written: dict[str, StructType] = {}
 
 
 def staging_path(spark: SparkSession, source: str, name: str) -> str | None:
@@ -35,9 +36,10 @@ def staged(spark: SparkSession, source: str, name: str, build: Callable[[], Data
     if path is None:
         return build()
     if path not in _written:
-        write_sales(build(), path)
-        _written.add(path)
-    return read_sales(spark, path)
+        sales = build()
+        write_sales(sales, path)
+        _written[path] = publish(sales).schema
+    return read_sales(spark, path, _written[path])
 
 
 @contextmanager
@@ -61,7 +63,8 @@ def drop_staged(spark: SparkSession) -> None:
     if root is not None:
         own = f"{root}/saleswright/{spark.sparkContext.applicationId}"
         _delete(spark, own)
-        _written.difference_update([p for p in _written if p.startswith(f"{own}/")])
+        for path in [p for p in _written if p.startswith(f"{own}/")]:
+            del _written[path]
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -14,6 +14,32 @@ from ..schema import RAW, RAW_FRACTION, SEQUENCE
 ORDER_KEY = "order_key"
 STAR_KEYS = (ORDER_KEY, "order_id")
 
+# Columns read from each table. Naming the types spares a job per table that
+# would only look them up in the files.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": """l_orderkey bigint, l_linenumber int, l_shipdate timestamp_ntz, l_partkey bigint,
+                   l_suppkey bigint, l_quantity double, l_extendedprice double, l_discount double,
+                   l_tax double, l_returnflag string, l_linestatus string""",
+}
+# Tell apart line items with the same order and line number.
+TIE_BREAK = (
+    "l_shipdate",
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+)
+
 
 def star_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The raw sales columns plus ``order_key`` and the input position.
@@ -24,33 +50,16 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
     once per large dimension and last on the order key.
     """
 
-    def table(name: str, *columns: str) -> DataFrame:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").select(*columns)
+    def table(name: str) -> DataFrame:
+        return spark.read.schema(TABLES[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-    places = table("nation", "n_nationkey", "n_regionkey").join(
-        table("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    buyers = table("customer", "c_custkey", "c_name", "c_nationkey", "c_mktsegment").join(
-        places, F.col("c_nationkey") == F.col("n_nationkey")
-    )
-    orders = table("orders", "o_orderkey", "o_custkey", "o_orderdate").join(
-        buyers, F.col("o_custkey") == F.col("c_custkey")
-    )
-    line_columns = (
-        "l_shipdate",
-        "l_partkey",
-        "l_suppkey",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        "l_linestatus",
-    )
+    places = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    buyers = table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
+    orders = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     lines = (
-        table("lineitem", "l_orderkey", "l_linenumber", *line_columns)
-        .join(table("part", "p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("supplier", "s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+        table("lineitem")
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     )
 
@@ -80,5 +89,5 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
     return lines.select(
         *[columns[f.name].alias(f.name) for f in RAW.fields],
         F.col("l_orderkey").alias(ORDER_KEY),
-        F.struct(*line_columns).alias(SEQUENCE),
+        F.struct(*TIE_BREAK).alias(SEQUENCE),
     )

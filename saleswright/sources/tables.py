@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..schema import MARGIN, PUBLISHED_MARGIN
 
@@ -28,5 +29,7 @@ def save_sales_table(sales: DataFrame, name: str = "sales") -> None:
     publish(sales).write.mode("overwrite").format("parquet").partitionBy(YEAR).saveAsTable(name)
 
 
-def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumnRenamed(PUBLISHED_MARGIN, MARGIN)
+def read_sales(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The stored table; a known schema saves looking it up in the files."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).withColumnRenamed(PUBLISHED_MARGIN, MARGIN)
