@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,37 @@ ADHOC = """
 _models: set[str] = set()
 
 
+def _optional(name: str):
+    """A module of the document pipeline, or None where that part is not installed.
+
+    Only its own absence counts; an error inside it is raised.
+    """
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as e:
+        if e.name in (name, "saleswright.llm", "corpus_pipeline"):
+            return None
+        raise
+
+
+_llm = _optional("saleswright.llm.queries")
+_pipeline = _optional("corpus_pipeline") if _llm else None
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = dict(_llm.queries()) if _llm else {}
+    if _pipeline:
+        found["pipeline"] = _pipeline.run
+    return found
+
+
+def _llm_oracles() -> dict[str, str]:
+    found = dict(_llm.oracle_sql()) if _llm else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        found["pipeline"] = _pipeline.ORACLE_SQL
+    return found
+
+
 def _shown(df: DataFrame) -> DataFrame:
     """Amounts as doubles and dates as ISO text, the form clients see."""
 
@@ -165,9 +197,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         | {k: direct(q) for k, q in on_folder.items()}
         | {k: over(trained, q) for k, q in on_trained.items()}
         | {k: over(predicted, q) for k, q in on_forecast.items()}
+        | _llm_queries()
     )
 
 
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL; Spark ML results have none."""
-    return dict(ORACLES)
+    return dict(ORACLES) | _llm_oracles()
