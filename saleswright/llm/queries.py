@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import configure
 from .common import table
 from .packing import pack
+from .pii import BASE_KINDS, find_pii
 from .sharding import assign_shards
 
 
@@ -26,6 +27,26 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    spans = F.col("pii")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS))
+
+    def count(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_pii(docs).select(
+        "doc_id",
+        *map(count, BASE_KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(configure(spark), sf_dir, "documents"))
 
@@ -33,6 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_sharding": op3_sharding,
+        "op7_pii": op7_pii,
         "op10_packing": op10_packing,
     }
 
