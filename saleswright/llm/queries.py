@@ -11,7 +11,14 @@ from ..session import configure
 from .common import table
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
+from .quality import COUNTS, SPREAD, quality
 from .sharding import assign_shards
+from .simhash import near_duplicates
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    return quality(docs).select("doc_id", *COUNTS[:5], "base_failed", "kept", "lang", "source", *SPREAD)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +34,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
 
@@ -53,7 +65,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op3_sharding": op3_sharding,
+        "op5_simhash": op5_simhash,
         "op7_pii": op7_pii,
         "op10_packing": op10_packing,
     }
