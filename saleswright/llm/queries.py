@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from .common import table
+from .decontaminate import find_leaks
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
@@ -21,6 +22,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs).select("doc_id", *COUNTS[:5], "base_failed", "kept", "lang", "source", *SPREAD)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tiles")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents")
     return assign_shards(docs, shards=16).select(
@@ -66,6 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_decontaminate": op2_decontaminate,
         "op3_sharding": op3_sharding,
         "op5_simhash": op5_simhash,
         "op7_pii": op7_pii,
