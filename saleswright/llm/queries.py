@@ -13,6 +13,7 @@ from .decontaminate import find_leaks
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
+from . import secrets
 from .sharding import assign_shards
 from .simhash import near_duplicates
 
@@ -40,6 +41,22 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id", *map(count, secrets.BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -74,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_decontaminate": op2_decontaminate,
         "op3_sharding": op3_sharding,
+        "op4_secrets": op4_secrets,
         "op5_simhash": op5_simhash,
         "op7_pii": op7_pii,
         "op10_packing": op10_packing,
