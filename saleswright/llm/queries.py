@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
+from . import language, secrets
 from .common import table
 from .decontaminate import find_leaks
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
-from . import secrets
 from .sharding import assign_shards
 from .simhash import near_duplicates
 
@@ -62,6 +62,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    fold = language.remainder(F.col("doc_id"))
+    model = language.train(docs.filter(fold != 1))
+    held_out = F.coalesce(fold == 1, F.lit(False)).alias("held_out")
+    return language.identify(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
 
@@ -93,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": op3_sharding,
         "op4_secrets": op4_secrets,
         "op5_simhash": op5_simhash,
+        "op6_language": op6_language,
         "op7_pii": op7_pii,
         "op10_packing": op10_packing,
     }
