@@ -17,7 +17,7 @@ from .common import text_or_empty
 
 # Fixed values. U+FDD0 and U+FDD2 are noncharacters: the mark, and what stands in
 # for a mark that was already in the text.
-MARK, STAND_IN = "﷐", "﷒"
+MARK, STAND_IN = "\ufdd0", "\ufdd2"
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9]?)"

@@ -11,6 +11,8 @@ from ..session import configure
 from . import language, secrets
 from .common import table
 from .decontaminate import find_leaks
+from .html_text import extract
+from .html_text import train as train_chain
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
@@ -90,6 +92,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(configure(spark), sf_dir, "pages")
+    return extract(pages, train_chain(pages))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(configure(spark), sf_dir, "documents"))
 
@@ -103,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
+        "op9_html": op9_html,
         "op10_packing": op10_packing,
     }
 

@@ -63,7 +63,7 @@ ODD = [
     "1.2.3.4.5.6.7.8 999.1.1.1 0001.2.3.255 1.2.3.256",
     "4111 1111 1111 1111, 4111-1111-1111-1111x4111111111111112",
     "+1 (017) 555-7713 ++49 30 1234567) +1 +12345678901234567",
-    "﷐ marks ﷐ me@x.org ﷒ \U0001f600 you@x.org",
+    "\ufdd0 marks \ufdd0 me@x.org \ufdd2 \U0001f600 you@x.org",
     "a" * 3_000,
     "1" * 3_000 + "@",
     "a.b@" * 500,
@@ -78,7 +78,7 @@ def test_odd_texts(spark):
     for i, text in enumerate(ODD):
         spans = [s for s in rows[i].pii if s.kind in BASE]
         assert {k: [(s.start, s.end) for s in spans if s.kind == k] for k in BASE} == brute(text)
-        assert all(text[s.start : s.end] == s.value.replace("﷒", "﷐") for s in rows[i].pii)
+        assert all(text[s.start : s.end] == s.value.replace("\ufdd2", "\ufdd0") for s in rows[i].pii)
         assert rows[i]._scan2 == "kept"
 
 
