@@ -13,6 +13,7 @@ from .common import table
 from .decontaminate import find_leaks
 from .html_text import extract
 from .html_text import train as train_chain
+from .licenses import scan_licenses
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
@@ -92,6 +93,22 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source, thousands, twenty-fives of the id.
+
+    Those with an even id that speak of a licence lie one folder up as licence
+    files, so that the folders below inherit from them.
+    """
+    docs = table(configure(spark), sf_dir, "documents")
+    doc_id = F.coalesce(F.col("doc_id"), F.lit(0))
+    up = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(doc_id / 1000).cast("string"))
+    as_license = F.coalesce(F.col("text").rlike("(?i)licen[sc]"), F.lit(False)) & (doc_id % 2 == 0)
+    path = F.when(as_license, F.concat(up, F.lit("/LICENSE."), doc_id.cast("string"))).otherwise(
+        F.concat_ws("/", up, F.floor(doc_id / 25).cast("string"), F.concat(doc_id.cast("string"), F.lit(".txt")))
+    )
+    return scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(configure(spark), sf_dir, "pages")
     return extract(pages, train_chain(pages))
@@ -110,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_language": op6_language,
         "op7_pii": op7_pii,
+        "op8_licenses": op8_licenses,
         "op9_html": op9_html,
         "op10_packing": op10_packing,
     }

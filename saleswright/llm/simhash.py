@@ -31,6 +31,8 @@ MAX_BITS = 3
 #: First bit and number of bits of the blocks, one of which is left out.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 _CHUNK = 200_000
+#: Most rows (of two numbers) that are broadcast.
+FEW = 500_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
@@ -185,15 +187,18 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS) -> Dat
     """``docs`` with one row of each group of near-duplicates: that of the smallest id.
 
     Of rows with equal ids, or none, the text with the smallest hash stays, and
-    of wholly repeated rows one. Columns stay as they are.
+    of wholly repeated rows one. Columns stay as they are. The rows to drop are
+    broadcast if they have been counted to be few, and otherwise shuffled.
     """
     found = near_duplicates(docs, width, bits)
     here = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("kept_hash"))
-    kept = fixed(found.filter(here).groupBy("doc_id", "text_hash").count())
-    names = kept.select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_kept_hash"))
-    result = docs.join(names, same, "left_semi")
-    if kept.filter("count > 1").isEmpty():
+    counted = fixed(found.groupBy("doc_id", "text_hash", here.alias("kept")).count())
+    dropped = counted.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    if dropped.count() <= FEW:
+        dropped = F.broadcast(dropped)
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
+    result = docs.join(dropped, same, "left_anti")
+    if counted.filter("kept AND count > 1").isEmpty():
         return result
-    hashed = result.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
-    return hashed.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return result.withColumn("_text_hash", text_hash).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
