@@ -24,3 +24,11 @@ def fixed(df: DataFrame) -> DataFrame:
 
 def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` starts with it."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name

@@ -170,14 +170,14 @@ def scan_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     the highest cosine counts, then the first by name. A missing path counts as
     empty, a file in the root; a missing text has no passages; rows with equal
     path and text get equal results; an empty table gives no rows. Extra columns
-    named like a result or starting with ``_lic`` are replaced.
+    named like a result are replaced, all others stay.
     """
     results = ("license", "origin", "cosine", "folder")
-    extra = [c for c in files.columns if c not in (*results, "text") and not c.startswith("_lic")]
+    extra = [c for c in files.columns if c not in (*results, "text")]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = fixed(
         files.select(
-            *extra,
+            F.struct(*extra).alias("_lic_extra"),
             F.coalesce(F.col("path").cast("string"), F.lit("")).alias("_lic_path"),
             F.xxhash64(text).alias("_lic_hash"),
             passages(text).alias("_lic_passages"),
@@ -217,7 +217,7 @@ def scan_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     )
     has_own, has_near = F.col("_own").isNotNull(), F.col("_near").isNotNull()
     return joined.select(
-        *extra,
+        *[F.col("_lic_extra")[c].alias(c) for c in extra],
         F.coalesce("_own", "_near._given").alias("license"),
         F.when(has_own, "own").when(has_near, "inherited").otherwise("none").alias("origin"),
         F.coalesce("_cosine", "_near._given_cosine").alias("cosine"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import fresh, text_or_empty
 
 # Fixed values. U+FDD0 and U+FDD2 are noncharacters: the mark, and what stands in
 # for a mark that was already in the text.
@@ -107,21 +107,21 @@ def _starts(lengths: str) -> str:
         (b, base) -> transform(slice({running.format("b")}, 1, size(b)), x -> x + base))))[0]"""
 
 
-def _matches(name: str) -> str:
+def _matches(p: str) -> str:
     """SQL: matches from the pieces of a pattern, every second of which is one."""
-    p, n, at = f"_{name}", f"_{name}_n", f"_{name}_at"
+    n, at = f"{p}_n", f"{p}_at"
     near = f"concat(right({p}[2 * k - 2], {NEARBY}), ' ', left({p}[2 * k], {NEARBY}))"
     one = f"""struct({at}[2 * k - 1] AS start, {at}[2 * k - 1] + {n}[2 * k - 1] AS end,
                      {p}[2 * k - 1] AS value, lower({near}) AS near)"""
     return f"CASE WHEN size({p}) > 1 THEN transform(sequence(1, (size({p}) - 1) div 2), k -> {one}) END"
 
 
-def _spans(name: str, kind: str) -> str:
+def _spans(p: str, kind: str) -> str:
     score = f"""{SURE[kind]}D + CASE WHEN m.near RLIKE '{NEAR[kind]}' THEN {BONUS}D ELSE 0D END
                 - CASE WHEN m.near RLIKE '{AGAINST}' THEN {MALUS}D ELSE 0D END"""
     span = f"""struct('{kind}' AS kind, m.start AS start, m.end AS end, m.value AS value,
                       round(least(1D, greatest(0D, {score})), 2) AS score)"""
-    found = f"transform(filter(_{name}_m, m -> {VALID[kind]}), m -> {span})"
+    found = f"transform(filter({p}_m, m -> {VALID[kind]}), m -> {span})"
     if kind in EXTRA_KINDS:
         found = f"filter({found}, s -> s.score >= {ACCEPT}D)"
     return f"coalesce({found}, cast(array() AS array<{SPAN}>))"
@@ -137,20 +137,19 @@ def find_pii(docs: DataFrame, text: str = "text", result: str = "pii") -> DataFr
     spans, repeated rows have equal spans, and other columns stay as they are
     (a column named like ``result`` is replaced).
     """
-    df = docs.withColumn("_scan", F.translate(text_or_empty(F.col(text)), MARK, STAND_IN))
-    helpers = ["_scan"]
-    for name, (pattern, _) in PATTERNS.items():
-        df = df.withColumn(f"_{name}_s", F.regexp_replace("_scan", pattern, f"{MARK}$0{MARK}"))
-        helpers += [f"_{name}{x}" for x in ("_s", "", "_n", "_at", "_m")]
-    steps: list[dict[str, Column]] = [{}, {}, {}, {}]
-    for name in PATTERNS:
-        parts = F.when(F.contains(f"_{name}_s", F.lit(MARK)), F.split(f"_{name}_s", MARK, -1))
-        steps[0][f"_{name}"] = parts
-        steps[1][f"_{name}_n"] = F.expr(f"transform(_{name}, x -> char_length(x))")
-        steps[2][f"_{name}_at"] = F.expr(f"CASE WHEN size(_{name}_n) > 1 THEN {_starts(f'_{name}_n')} END")
-        steps[3][f"_{name}_m"] = F.expr(_matches(name))
+    prefix = fresh(docs, "_pii")
+    scan, pieces = f"{prefix}_scan", {name: f"{prefix}_{name}" for name in PATTERNS}
+    df = docs.withColumn(scan, F.translate(text_or_empty(F.col(text)), MARK, STAND_IN))
+    steps: list[dict[str, Column]] = [{} for _ in range(5)]
+    for name, p in pieces.items():
+        fenced = F.regexp_replace(scan, PATTERNS[name][0], f"{MARK}$0{MARK}")
+        steps[0][f"{p}_s"] = fenced
+        steps[1][p] = F.when(F.contains(f"{p}_s", F.lit(MARK)), F.split(f"{p}_s", MARK, -1))
+        steps[2][f"{p}_n"] = F.expr(f"transform({p}, x -> char_length(x))")
+        steps[3][f"{p}_at"] = F.expr(f"CASE WHEN size({p}_n) > 1 THEN {_starts(f'{p}_n')} END")
+        steps[4][f"{p}_m"] = F.expr(_matches(p))
     for step in steps:
         df = df.withColumns(step)
-    home = {kind: name for name, (_, kinds) in PATTERNS.items() for kind in kinds}
+    home = {kind: pieces[name] for name, (_, kinds) in PATTERNS.items() for kind in kinds}
     spans = F.expr("concat(" + ", ".join(_spans(home[k], k) for k in (*BASE_KINDS, *EXTRA_KINDS)) + ")")
-    return df.withColumn(result, spans).drop(*helpers)
+    return df.withColumn(result, spans).drop(scan, *[c for step in steps for c in step])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fixed
+from .common import fixed, fresh
 from .components import components
 
 SHINGLE = 3
@@ -193,12 +193,13 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, bits: int = MAX_BITS) -> Dat
     found = near_duplicates(docs, width, bits)
     here = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("kept_hash"))
     counted = fixed(found.groupBy("doc_id", "text_hash", here.alias("kept")).count())
-    dropped = counted.filter("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    name = fresh(docs, "_dropped")
+    dropped = counted.filter("NOT kept").select(F.col("doc_id").alias(name), F.col("text_hash").alias(f"{name}_hash"))
     if dropped.count() <= FEW:
         dropped = F.broadcast(dropped)
     text_hash = F.xxhash64(F.col("text").cast("string"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(name)) & (text_hash == F.col(f"{name}_hash"))
     result = docs.join(dropped, same, "left_anti")
     if counted.filter("kept AND count > 1").isEmpty():
         return result
-    return result.withColumn("_text_hash", text_hash).dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    return result.withColumn(name, text_hash).dropDuplicates(["doc_id", name]).drop(name)

@@ -1,0 +1,96 @@
+"""Packing: exact round trip of the ids, little padding, best fillings."""
+
+import itertools
+import zlib
+
+import numpy as np
+from conftest import SF_SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from saleswright.llm.packing import TOKENIZER, WordEncoder, fill, pack, pack_window
+from saleswright.llm.queries import queries
+
+
+def tokenizer():
+    import public_tokenizers
+
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+
+
+def check(rows, capacity):
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for pieces in sequences.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at and r.length > 0
+            at += r.length
+        assert at <= capacity
+    return sum(r.length for r in rows) / (capacity * max(1, len(sequences)))
+
+
+def test_query_keeps_every_id_once(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    t = tokenizer()
+    rows = queries()["op10_packing"](spark, SF_SMALL).collect()
+    assert check(rows, 4096) > 0.97
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    assert by_doc.keys() == texts.keys()
+    for doc_id, pieces in by_doc.items():
+        ids = [*t.encode(texts[doc_id] or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert (r.start, r.doc_tokens) == (at, len(ids))
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+
+
+def test_odd_rows_round_trip(spark):
+    texts = [None, "", " \n\t ", "a", "a", "word " * 3000, "It's \x01 \x85 é́ <|endoftext|>", "\x01", "一二三" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = docs.union(docs.filter("doc_id = 3")).selectExpr("*", "0 AS start", "'x' AS sequence_id", "1 AS _window")
+    rows = pack(docs, capacity=64, window=5, keep_ids=True).collect()
+    check(rows, 64)
+    t = tokenizer()
+    for i, text in enumerate(texts):
+        pieces = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        expected = [*t.encode(text or "", add_special_tokens=False).ids, 2]
+        got = np.frombuffer(b"".join(bytes(r.ids) for r in pieces), "<u4").tolist()
+        assert got == (expected * 2 if i == 3 else expected)
+    assert pack(docs.limit(0)).collect() == []
+
+
+def test_cache_may_overflow():
+    words = [f"w{i} common words" for i in range(300)]
+    small, large = WordEncoder(TOKENIZER, limit=20), WordEncoder(TOKENIZER)
+    for i in range(0, 300, 50):
+        assert small.encode(words[i : i + 50]) == large.encode(words[i : i + 50])
+
+
+def best(counts, capacity):
+    """Fullest filling with the longest length in it, by trying all multisets."""
+    longest = max(counts)
+    rest = {k: n - (k == longest) for k, n in counts.items()}
+    choices = itertools.product(*[range(n + 1) for n in rest.values()])
+    sums = (longest + sum(k * n for k, n in zip(rest, c)) for c in choices)
+    return max(s for s in sums if s <= capacity)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), min_size=1, max_size=6))
+def test_filling_is_the_closest(counts):
+    taken = fill(counts, 40)
+    assert all(n <= counts[k] for k, n in taken.items())
+    assert sum(k * n for k, n in taken.items()) == best(counts, 40)
+
+
+def test_window_of_many_pieces_is_nearly_full():
+    lengths = np.random.default_rng(1).integers(1, 4096, 2000).tolist()
+    sequence, _ = pack_window(lengths, 4096)
+    assert sum(lengths) / (4096 * len(set(sequence))) > 0.98

@@ -73,13 +73,13 @@ ODD = [
 
 
 def test_odd_texts(spark):
-    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(ODD)], "doc_id long, text string, _scan2 string")
+    df = spark.createDataFrame([(i, t, "kept") for i, t in enumerate(ODD)], "doc_id long, text string, _pii_scan string")
     rows = {r.doc_id: r for r in find_pii(df).collect()}
     for i, text in enumerate(ODD):
         spans = [s for s in rows[i].pii if s.kind in BASE]
         assert {k: [(s.start, s.end) for s in spans if s.kind == k] for k in BASE} == brute(text)
         assert all(text[s.start : s.end] == s.value.replace("\ufdd2", "\ufdd0") for s in rows[i].pii)
-        assert rows[i]._scan2 == "kept"
+        assert rows[i]["_pii_scan"] == "kept"
 
 
 @pytest.mark.parametrize(
