@@ -1,0 +1,79 @@
+"""The pipeline stage by stage on a small table, and its parts left out."""
+
+import subprocess
+import sys
+from pathlib import Path
+
+import corpus_pipeline
+import pytest
+from conftest import SF_SMALL
+
+import __spark_entry__ as contract
+
+ROOT = Path(__file__).resolve().parents[2]
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Result of each stage over the small tables, as written and read again."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    out = [("documents", docs)]
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, docs, SF_SMALL).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out.append((name, docs))
+    return out
+
+
+def test_columns_and_order(stages):
+    assert [n for n, _ in stages[1:]] == ["language", "near_duplicates", "decontamination", "secrets", "packing"]
+    assert all(df.columns == COLUMNS for _, df in stages[:-1])
+
+
+def test_decisions(spark, stages):
+    rows = {name: {r.doc_id: r for r in df.collect()} for name, df in stages[:-1]}
+    assert len(rows["language"]) >= 0.99 * len(rows["documents"])
+    before = [r.text for r in rows["language"].values()]
+    after = [r.text for r in rows["near_duplicates"].values()]
+    assert set(before) >= set(after) and len(after) == len(set(after)) < len(before)
+    assert all(min(d for d, r in rows["language"].items() if r.text == x.text) >= i for i, x in rows["near_duplicates"].items())
+    leaked = {r.doc_id for r in contract.queries()["op2_decontaminate"](spark, SF_SMALL).collect()}
+    assert set(rows["decontamination"]) == set(rows["near_duplicates"]) - leaked
+    secret = {r.doc_id for r in contract.queries()["op4_secrets"](spark, SF_SMALL).filter("n_assign > 0").collect()}
+    changed = {i for i, r in rows["secrets"].items() if r.text != rows["decontamination"][i].text}
+    assert set(rows["secrets"]) == set(rows["decontamination"]) and changed >= secret & set(rows["secrets"])
+    assert all("[secret]" in rows["secrets"][i].text for i in changed)
+    packed = stages[-1][1].collect()
+    assert {r.doc_id for r in packed} == set(rows["secrets"])
+    assert sum(r.length for r in packed) == sum(r.doc_tokens for r in packed if r.start == 0)
+
+
+def test_run_is_the_stages_in_turn(spark, stages):
+    got = corpus_pipeline.run(spark, SF_SMALL)
+    last = stages[-1][1]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, got.select(names).collect())) == sorted(map(tuple, last.select(names).collect()))
+
+
+def test_empty_table_goes_through(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_SMALL)
+    assert docs.collect() == []
+
+
+def test_entry_without_the_document_part():
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name in ('saleswright.llm', 'corpus_pipeline'):\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "assert 'overall_kpis' in e.queries() and 'pipeline' not in e.queries() and e.oracle_sql()\n"
+        "assert not any(n.startswith('op') for n in e.queries())\n"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
