@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,11 @@ from oracle_queries import ORACLES
 from saleswright.functions import normalize
 from saleswright.operators import clean, issues, null_counts, rank_customers, with_rfm
 from saleswright.plans import adhoc, features, forecast, kpi, marts, views
+from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
 from saleswright.session import configure
-from saleswright.sources import staged, star_sales
-from saleswright.sources.staging import staging_path
-from saleswright.sources.star import STAR_KEYS
+from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv
+from saleswright.sources.staging import made_once, staging_path
+from saleswright.sources.star import ORDER_KEY
 
 ADHOC = """
     SELECT sales_rep, COUNT(*) AS orders, ROUND(SUM(sales), 2) AS revenue,
@@ -27,7 +29,25 @@ ADHOC = """
     ORDER BY revenue DESC, sales_rep
 """
 
-_models: set[str] = set()
+VIEW_ROWS = """
+    SELECT 'monthly_kpi' AS view, concat_ws('-', order_year, order_month) AS key, total_orders AS orders,
+           total_revenue AS revenue FROM monthly_kpi
+    UNION ALL SELECT 'category_kpi', product_category, total_orders, total_revenue FROM category_kpi
+    UNION ALL SELECT 'rep_performance', sales_rep, orders_closed, total_revenue FROM rep_performance
+"""
+#: The revenue column of each report table.
+MART_REVENUE = {
+    "overall_kpis": "total_revenue",
+    "monthly_trend": "revenue",
+    "top_products": "total_revenue",
+    "region_analysis": "revenue",
+    "sales_rep_kpis": "total_revenue",
+    "discount_analysis": "total_revenue",
+}
+FIXED_WEIGHTS = {"revenue_lag1": 0.5, "revenue_lag2": 0.2, "revenue_ma4": 0.2, "revenue_ma8": 0.1, "is_q4": 1000.0}
+#: Small factors: most sales fall below half a cent, quantities below one.
+FINE = {"amounts": Decimal("0.000001"), "quantities": Decimal("0.01")}
+SEGMENTS = ["Automobile", "Building", "Furniture", "Household", "Machinery"]
 
 
 def _optional(name: str):
@@ -80,7 +100,41 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(_raw(spark, sf_dir), STAR_KEYS)
+    return clean_star_sales(configure(spark), sf_dir)
+
+
+def _fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_star_sales(configure(spark), sf_dir, **FINE)
+
+
+def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales with one kind of damage in every twentieth order each.
+
+    One optional column is left out. Rows whose id is lost keep their place.
+    """
+    kind = F.col(ORDER_KEY) % 20
+
+    def damaged(at: int, column: str, value):
+        return F.when(kind == at, value).otherwise(F.col(column))
+
+    none, number = F.lit(None), lambda x: F.lit(Decimal(x))
+    sales = F.when(kind == 0, none).when(kind == 1, -F.col("sales")).when(kind == 2, number("0")).otherwise(F.col("sales"))
+    quantity = F.when(kind == 3, none).when(kind == 4, number("0")).when(kind == 5, number("-1")).otherwise(F.col("quantity"))
+    discount = (
+        F.when(kind == 6, number("-0.1")).when(kind == 7, number("1.5")).when(kind == 8, none).otherwise(F.col("discount"))
+    )
+    columns = {
+        "sales": sales.cast(MONEY),
+        "quantity": quantity.cast(QUANTITY),
+        "discount": discount.cast(RAW_FRACTION),
+        "profit": damaged(9, "profit", none),
+        "region": damaged(10, "region", F.concat(F.lit(" \t"), F.upper("region"), F.lit("\n "))),
+        "segment": damaged(11, "segment", F.lit("  ")),
+        "order_id": damaged(12, "order_id", none),
+        "customer_id": damaged(13, "customer_id", none),
+        SEQUENCE: F.struct(ORDER_KEY, "order_id", SEQUENCE),
+    }
+    return _raw(spark, sf_dir).withColumns(columns).drop("sales_rep", ORDER_KEY)
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,12 +153,64 @@ def _forecaster(spark: SparkSession, sf_dir: str) -> tuple[forecast.Trained, Dat
         panel = _panel(spark, sf_dir)
         trained = forecast.train(panel)
         return trained, forecast.forecast(trained.model, panel)
-    if path not in _models:
-        forecast.run_forecaster(_sales(spark, sf_dir), path)
-        _models.add(path)
+    made_once(path, lambda: forecast.run_forecaster(_sales(spark, sf_dir), path))
     return forecast.load_trained(spark, path), forecast.load_forecast(spark, f"{path}/forecast")
 
 
+def _own_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    path = staging_path(spark, sf_dir, name)
+    if path is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return path
+
+
+def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw rows out to CSV in key order, back through the CSV source, cleaned."""
+    path = _own_path(spark, sf_dir, "raw_csv")
+    raw = _raw(spark, sf_dir).orderBy(ORDER_KEY, "order_id", SEQUENCE).drop(ORDER_KEY, SEQUENCE)
+    made_once(path, lambda: write_csv(raw, path))
+    return clean(read_sales_csv(spark, path))
+
+
+def _views_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three created views, read by name and put under each other."""
+    desk = adhoc.AdHoc(spark)
+    desk.register(_sales(spark, sf_dir))
+    return desk.select(VIEW_ROWS)
+
+
+def _report_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per report table as written: its rows and its total revenue."""
+    path = _own_path(spark, sf_dir, "report")
+    made_once(path, lambda: marts.write_marts(marts.report_marts(_sales(spark, sf_dir)), path))
+    rows = None
+    for name, revenue in MART_REVENUE.items():
+        written = spark.read.parquet(f"{path}/{name}")
+        row = written.agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(revenue), 2).alias("total"))
+        row = row.select(F.lit(name).alias("mart"), "rows", "total")
+        rows = row if rows is None else rows.union(row)
+    return rows
+
+
+def _fixed_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recursion with weights that are known beforehand."""
+    model = forecast.linear_model(spark, FIXED_WEIGHTS)
+    return forecast.forecast(model, _panel(spark, sf_dir))
+
+
+def _fixed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary of the same forecast, saved and read again."""
+    path = _own_path(spark, sf_dir, "fixed_forecast")
+    made_once(path, lambda: forecast.save_forecast(_fixed_forecast(spark, sf_dir), path))
+    return forecast.forecast_summary(forecast.load_forecast(spark, path))
+
+
+def _holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Past figures as predictions of the next week, scored on the holdout."""
+    scores = forecast.compare_columns(_panel(spark, sf_dir), ["revenue_lag1", "revenue_ma4", "revenue_ma8"])
+    return scores.select("model", *[F.round(c, 2).alias(c) for c in ("mae", "rmse")], F.round("r2", 6).alias("r2"), "is_best")
+
+
 def _live_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained, _ = _forecaster(spark, sf_dir)
     return forecast.forecast(trained.model, _panel(spark, sf_dir))
@@ -117,8 +223,9 @@ def _normalized_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views.register_sales(_sales(spark, sf_dir))
-    return adhoc.run_select(spark, ADHOC)
+    desk = adhoc.AdHoc(spark)
+    desk.register(_sales(spark, sf_dir))
+    return desk.select(ADHOC)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -131,7 +238,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_raw = {
         "quality_report": issues,
         "quality_nulls": null_counts,
-        "sales_clean": lambda raw: clean(raw, STAR_KEYS),
+    }
+    on_dirty = {
+        "quality_report_dirty": issues,
+        "quality_nulls_dirty": null_counts,
+        "sales_clean_dirty": clean,
     }
     on_sales = {
         "sales_rfm": lambda s: with_rfm(s).select(
@@ -155,7 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rep_lakhs": marts.rep_in_lakhs,
         "category_breakdown": marts.category_breakdown,
         "category_margin_rank": marts.category_margin_rank,
-        "region_segment_pivot": marts.region_segment_pivot,
+        "region_segment_pivot": lambda s: marts.region_segment_pivot(s, SEGMENTS),
         "records_json": lambda s: marts.json_records(kpi.revenue_trend_monthly(s)),
         "weekly_agg": features.weekly,
         "weekly_features": features.build_features,
@@ -167,7 +278,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_folder = {
         "normalize_text": _normalized_texts,
         "adhoc_select": _adhoc,
+        "csv_round_trip": _csv_round_trip,
+        "views_by_name": _views_by_name,
+        "report_marts": _report_marts,
         "forecast_8w": _live_forecast,
+        "forecast_fixed": _fixed_forecast,
+        "forecast_fixed_summary": _fixed_summary,
+        "holdout_metrics": _holdout_metrics,
     }
     on_trained = {
         "model_metrics": lambda trained: trained.metrics,
@@ -193,6 +310,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     return (
         {k: over(_raw, q) for k, q in on_raw.items()}
+        | {k: over(_dirty, q) for k, q in on_dirty.items()}
+        | {"sales_clean": direct(_cleaned), "sales_clean_fine": direct(_fine)}
         | {k: over(_sales, q) for k, q in on_sales.items()}
         | {k: direct(q) for k, q in on_folder.items()}
         | {k: over(trained, q) for k, q in on_trained.items()}

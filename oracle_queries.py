@@ -43,14 +43,19 @@ def _title(text: str) -> str:
     return f"array_to_string(list_transform({pieces}, lambda w: upper(w[1]) || w[2:]), '')"
 
 
-_SALES = f"""
-valid AS (
+def _valid(raw: str) -> str:
+    return f"""
   SELECT * EXCLUDE (rn) REPLACE (
            {_title("trim(region)")} AS region, {_title("trim(segment)")} AS segment,
            {_title("trim(sales_rep)")} AS sales_rep, {_title("trim(product_category)")} AS product_category),
-         CAST(sales - cost AS DECIMAL(18,2)) AS profit
-  FROM raw
-  WHERE rn = 1 AND sales > 0 AND quantity > 0
+         sales - cost AS profit
+  FROM {raw}
+  WHERE rn = 1 AND sales > 0 AND quantity > 0"""
+
+
+def _derived(valid: str) -> str:
+    return f"""
+valid AS ({valid}
 ),
 sales AS (
   SELECT *,
@@ -66,12 +71,54 @@ sales AS (
   FROM valid
 )"""
 
+
+_SALES = _derived(_valid("raw"))
+
+_CLEAN = """
+  SELECT * REPLACE (
+    strftime(order_date, '%Y-%m-%d') AS order_date, CAST(quantity AS DOUBLE) AS quantity,
+    CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount,
+    CAST(sales AS DOUBLE) AS sales, CAST(cost AS DOUBLE) AS cost, CAST(profit AS DOUBLE) AS profit,
+    CAST(profit_margin_pct AS DOUBLE) AS profit_margin_pct,
+    CAST(revenue_per_unit AS DOUBLE) AS revenue_per_unit)
+  FROM sales"""
+
+# The same with amounts and quantities scaled down.
+_FINE = """
+unscaled AS (SELECT * FROM raw),
+raw_fine AS (
+  SELECT * REPLACE (
+    CAST(quantity AS DECIMAL(10,0)) * CAST(0.01 AS DECIMAL(3,2)) AS quantity,
+    CAST(unit_price AS DECIMAL(18,2)) * CAST(0.000001 AS DECIMAL(7,6)) AS unit_price,
+    CAST(sales AS DECIMAL(18,2)) * CAST(0.000001 AS DECIMAL(7,6)) AS sales,
+    CAST(cost AS DECIMAL(18,2)) * CAST(0.000001 AS DECIMAL(7,6)) AS cost)
+  FROM unscaled
+)"""
+
+# The same with a kind of damage in every twentieth order, and without sales_rep.
+_DIRTY = """
+dirty AS (
+  SELECT * EXCLUDE (rn, sales_rep, okey) REPLACE (
+           CASE okey % 20 WHEN 12 THEN NULL ELSE order_id END AS order_id,
+           CASE okey % 20 WHEN 13 THEN NULL ELSE customer_id END AS customer_id,
+           CASE okey % 20 WHEN 10 THEN upper(region) ELSE region END AS region,
+           CASE okey % 20 WHEN 11 THEN '' ELSE segment END AS segment,
+           CASE okey % 20 WHEN 0 THEN NULL WHEN 1 THEN -sales WHEN 2 THEN 0 ELSE sales END AS sales,
+           CASE okey % 20 WHEN 3 THEN NULL WHEN 4 THEN 0 WHEN 5 THEN -1 ELSE quantity END AS quantity,
+           CASE okey % 20 WHEN 6 THEN CAST(-0.1 AS DECIMAL(4,2)) WHEN 7 THEN CAST(1.5 AS DECIMAL(4,2))
+                          WHEN 8 THEN NULL ELSE discount END AS discount),
+         CASE okey % 20 WHEN 9 THEN NULL ELSE CAST(sales - cost AS DECIMAL(18,2)) END AS profit,
+         ROW_NUMBER() OVER (PARTITION BY CASE okey % 20 WHEN 12 THEN NULL ELSE order_id END
+                            ORDER BY okey, order_id, rn) AS n_same
+  FROM (SELECT *, CAST(split_part(order_id, '-', 1) AS BIGINT) AS okey FROM raw)
+)"""
+
 _ORDERS = "COUNT(DISTINCT order_id)"
 _CUSTOMERS = "COUNT(DISTINCT customer_id)"
 _MARGIN = "CAST(ROUND(CAST(AVG(profit_margin_pct) AS DECIMAL(28,6)), 2) AS DOUBLE)"
 _DISCOUNT = "CAST(ROUND(CAST(AVG(discount) AS DECIMAL(28,6)) * 100, 1) AS DOUBLE)"
 _PER_ORDER = f"CAST(ROUND(CAST(SUM(sales) / {_ORDERS} AS DECIMAL(28,6)), 2) AS DOUBLE)"
-_UNITS = "CAST(SUM(quantity) AS BIGINT)"
+_UNITS = "CAST(SUM(quantity) AS DOUBLE)"
 _REVENUE = "CAST(ROUND(SUM(sales), 2) AS DOUBLE)"
 _PROFIT = "CAST(ROUND(SUM(profit), 2) AS DOUBLE)"
 
@@ -188,30 +235,95 @@ def _as_shown(columns: tuple[str, ...]) -> str:
 
 _REQUIRED = ("order_id", "order_date", "customer_id", "product_name", "quantity",
              "unit_price", "discount", "sales", "profit")
-_CHECKED = f"""
-checked AS (SELECT *, CAST(sales - cost AS DECIMAL(18,2)) AS profit FROM raw),
+_NULLS = f"""
 nulls AS ({" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT(*) FILTER ({c} IS NULL) AS n FROM checked" for c in _REQUIRED)})"""
-
-_SEGMENTS = ("Automobile", "Building", "Furniture", "Household", "Machinery")
-
-ORACLES = {
-    "quality_nulls": "WITH " + _RAW + "," + _CHECKED + " SELECT column_name, n FROM nulls",
-    "quality_report": "WITH " + _RAW + "," + _CHECKED + """,
+_CHECKED = """
+checked AS (SELECT *, CAST(sales - cost AS DECIMAL(18,2)) AS profit FROM raw),""" + _NULLS
+_CHECKED_DIRTY = _DIRTY + """,
+checked AS (SELECT *, n_same AS rn FROM dirty),""" + _NULLS
+_FOUND = """,
 found AS (
   SELECT 'null' AS "check", column_name, n FROM nulls
   UNION ALL SELECT 'negative', 'sales', COUNT(*) FILTER (sales < 0) FROM checked
   UNION ALL SELECT 'duplicate', 'order_id', COUNT(*) FILTER (rn > 1) FROM checked
 )
-  SELECT * FROM found WHERE n > 0""",
-    "sales_clean": _from_sales("""
-  SELECT * REPLACE (
-    strftime(order_date, '%Y-%m-%d') AS order_date,
-    CAST(unit_price AS DOUBLE) AS unit_price, CAST(discount AS DOUBLE) AS discount,
-    CAST(sales AS DOUBLE) AS sales, CAST(cost AS DOUBLE) AS cost, CAST(profit AS DOUBLE) AS profit,
-    CAST(profit_margin_pct AS DOUBLE) AS profit_margin_pct,
-    CAST(revenue_per_unit AS DOUBLE) AS revenue_per_unit)
-  FROM sales"""),
+  SELECT * FROM found WHERE n > 0"""
+
+_SEGMENTS = ("Automobile", "Building", "Furniture", "Household", "Machinery")
+
+# Eight further weeks by known weights, newest revenue first in the list.
+_FORECAST = """
+last_weeks AS (SELECT week, CAST(revenue AS DOUBLE) AS revenue FROM panel ORDER BY week DESC LIMIT 8),
+steps AS (
+  SELECT 0 AS step, (SELECT MAX(week) FROM last_weeks) AS week, CAST(NULL AS DOUBLE) AS revenue,
+         (SELECT list(revenue ORDER BY week DESC) FROM last_weeks) AS past
+  UNION ALL
+  SELECT step + 1, week, revenue, list_prepend(revenue, past)[1:8]
+  FROM (SELECT step, CAST(week + 7 AS DATE) AS week, past,
+               0.5::DOUBLE * past[1] + 0.2::DOUBLE * past[2] + 0.2::DOUBLE * list_avg(past[1:4])
+               + 0.1::DOUBLE * list_avg(past) + CASE WHEN quarter(week + 7) = 4 THEN 1000 ELSE 0 END AS revenue
+        FROM steps WHERE step < 8)
+),
+predicted AS (
+  SELECT week, CAST(revenue AS DECIMAL(28,2)) AS forecasted_revenue FROM steps WHERE step > 0
+)"""
+
+
+def _with_recursion(body: str) -> str:
+    return _from_sales(body, _weekly(), _lagged(), _FORECAST).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+ORACLES = {
+    "forecast_fixed": _with_recursion("""
+  SELECT strftime(week, '%Y-%m-%d') AS week, CAST(forecasted_revenue AS DOUBLE) AS forecasted_revenue FROM predicted"""),
+    "forecast_fixed_summary": _with_recursion("""
+  SELECT COUNT(*) AS forecast_weeks, CAST(SUM(forecasted_revenue) AS DOUBLE) AS total_forecasted_revenue,
+         CAST(MIN(forecasted_revenue) AS DOUBLE) AS min_forecasted_revenue,
+         CAST(MAX(forecasted_revenue) AS DOUBLE) AS max_forecasted_revenue
+  FROM predicted"""),
+    "holdout_metrics": _from_sales("""
+  SELECT model, ROUND(mae, 2) AS mae, ROUND(rmse, 2) AS rmse, ROUND(r2, 6) AS r2,
+         ROW_NUMBER() OVER (ORDER BY rmse, model) = 1 AS is_best
+  FROM (
+    SELECT model, AVG(abs(revenue - predicted)) AS mae, sqrt(AVG((revenue - predicted) ** 2)) AS rmse,
+           1 - SUM((revenue - predicted) ** 2) / (var_pop(revenue) * COUNT(*)) AS r2
+    FROM (
+      SELECT CAST(revenue AS DOUBLE) AS revenue, unnest(['revenue_lag1', 'revenue_ma4', 'revenue_ma8']) AS model,
+             unnest([CAST(revenue_lag1 AS DOUBLE), CAST(revenue_ma4 AS DOUBLE), CAST(revenue_ma8 AS DOUBLE)]) AS predicted
+      FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY week) AS rn, COUNT(*) OVER () AS n FROM panel)
+      WHERE rn > FLOOR(n * 0.8)
+    ) GROUP BY model
+  )""", _weekly(), _lagged()),
+    "quality_nulls": "WITH " + _RAW + "," + _CHECKED + " SELECT column_name, n FROM nulls",
+    "quality_report": "WITH " + _RAW + "," + _CHECKED + _FOUND,
+    "quality_nulls_dirty": "WITH " + _RAW + "," + _CHECKED_DIRTY + " SELECT column_name, n FROM nulls",
+    "quality_report_dirty": "WITH " + _RAW + "," + _CHECKED_DIRTY + _FOUND,
+    "sales_clean_dirty": "WITH " + _RAW + "," + _DIRTY + "," + _derived("""
+  SELECT * EXCLUDE (n_same) REPLACE (
+           """ + ", ".join(f"{_title(c)} AS {c}" for c in ("region", "segment", "product_category")) + """,
+           least(1, greatest(0, coalesce(discount, 0))) AS discount, coalesce(profit, 0) AS profit)
+  FROM dirty WHERE n_same = 1 AND sales > 0 AND quantity > 0""") + _CLEAN,
+    "sales_clean_fine": "WITH " + _RAW + "," + _FINE + "," + _derived(_valid("raw_fine")) + _CLEAN,
+    "sales_clean": _from_sales(_CLEAN),
+    "csv_round_trip": _from_sales(_CLEAN),
+    "views_by_name": _from_sales(f"""
+  SELECT 'monthly_kpi' AS view, order_year || '-' || order_month AS key, {_ORDERS} AS orders, {_REVENUE} AS revenue
+  FROM sales GROUP BY order_year, order_month
+  UNION ALL SELECT 'category_kpi', product_category, {_ORDERS}, {_REVENUE} FROM sales GROUP BY product_category
+  UNION ALL SELECT 'rep_performance', sales_rep, {_ORDERS}, {_REVENUE} FROM sales GROUP BY sales_rep"""),
+    "report_marts": _from_sales(f"""
+  SELECT name AS mart, CASE name
+           WHEN 'overall_kpis' THEN 1
+           WHEN 'monthly_trend' THEN (SELECT COUNT(DISTINCT (order_year, order_month)) FROM sales)
+           WHEN 'top_products' THEN (SELECT COUNT(*) FROM top)
+           WHEN 'region_analysis' THEN (SELECT COUNT(DISTINCT (region, segment)) FROM sales)
+           WHEN 'sales_rep_kpis' THEN (SELECT COUNT(DISTINCT sales_rep) FROM sales)
+           ELSE (SELECT COUNT(DISTINCT is_discounted) FROM sales) END AS rows,
+         CASE name WHEN 'top_products' THEN (SELECT CAST(SUM(total_revenue) AS DOUBLE) FROM top)
+                   ELSE (SELECT {_REVENUE} FROM sales) END AS total
+  FROM (VALUES ('overall_kpis'), ('monthly_trend'), ('top_products'), ('region_analysis'), ('sales_rep_kpis'),
+               ('discount_analysis')) AS marts (name)""", _TOP),
     "sales_rfm": _from_sales("""
   SELECT order_id, customer_id, CAST(sales AS DOUBLE) AS sales, recency_days, frequency,
          CAST(monetary AS DOUBLE) AS monetary

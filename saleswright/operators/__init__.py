@@ -1,4 +1,4 @@
-from .clean import clean
+from .clean import clean, clean_unique
 from .dedupe import keep_first
 from .quality import check_columns, issues, null_counts, validate
 from .rfm import customer_value, rank_customers, with_rfm
@@ -7,6 +7,7 @@ from .skew import lookup_by_key
 __all__ = [
     "check_columns",
     "clean",
+    "clean_unique",
     "customer_value",
     "issues",
     "keep_first",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip_fraction, day_name, flag, normalize, percent, rounded_ratio
-from ..schema import LABELS, MARGIN, SEQUENCE
+from ..schema import LABELS, MARGIN, MONEY, SEQUENCE
 from .dedupe import keep_first
 
 
@@ -20,17 +20,20 @@ def clean(raw: DataFrame, keys: Sequence[str] = ("order_id",)) -> DataFrame:
     ``order_id`` determines: a source already partitioned on them then needs
     no further shuffle. Such helper columns are dropped from the result.
     """
-    d = F.col("order_date")
     helpers = [k for k in keys if k != "order_id"]
+    return clean_unique(keep_first(raw, keys).drop(SEQUENCE, *helpers))
+
+
+def clean_unique(unique: DataFrame) -> DataFrame:
+    """``clean`` for rows that are the first of their order already."""
+    d = F.col("order_date")
     valid = (
-        keep_first(raw, keys)
-        .drop(SEQUENCE, *helpers)
-        .filter((F.col("sales") > 0) & (F.col("quantity") > 0))
+        unique.filter((F.col("sales") > 0) & (F.col("quantity") > 0))
         .withColumns(
             {
                 "discount": clip_fraction(F.col("discount")),
-                "profit": F.coalesce(F.col("profit"), F.lit(0).cast("decimal(18,2)")),
-                **{c: normalize(F.col(c)) for c in LABELS if c in raw.columns},
+                "profit": F.coalesce(F.col("profit"), F.lit(0).cast(MONEY)),
+                **{c: normalize(F.col(c)) for c in LABELS if c in unique.columns},
             }
         )
     )

@@ -16,7 +16,7 @@ def check_columns(df: DataFrame) -> DataFrame:
     """The input itself, or ``ValueError`` naming what is missing."""
     missing = [c for c in REQUIRED if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the input lacks {missing}")
     return df
 
 

@@ -1,48 +1,68 @@
-"""Ad-hoc SELECT over the session's catalog."""
+"""Ad-hoc SELECT over sales and its views, in a session of its own."""
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-_FILES = "spark.sql.runSQLOnFiles"
+from ..session import configure
+from ..sources.tables import publish
+from .views import create_views
 
-# Functions that call JVM methods by name. Refused wherever the word appears,
-# since resolving such a call already loads the class it names.
-_JVM_CALL = re.compile(r"\b(?:reflect|try_reflect|java_method)\b", re.I)
+# Built-in functions that call JVM methods by name.
+JVM_CALLS = ("reflect", "try_reflect", "java_method")
 # Plan node of SELECT TRANSFORM, which pipes rows through a program.
 _PROGRAM = re.compile(r'"class":"[^"]*ScriptTransformation"')
 
 
-def run_select(spark: SparkSession, sql: str | None) -> DataFrame:
-    """The result of one SELECT on catalog tables and views.
+class AdHoc:
+    """A session that knows neither files by path nor functions that call the JVM.
 
-    ``ValueError`` without a statement, ``PermissionError`` unless it starts
-    with SELECT and stays inside SQL; what Spark finds wrong is raised as is.
-    Reading files by path in FROM is off while the statement is resolved.
+    Both are taken out of this session alone, once, so requests can run side by
+    side and other sessions keep them. Names that are built from strings at run
+    time resolve no better than written ones.
     """
-    if sql is None:
-        raise ValueError("no sql given")
-    text = sql.strip()
-    if not text.upper().startswith("SELECT"):
-        raise PermissionError("Only SELECT queries are permitted.")
-    if _JVM_CALL.search(text):
-        raise PermissionError("Queries may not call JVM methods.")
-    before = spark.conf.get(_FILES)
-    spark.conf.set(_FILES, "false")
-    try:
-        result = spark.sql(text)
-    finally:
-        spark.conf.set(_FILES, before)
-    if _PROGRAM.search(result._jdf.queryExecution().analyzed().toJSON()):
-        raise PermissionError("Queries may not run external programs.")
-    return result
-
-
-def run_request(spark: SparkSession, body: Mapping | None) -> DataFrame:
-    """``run_select`` for a request body that must hold ``sql``."""
-    if not body or "sql" not in body:
-        raise ValueError("Request must include 'sql'.")
-    return run_select(spark, body["sql"])
+
+    def __init__(self, spark: SparkSession):
+        self.session = configure(spark.newSession())
+        self.session.conf.set("spark.sql.runSQLOnFiles", "false")
+        registry = self.session._jsparkSession.sessionState().functionRegistry()
+        for name in JVM_CALLS:
+            registry.dropFunction(spark._jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name))
+
+    def register(self, sales: DataFrame, name: str = "sales") -> list[str]:
+        """Make sales and its views visible to requests."""
+        shared = f"{name}_{uuid.uuid4().hex}"
+        publish(sales).createGlobalTempView(shared)
+        try:
+            rows = self.session.table(f"global_temp.{shared}")
+            rows.createOrReplaceTempView(name)
+        finally:
+            sales.sparkSession.catalog.dropGlobalTempView(shared)
+        return create_views(self.session, name)
+
+    def select(self, sql: str | None) -> DataFrame:
+        """The result of one SELECT on registered and catalog names.
+
+        ``ValueError`` without a statement, ``PermissionError`` unless it starts
+        with SELECT and runs no external program; what Spark finds wrong is
+        raised as is.
+        """
+        if sql is None:
+            raise ValueError("no sql given")
+        text = sql.strip()
+        if not text.upper().startswith("SELECT"):
+            raise PermissionError("a request is a single SELECT")
+        result = self.session.sql(text)
+        if _PROGRAM.search(result._jdf.queryExecution().analyzed().toJSON()):
+            raise PermissionError("a request runs no external program")
+        return result
+
+    def request(self, body: Mapping | None) -> DataFrame:
+        """``select`` for a request body that must hold ``sql``."""
+        if not body or "sql" not in body:
+            raise ValueError("the request holds no 'sql'")
+        return self.select(body["sql"])

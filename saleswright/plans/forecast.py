@@ -8,8 +8,10 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -21,6 +23,8 @@ from .features import FEATURES, LAGS, TEST_SHARE, build_features, calendar, spli
 
 FOREST, BOOSTING, RIDGE = "RandomForest", "GradientBoosting", "Ridge"
 WEEKS = 8
+# Sets how training rows are laid out. Trees draw their samples per partition,
+# so another layout gives slightly different trees.
 ROWS_PER_TASK = 200_000
 
 
@@ -37,8 +41,9 @@ class Settings:
     alpha: float = 10.0
     seed: int = 42
     test_share: float = TEST_SHARE
-    # Split candidates per feature. Small panels get one per distinct value.
-    bins: int = 256
+    # Split candidates per feature: more than the weeks of a long history, so
+    # that the panel of one series gets one per distinct value.
+    bins: int = 2048
 
 
 @dataclass(frozen=True)
@@ -158,6 +163,27 @@ def top_tree_features(trained: Trained, limit: int = 5) -> DataFrame:
     )
 
 
+def linear_model(spark: SparkSession, weights: dict[str, float], intercept: float = 0.0) -> PipelineModel:
+    """A model with given weights by feature, for forecasts whose figures are known beforehand."""
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    vector = Vectors.dense([weights.get(f, 0.0) for f in FEATURES])
+    built = spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel(
+        "fixed", _py2java(spark.sparkContext, vector), float(intercept)
+    )
+    return PipelineModel([assembler, LinearRegressionModel(built)])
+
+
+def compare_columns(panel: DataFrame, columns: Sequence[str], test_share: float = TEST_SHARE) -> DataFrame:
+    """Holdout scores of panel columns taken as predictions, the best marked.
+
+    The same scoring that compares fitted models: what a model has to beat.
+    """
+    late = split_by_time(_as_doubles(panel), (), test_share).filter("is_train = 0")
+    scores = _scores(late, columns)
+    first = Window.partitionBy().orderBy("rmse", "model")  # a row per column
+    return scores.withColumn("is_best", F.row_number().over(first) == 1)
+
+
 # --- forecast -----------------------------------------------------------------
 
 _CARRIED = ("orders", "avg_order_value", "unique_customers", "avg_margin", "discounted_orders")

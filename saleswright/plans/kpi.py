@@ -1,58 +1,31 @@
 """KPI queries.
 
-All take cleaned sales, where ``order_id`` is unique. Counting it therefore
-counts distinct orders, which leaves at most one DISTINCT per query and spares
-Spark from expanding every row once per DISTINCT before the shuffle.
-
-Orders with ties get the key columns as tie-break, so results are stable.
+All take cleaned sales. Orders with ties get the key columns as tie-break, so
+results are stable.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import average, percent, rounded_ratio
-from ..schema import MARGIN
+from ..functions.measures import measures
 
 MAX_PRODUCTS = 50
 
 
-def _orders() -> Column:
-    return F.count("order_id")
-
-
-def _customers() -> Column:
-    return F.count_distinct("customer_id")
-
-
-def _total(column: str) -> Column:
-    return F.round(F.sum(column), 2)
-
-
-def _margin() -> Column:
-    return average(F.col(MARGIN))
-
-
-def _per_order() -> Column:
-    return rounded_ratio(F.sum("sales"), F.count("order_id"))
-
-
-def _discount() -> Column:
-    return average(F.col("discount"), digits=1, scale=100)
-
-
 def overall_kpis(sales: DataFrame) -> DataFrame:
     """One row of headline figures."""
-    discounted = F.sum(F.when(F.col("is_discounted") == 1, F.col("sales")).otherwise(0))
     return sales.agg(
-        _orders().alias("total_orders"),
-        _customers().alias("unique_customers"),
-        _total("sales").alias("total_revenue"),
-        _total("profit").alias("total_profit"),
-        _margin().alias("avg_margin_pct"),
-        _per_order().alias("avg_order_value"),
-        percent(discounted, F.sum("sales")).alias("discounted_revenue_pct"),
+        *measures(
+            total_orders="orders",
+            unique_customers="customers",
+            total_revenue="revenue",
+            total_profit="profit",
+            avg_margin_pct="margin",
+            avg_order_value="per_order",
+            discounted_revenue_pct="discounted_share",
+        )
     )
 
 
@@ -60,30 +33,28 @@ def revenue_trend_monthly(sales: DataFrame, year: int | None = None) -> DataFram
     """Figures per month; of one year only if given (0 means all years)."""
     if year:
         sales = sales.filter(F.col("order_year") == year)
-    return (
-        sales.groupBy("order_year", "order_month")
-        .agg(
-            _orders().alias("total_orders"),
-            _total("sales").alias("revenue"),
-            _total("profit").alias("profit"),
-            _margin().alias("avg_margin_pct"),
-            _customers().alias("unique_customers"),
-            _per_order().alias("avg_order_value"),
-        )
-        .orderBy("order_year", "order_month")
+    shown = measures(
+        total_orders="orders",
+        revenue="revenue",
+        profit="profit",
+        avg_margin_pct="margin",
+        unique_customers="customers",
+        avg_order_value="per_order",
     )
+    return sales.groupBy("order_year", "order_month").agg(*shown).orderBy("order_year", "order_month")
 
 
 def product_totals(sales: DataFrame) -> DataFrame:
     """Figures per product, unordered."""
-    return sales.groupBy("product_name", "product_category").agg(
-        F.sum("quantity").alias("units_sold"),
-        _orders().alias("order_count"),
-        _total("sales").alias("total_revenue"),
-        _total("profit").alias("total_profit"),
-        _margin().alias("avg_margin_pct"),
-        _discount().alias("avg_discount_pct"),
+    shown = measures(
+        units_sold="units",
+        order_count="orders",
+        total_revenue="revenue",
+        total_profit="profit",
+        avg_margin_pct="margin",
+        avg_discount_pct="discount",
     )
+    return sales.groupBy("product_name", "product_category").agg(*shown)
 
 
 def top_products(sales: DataFrame, limit: int = 10) -> DataFrame:
@@ -106,60 +77,43 @@ def requested_products(sales: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def region_segment_matrix(sales: DataFrame) -> DataFrame:
-    return (
-        sales.groupBy("region", "segment")
-        .agg(
-            _orders().alias("orders"),
-            _customers().alias("customers"),
-            _total("sales").alias("revenue"),
-            _total("profit").alias("profit"),
-            _margin().alias("avg_margin_pct"),
-        )
-        .orderBy(F.desc("revenue"), "region", "segment")
+    shown = measures(
+        orders="orders", customers="customers", revenue="revenue", profit="profit", avg_margin_pct="margin"
     )
+    return sales.groupBy("region", "segment").agg(*shown).orderBy(F.desc("revenue"), "region", "segment")
 
 
 def sales_rep_leaderboard(sales: DataFrame) -> DataFrame:
-    return (
-        sales.groupBy("sales_rep")
-        .agg(
-            _orders().alias("orders_closed"),
-            _customers().alias("customers_served"),
-            _total("sales").alias("total_revenue"),
-            _total("profit").alias("total_profit"),
-            _margin().alias("avg_margin_pct"),
-            _per_order().alias("avg_deal_size"),
-        )
-        .orderBy(F.desc("total_revenue"), "sales_rep")
+    shown = measures(
+        orders_closed="orders",
+        customers_served="customers",
+        total_revenue="revenue",
+        total_profit="profit",
+        avg_margin_pct="margin",
+        avg_deal_size="per_order",
     )
+    return sales.groupBy("sales_rep").agg(*shown).orderBy(F.desc("total_revenue"), "sales_rep")
 
 
 def discount_impact(sales: DataFrame) -> DataFrame:
     """Discounted against full-price orders."""
     label = F.when(F.col("is_discounted") == 1, "Discounted").otherwise("Full Price")
-    return (
-        sales.groupBy("is_discounted")
-        .agg(
-            _discount().alias("avg_discount_pct"),
-            _orders().alias("order_count"),
-            _total("sales").alias("total_revenue"),
-            _total("profit").alias("total_profit"),
-            _margin().alias("avg_margin_pct"),
-        )
-        .select(label.alias("pricing_type"), "*")
-        .drop("is_discounted")
+    shown = measures(
+        avg_discount_pct="discount",
+        order_count="orders",
+        total_revenue="revenue",
+        total_profit="profit",
+        avg_margin_pct="margin",
     )
+    return sales.groupBy("is_discounted").agg(*shown).select(label.alias("pricing_type"), "*").drop("is_discounted")
 
 
 def low_margin_alerts(sales: DataFrame, threshold: float = 20) -> DataFrame:
     """Products whose average margin, as shown, is below the threshold."""
+    shown = measures(order_count="orders", avg_margin_pct="margin", total_revenue="revenue")
     return (
         sales.groupBy("product_name", "product_category")
-        .agg(
-            _orders().alias("order_count"),
-            _margin().alias("avg_margin_pct"),
-            _total("sales").alias("total_revenue"),
-        )
+        .agg(*shown)
         .filter(F.col("avg_margin_pct") < threshold)
         .orderBy("avg_margin_pct", "product_name", "product_category")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import average, in_lakhs, percent, period_label
+from ..session import ensure_checkpoint_dir
 from . import kpi
 
 REPORT_PRODUCTS = 20
@@ -62,10 +63,14 @@ def category_margin_rank(sales: DataFrame, products: int = REPORT_PRODUCTS) -> D
 def region_segment_pivot(sales: DataFrame, segments: list[str] | None = None) -> DataFrame:
     """Revenue by region (rows) and segment (columns), 0 where there is none.
 
-    The pivot runs over the aggregated matrix. Naming ``segments`` saves the
-    job that looks them up.
+    The pivot runs over the aggregated matrix. With ``segments`` nothing runs
+    before the result is read. Without, the matrix, a few rows, is computed at
+    once and kept, since its segments make up the schema.
     """
     cells = sales.groupBy("region", "segment").agg(F.sum("sales").alias("revenue"))
+    if segments is None:
+        ensure_checkpoint_dir(sales.sparkSession)
+        cells = cells.checkpoint()
     table = cells.groupBy("region").pivot("segment", segments).agg(F.sum("revenue"))
     return table.na.fill(0).orderBy("region")
 

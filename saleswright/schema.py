@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+# Amounts and quantities keep ten decimals from the scan on; rules and filters
+# see them unrounded, and only measures round, when they are shown.
+MONEY = T.DecimalType(28, 10)
+QUANTITY = T.DecimalType(28, 10)
 # Wide enough in the raw data for values that cleaning then clips to [0, 1].
 RAW_FRACTION = T.DecimalType(18, 6)
 FRACTION = T.DecimalType(7, 6)
 
+# The columns of the published schema, and those it requires.
 RAW = T.StructType(
     [
         T.StructField("order_id", T.StringType()),
@@ -20,7 +24,7 @@ RAW = T.StructType(
         T.StructField("sales_rep", T.StringType()),
         T.StructField("product_name", T.StringType()),
         T.StructField("product_category", T.StringType()),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", QUANTITY),
         T.StructField("unit_price", MONEY),
         T.StructField("discount", RAW_FRACTION),
         T.StructField("sales", MONEY),

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
 # Runtime settings every plan assumes. A join that feeds a window on the same
 # key is only split when it is skewed if the "force" setting is on.
+# Text that is no number or date has to raise, whatever the caller's session says.
 RUNTIME_CONF = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -69,6 +72,13 @@ def working_dir(spark: SparkSession) -> str | None:
     return _local_dirs[sc.applicationId]
 
 
+def forget_local_dir(spark: SparkSession) -> None:
+    """Remove the temporary folder of a local session, checkpoints included."""
+    folder = _local_dirs.pop(spark.sparkContext.applicationId, None)
+    if folder is not None:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point ``DataFrame.checkpoint`` at the shared folder if nothing else has."""
     sc = spark.sparkContext

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import PUBLISHED_MARGIN, SEQUENCE
-from .raw import conform
+from ..session import configure
+from .raw import DATES, conform
 
 
-def read_sales_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_sales_csv(
+    spark: SparkSession, path: str, multiline: bool = False, date_format: str = DATES
+) -> DataFrame:
     """Raw sales with the position of each row in its file.
 
     Columns are those of the header, so a file may lack optional ones. Values
@@ -18,8 +21,10 @@ def read_sales_csv(spark: SparkSession, path: str, multiline: bool = False) -> D
     could differ between files. File, block and the rising id inside a block
     give the order of rows without any sort, and give it again on a retry.
     The raw margin is not kept; cleaning computes it anew. ``multiline`` allows
-    line breaks inside quotes, at the price of one task per file.
+    line breaks inside quotes, at the price of one task per file. Dates are ISO,
+    with or without a time; ``date_format`` names another form.
     """
+    configure(spark)
     header = spark.read.option("header", True).option("multiLine", multiline).csv(path).columns
     text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     rows = (
@@ -35,7 +40,7 @@ def read_sales_csv(spark: SparkSession, path: str, multiline: bool = False) -> D
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return conform(rows.withColumn(SEQUENCE, position)).drop(PUBLISHED_MARGIN)
+    return conform(rows.withColumn(SEQUENCE, position), date_format).drop(PUBLISHED_MARGIN)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -10,18 +10,37 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..session import working_dir
+from ..session import forget_local_dir, working_dir
 from .tables import publish, read_sales, write_sales
 
+# What has been built in this process, by path; forgotten when it is deleted.
 _written: dict[str, StructType] = {}
+_made: set[str] = set()
+
+
+def _state(spark: SparkSession, source: str) -> str:
+    """Names, sizes and times of the files below ``source``, if it is a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return ""
+    found, files = [], system.listFiles(path, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(found))
 
 
 def staging_path(spark: SparkSession, source: str, name: str) -> str | None:
-    """Where an intermediate of this application lies; None without a shared folder."""
+    """Where an intermediate of this application lies; None without a shared folder.
+
+    The path changes with the files of ``source``, so what was made from other
+    ones is not taken for current.
+    """
     root = working_dir(spark)
     if root is None:
         return None
-    tag = hashlib.sha256(source.encode()).hexdigest()[:12]
+    tag = hashlib.sha256(f"{source}\n{_state(spark, source)}".encode()).hexdigest()[:12]
     return f"{root}/saleswright/{spark.sparkContext.applicationId}/{tag}/{name}"
 
 
@@ -42,6 +61,13 @@ def staged(spark: SparkSession, source: str, name: str, build: Callable[[], Data
     return read_sales(spark, path, _written[path])
 
 
+def made_once(path: str, make: Callable[[], object]) -> None:
+    """Call ``make``, which fills ``path``, unless that was done already."""
+    if path not in _made:
+        make()
+        _made.add(path)
+
+
 @contextmanager
 def written_once(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` from a written copy while the block runs; the copy goes after it."""
@@ -65,6 +91,8 @@ def drop_staged(spark: SparkSession) -> None:
         _delete(spark, own)
         for path in [p for p in _written if p.startswith(f"{own}/")]:
             del _written[path]
+        _made.difference_update([p for p in _made if p.startswith(f"{own}/")])
+        forget_local_dir(spark)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -7,7 +7,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW, RAW_FRACTION, SEQUENCE
+from ..operators.clean import clean_unique
+from ..operators.dedupe import keep_first
+from ..schema import MONEY, QUANTITY, RAW, RAW_FRACTION, SEQUENCE
 
 # Determines, with the line number, the order id; the join on it leaves the
 # rows partitioned for the duplicate check.
@@ -39,15 +41,23 @@ TIE_BREAK = (
     "l_returnflag",
     "l_linestatus",
 )
+# Of these, the columns nothing but the duplicate check needs.
+NOT_CARRIED = ("l_shipdate", "l_tax", "l_returnflag", "l_linestatus")
 
 
-def star_sales(spark: SparkSession, folder: str) -> DataFrame:
+def star_sales(
+    spark: SparkSession, folder: str, amounts: Decimal = Decimal(1), quantities: Decimal = Decimal(1), first_only: bool = False
+) -> DataFrame:
     """The raw sales columns plus ``order_key`` and the input position.
 
     No side is marked for broadcast: Spark broadcasts the dimensions while
     their size allows and shuffles them otherwise. Orders meet customers
-    before they meet line items, so that the big table crosses the network
-    once per large dimension and last on the order key.
+    before they meet line items. With ``first_only``, line items with a key
+    seen before go first of all, and the columns that tell them apart with
+    them; this takes for granted that every foreign key has its row, since a
+    first line item without an order would otherwise not hide a second one.
+    The joins then start from the partitioning of the duplicate check.
+    ``amounts`` and ``quantities`` scale those columns.
     """
 
     def table(name: str) -> DataFrame:
@@ -56,19 +66,27 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
     places = table("nation").join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     buyers = table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (
-        table("lineitem")
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    )
+    items = table("lineitem")
+    if first_only:
+        items = keep_first(items, ("l_orderkey", "l_linenumber"), TIE_BREAK).drop(*NOT_CARRIED)
+        lines = (
+            items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        )
+    else:
+        lines = (
+            items.join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        )
 
     discount = F.col("l_discount").cast("decimal(4,2)")
     net = F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - discount)
     cost_ratio = ((F.col("p_partkey") % 76 + 30).cast("decimal(3,0)") * F.lit(Decimal("0.01"))).cast("decimal(4,2)")
-    price = F.try_divide("l_extendedprice", "l_quantity").cast("decimal(18,6)")
-    sales = F.round(net, 2).cast("decimal(18,2)")
-    cost = F.round(net * cost_ratio, 2).cast("decimal(18,2)")
+    price = F.round(F.try_divide("l_extendedprice", "l_quantity").cast("decimal(18,6)"), 2)
+    sales = (F.round(net, 2).cast("decimal(18,2)") * F.lit(amounts)).cast(MONEY)
+    cost = (F.round(net * cost_ratio, 2).cast("decimal(18,2)") * F.lit(amounts)).cast(MONEY)
     columns = {
         "order_id": F.concat_ws("-", "l_orderkey", "l_linenumber"),
         "order_date": F.col("o_orderdate").cast("date"),
@@ -79,15 +97,19 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
         "sales_rep": F.col("s_name"),
         "product_name": F.concat_ws(" ", "p_name", "p_partkey"),
         "product_category": F.col("p_type"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "unit_price": F.round(price, 2).cast("decimal(18,2)"),
+        "quantity": (F.col("l_quantity").cast("decimal(10,0)") * F.lit(quantities)).cast(QUANTITY),
+        "unit_price": (price.cast("decimal(18,2)") * F.lit(amounts)).cast(MONEY),
         "discount": discount.cast(RAW_FRACTION),
         "sales": sales,
         "cost": cost,
-        "profit": (sales - cost).cast("decimal(18,2)"),
+        "profit": (sales - cost).cast(MONEY),
     }
+    position = [] if first_only else [F.struct(*TIE_BREAK).alias(SEQUENCE)]
     return lines.select(
-        *[columns[f.name].alias(f.name) for f in RAW.fields],
-        F.col("l_orderkey").alias(ORDER_KEY),
-        F.struct(*TIE_BREAK).alias(SEQUENCE),
+        *[columns[f.name].alias(f.name) for f in RAW.fields], F.col("l_orderkey").alias(ORDER_KEY), *position
     )
+
+
+def clean_star_sales(spark: SparkSession, folder: str, **scales: Decimal) -> DataFrame:
+    """Cleaned sales of the star schema; duplicates leave before anything is joined."""
+    return clean_unique(star_sales(spark, folder, first_only=True, **scales).drop(ORDER_KEY))

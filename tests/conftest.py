@@ -1,12 +1,7 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-from saleswright.session import local_session  # noqa: E402
-from saleswright.sources.staging import drop_staged  # noqa: E402
+from saleswright.session import local_session
+from saleswright.sources.staging import drop_staged
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -27,12 +22,10 @@ def raw(spark):
 
 
 @pytest.fixture(scope="session")
-def sales(spark, raw):
-    from saleswright.operators import clean
-    from saleswright.sources import staged
-    from saleswright.sources.star import STAR_KEYS
+def sales(spark):
+    from saleswright.sources import clean_star_sales, staged
 
-    return staged(spark, SF_SMALL, "sales", lambda: clean(raw, STAR_KEYS))
+    return staged(spark, SF_SMALL, "sales", lambda: clean_star_sales(spark, SF_SMALL))
 
 
 @pytest.fixture

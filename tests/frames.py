@@ -13,12 +13,12 @@ BASE = {
     "order_id": "ORD-0",
     "order_date": date(2024, 1, 1),
     "customer_id": "C000",
-    "customer_name": "Test Customer",
-    "region": "South",
+    "customer_name": "Mira Holt",
+    "region": "Harbour",
     "segment": "Corporate",
-    "sales_rep": "Rep A",
-    "product_name": "Laptop",
-    "product_category": "Electronics",
+    "sales_rep": "Jonas Weir",
+    "product_name": "Standing desk",
+    "product_category": "Furniture",
     "quantity": 2,
     "unit_price": Decimal("50.00"),
     "discount": Decimal("0.05"),
@@ -28,10 +28,17 @@ BASE = {
 }
 
 
+def _fitting(value, kind):
+    return Decimal(value) if isinstance(kind, T.DecimalType) and isinstance(value, int) else value
+
+
 def frame(spark, *changes):
     """One row per dict of changes to the base row, numbered in input order."""
     rows = [{"order_id": f"ORD-{i}", **change} for i, change in enumerate(changes)]
-    data = [tuple({**BASE, **row, SEQUENCE: i}[f.name] for f in WITH_SEQUENCE.fields) for i, row in enumerate(rows)]
+    data = [
+        tuple(_fitting({**BASE, **row, SEQUENCE: i}[f.name], f.dataType) for f in WITH_SEQUENCE.fields)
+        for i, row in enumerate(rows)
+    ]
     return spark.createDataFrame(data, WITH_SEQUENCE)
 
 
@@ -43,7 +50,7 @@ def twenty_orders(spark):
             {
                 "order_date": date(2024, 1, 1) + timedelta(days=i),
                 "customer_id": f"C{i % 10:03d}",
-                "region": ("South", "North")[i % 3 % 2],
+                "region": ("Harbour", "Hills")[i % 3 % 2],
                 "segment": ("Corporate", "Consumer")[i % 2],
                 "quantity": 1 + i % 4,
                 "discount": Decimal("0.05") * (i % 3),

@@ -29,6 +29,16 @@ def test_pivot_fills_gaps_with_zero(mixed):
     assert marts.region_segment_pivot(mixed, ["Corporate"]).columns == ["region", "Corporate"]
 
 
+def test_pivot_with_names_runs_nothing_until_read(spark, sales):
+    spark.sparkContext.setJobGroup("pivot", "defining a pivot")
+    try:
+        df = marts.region_segment_pivot(sales, ["Building"])
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("pivot") == []
+        assert df.columns == ["region", "Building"] and df.count() == 5
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_category_shares_are_of_the_top_products_only(mixed):
     assert {r.product_category: float(r.share_pct) for r in marts.category_breakdown(mixed).collect()} == {
         "Food": 83.3,

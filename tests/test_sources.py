@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from saleswright.operators import clean, issues, with_rfm
 from saleswright.plans import pipeline, views
-from saleswright.plans.forecast import Settings
+from saleswright.plans.forecast import Settings, run_forecaster
 from saleswright.schema import MARGIN, RAW
 from saleswright.session import shuffle_partitions
 from saleswright.sources import conform, publish, read_sales, read_sales_csv, save_sales_table, write_csv, write_sales, written_once
+from saleswright.sources.staging import staging_path
 from saleswright.sources.star import STAR_KEYS
 
 HEADER = ",".join(RAW.fieldNames()) + ",profit_margin_%\n"
@@ -159,6 +160,66 @@ def test_command_line(spark, sales, tmp_path, monkeypatch):
     write_csv(sales.select(*RAW.fieldNames()), raw_path)
     quick = lambda *a, **kw: pipeline.run_all(*a, **kw, settings=Settings(trees=3, rounds=2, bins=16))
     monkeypatch.setattr(command, "run_all", quick)
-    command.main([raw_path, root, "--series", "region", "--weeks", "2"])
+    command.main(["all", raw_path, root, "--series", "region", "--weeks", "2"])
     assert read_sales(spark, f"{root}/sales").count() == 4599
     assert forecast.load_forecast(spark, f"{root}/models/forecast").count() == 10
+
+
+def test_stages_by_themselves(spark, tmp_path, monkeypatch):
+    from saleswright import __main__ as command
+
+    days = [f"{i % 28 + 1:02d}/{i // 28 % 12 + 1:02d}/{2022 + i // 336}" for i in range(0, 900, 3)]
+    raw_path = write(tmp_path / "raw.csv", *[line(f"K{i}", day=day, sales=f"{i + 1}.00") for i, day in enumerate(days)])
+    root = str(tmp_path / "out")
+    command.main(["etl", raw_path, root, "--dates", "dd/MM/yyyy"])
+    assert read_sales(spark, f"{root}/sales").count() == 300
+    command.main(["report", root])
+    assert not (tmp_path / "out/report/forecast").exists()
+    quick = lambda *a, **kw: run_forecaster(*a, **kw, settings=Settings(trees=2, rounds=2, bins=16))
+    monkeypatch.setattr(command, "run_forecaster", quick)
+    command.main(["forecast", root, "--weeks", "2"])
+    command.main(["report", root])
+    assert spark.read.parquet(f"{root}/report/forecast").count() == 2
+
+
+@pytest.mark.parametrize("day", ["2024-01-02", "2024-01-02 10:00:00", "2024-01-02 10:00", "2024-01-02T10:00:00"])
+def test_dates_with_and_without_time(spark, tmp_path, day):
+    assert read_sales_csv(spark, write(tmp_path / "s.csv", line(day=day))).first().order_date == date(2024, 1, 2)
+
+
+def test_small_amounts_survive(spark, tmp_path):
+    path = write(tmp_path / "s.csv", line("A", sales="0.004"), line("B", quantity="0.5"), line("C", quantity="2.5"))
+    kept = {r.order_id: (r.sales, r.quantity) for r in clean(read_sales_csv(spark, path)).collect()}
+    assert kept == {"A": (Decimal("0.004"), 2), "B": (10, Decimal("0.5")), "C": (10, Decimal("2.5"))}
+
+
+def test_too_small_an_amount_raises(spark, tmp_path):
+    df = read_sales_csv(spark, write(tmp_path / "s.csv", line(sales="1e-12")))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        df.collect()
+
+
+@pytest.mark.parametrize("sales", ["1,200.00", "12 EUR"])
+def test_bad_numbers_raise_whatever_the_session_says(spark, tmp_path, sales):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = read_sales_csv(spark, write(tmp_path / "s.csv", line(sales=f'"{sales}"')))
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            clean(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_few_files_per_year(spark, sales, tmp_path):
+    write_sales(sales.repartition(40), str(tmp_path / "sales"))
+    for year in (tmp_path / "sales").glob("order_year=*"):
+        assert len(list(year.glob("part-*"))) <= 2
+
+
+def test_stored_table_follows_its_source(spark, tmp_path):
+    source = tmp_path / "source"
+    spark.range(3).write.parquet(str(source))
+    first = staging_path(spark, str(source), "x")
+    assert staging_path(spark, str(source), "x") == first
+    spark.range(4).write.mode("overwrite").parquet(str(source))
+    assert staging_path(spark, str(source), "x") != first
