@@ -11,7 +11,12 @@ ones, so a folder that holds a third of all files is one row there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+import re
+from collections import Counter
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fixed
@@ -115,7 +120,10 @@ def passages(text: Column) -> Column:
 
 
 def _terms(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf``: how often a term occurs, on a logarithmic scale."""
+    """``key, term, tf``: how often a term occurs, on a logarithmic scale.
+
+    The key is short; a passage itself would be repeated with each of its terms.
+    """
     return (
         rows.select(key, F.explode(F.split(text, " ")).alias("term"))
         .groupBy(key, "term")
@@ -123,38 +131,55 @@ def _terms(rows: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def _templates(spark: SparkSession) -> DataFrame:
-    """``template, license, body``; a fixed number of rows."""
-    rows = [(f"{name} {i}", name, body) for name, bodies in TEMPLATES.items() for i, body in enumerate(bodies)]
-    body = F.array_join(F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0)), " ").alias("body")
-    return spark.createDataFrame(rows, "template string, license string, body string").select("template", "license", body)
+def _bodies() -> list[tuple[str, Counter]]:
+    """(licence, term counts) of every template."""
+    return [(name, Counter(re.findall(TERM, body.lower()))) for name, bodies in TEMPLATES.items() for body in bodies]
 
 
 def score(found: DataFrame, least: float = LEAST) -> DataFrame:
-    """``passage, license, cosine`` of distinct passages close to a template.
+    """``passage_id, license, cosine`` of distinct passages close to a template.
 
     Document frequencies count the distinct passages and the templates. Equal
-    cosines go to the first licence by name.
+    cosines go to the first licence by name. The templates are one array of
+    weights per term they use, so all cosines of a passage are sums of one pass.
     """
-    templates = _templates(found.sparkSession)
-    n = found.count() + sum(map(len, TEMPLATES.values()))
-    own, theirs = _terms(found, "passage", "passage"), _terms(templates, "template", "body")
-    df = own.select("term").union(theirs.select("term")).groupBy("term").count()
-    idf = df.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("count"))) + 1).alias("idf"))
-    weighted = own.join(idf, "term").select("passage", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    fixed_side = theirs.join(idf, "term").select("template", "term", (F.col("tf") * F.col("idf")).alias("v"))
-    lengths = fixed_side.groupBy("template").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("v_norm"))
-    fixed_side = fixed_side.join(lengths, "template").join(templates.select("template", "license"), "template")
-    norms = weighted.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("w_norm"))
-    dots = (
-        weighted.join(F.broadcast(fixed_side), "term")  # a row per template and term
-        .groupBy("passage", "license", "template")
-        .agg(F.sum(F.col("w") * F.col("v") / F.col("v_norm")).alias("dot"))
+    bodies = _bodies()
+    in_templates = Counter(term for _, counts in bodies for term in counts)
+    terms = pa.table({"term": list(in_templates), "n_templates": list(in_templates.values())})
+    fixed_terms = found.sparkSession.createDataFrame(terms)
+    n = found.count() + len(bodies)
+    own = _terms(found, "passage_id", "passage")
+    in_passages = own.groupBy("term").agg(F.count(F.lit(1)).alias("n_passages"))
+    df = fixed(
+        in_passages.join(F.broadcast(fixed_terms), "term", "left").select(
+            "term", (F.col("n_passages") + F.coalesce("n_templates", F.lit(0))).alias("df")
+        )
+    )
+    known = dict(in_templates) | {r.term: r.df for r in df.filter(F.col("term").isin(list(in_templates))).collect()}
+
+    def idf(count: int) -> float:
+        return math.log((1 + n) / (1 + count)) + 1
+
+    weights: dict[str, list[float]] = {term: [0.0] * len(bodies) for term in in_templates}
+    for i, (_, counts) in enumerate(bodies):
+        own_weights = {t: (1 + math.log(c)) * idf(known[t]) for t, c in counts.items()}
+        length = math.sqrt(sum(w * w for w in own_weights.values()))
+        for t, w in own_weights.items():
+            weights[t][i] = w / length
+    vectors = found.sparkSession.createDataFrame(pa.table({"term": list(weights), "v": list(weights.values())}))
+    weighted = own.join(
+        df.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")), "term"
+    ).join(F.broadcast(vectors), "term", "left")  # a row per term of the templates
+    w = F.col("tf") * F.col("idf")
+    sums = weighted.groupBy("passage_id").agg(
+        F.sqrt(F.sum(w * w)).alias("length"), *[F.sum(w * F.col("v")[i]).alias(f"dot{i}") for i in range(len(bodies))]
     )
-    cosine = F.round(F.col("dot") / F.col("w_norm"), 6).alias("cosine")
-    near = dots.join(norms, "passage").select("passage", "license", cosine).filter(F.col("cosine") >= least)
-    best = F.min(F.struct((-F.col("cosine")).alias("far"), "license"))
-    return near.groupBy("passage").agg(best.alias("b")).select("passage", "b.license", (-F.col("b.far")).alias("cosine"))
+    cosines = [
+        F.struct((-F.round(F.coalesce(f"dot{i}", F.lit(0.0)) / F.col("length"), 6)).alias("far"), F.lit(name).alias("license"))
+        for i, (name, _) in enumerate(bodies)
+    ]
+    best = sums.select("passage_id", F.array_min(F.array(*cosines)).alias("b"))
+    return best.select("passage_id", "b.license", (-F.col("b.far")).alias("cosine")).filter(F.col("cosine") >= least)
 
 
 def _folder(path: Column) -> Column:
@@ -183,11 +208,14 @@ def scan_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
             passages(text).alias("_lic_passages"),
         )
     )
-    spread = rows.select("_lic_path", "_lic_hash", F.explode("_lic_passages").alias("passage")).distinct()
-    scored = score(fixed(spread.select("passage").distinct()), least)
+    said = rows.select("_lic_path", "_lic_hash", F.explode("_lic_passages").alias("passage"))
+    said = said.withColumn("passage_id", F.md5("passage"))
+    once = said.groupBy("passage_id").agg(F.min("passage").alias("passage"))
+    scored = score(fixed(once), least)
+    spread = said.select("_lic_path", "_lic_hash", "passage_id").distinct()
     first = F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("_b")
     own = fixed(
-        spread.join(scored, "passage")
+        spread.join(scored, "passage_id")
         .groupBy("_lic_path", "_lic_hash")
         .agg(first)
         .select("_lic_path", "_lic_hash", F.col("_b.license").alias("_own"), (-F.col("_b.far")).alias("_cosine"))
