@@ -25,8 +25,9 @@ PAD = 256
 #: Bounds of the training sample: documents per language, and windows of each.
 SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 400, 4
 STEPS, TRAIN_BATCH, RATE = 240, 192, 0.012
-#: A document is accepted as being in its language from this mean probability on.
-LEAST_SCORE = 0.4
+#: A document is accepted as being in its language if the mean probability is this
+#: many times that of an even split; a text of a word or two can't be much surer.
+LEAST_OVER_EVEN = 1.2
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -306,9 +307,11 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel | None, least: float = LEAST_SCORE) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel | None, over_even: float = LEAST_OVER_EVEN) -> DataFrame:
     """``docs`` without rows whose language is unknown or unsure; columns as they are."""
     at = docs.columns.index("text")
+    # With one language there is no doubt to measure.
+    least = over_even / len(model.languages) if model and len(model.languages) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -75,7 +75,7 @@ def test_odd_rows(spark, model):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'q' AS lang_pred", "'bb' AS lang")
     got = [(r.doc_id, r.lang_pred) for r in lang.identify(docs, model).collect()]
     assert got[:6] == [(1, "und"), (2, "und"), (3, "und"), (4, "aa"), (4, "aa"), (None, "bb")]
-    kept = lang.keep_identified(docs, model, least=0.0)
+    kept = lang.keep_identified(docs, model, over_even=0.0)
     assert kept.columns == docs.columns
     assert [r.doc_id for r in kept.collect()] == [4, 4, None, 6]
     assert lang.identify(docs.limit(0), model).collect() == []
