@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .skew import lookup_by_key
 
 
+# A noncharacter set aside for internal use.
+NOBODY = "\ufdd1"
+
+
 def _totals(sales: DataFrame, *keys: str) -> DataFrame:
     """Last date, orders and money per key, rows without a customer included.
 
@@ -50,8 +54,10 @@ def with_rfm(sales: DataFrame) -> DataFrame:
     """Every sales row with its customer's R, F and M."""
     totals = _totals(sales, "customer_id")
     latest, orders = _whole(totals)
-    known = totals.filter(F.col("customer_id").isNotNull())
-    values = known.select("customer_id", *_values(latest, F.col("_last"), F.col("_orders"), F.col("_money")))
+    # The totals of rows without a customer stay, under a key that no row has: a
+    # filter would make these another aggregation than the one behind _whole.
+    key = F.coalesce("customer_id", F.lit(NOBODY)).alias("customer_id")
+    values = totals.select(key, *_values(latest, F.col("_last"), F.col("_orders"), F.col("_money")))
     return lookup_by_key(sales, values, "customer_id", weight="frequency", spread_on="order_id", total=orders)
 
 

@@ -60,8 +60,9 @@ def scans(df):
     return found
 
 
-def test_sales_are_read_once_for_the_ranking(sales):
+def test_sales_are_read_once_for_the_ranking_and_twice_for_all_rows(sales):
     assert scans(rank_customers(sales)) == 1
+    assert scans(with_rfm(sales)) == 2
 
 
 def test_ranking_is_a_top_k(sales, plan):
