@@ -27,7 +27,7 @@ CAPACITY = 4096
 END_ID = 2
 #: Pieces in a packing window, and words whose ids a worker keeps at a time.
 WINDOW = 8192
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 TOKENIZER = "word_bpe_49k.json"
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -89,7 +89,7 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, s)) for s in split]
 
 
-def _runs(texts: list[str], size: int = 2_000_000) -> Iterator[list[str]]:
+def _runs(texts: list[str], size: int = 1_000_000) -> Iterator[list[str]]:
     """Consecutive texts of about ``size`` characters together."""
     run, n = [], 0
     for text in texts:
