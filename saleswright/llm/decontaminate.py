@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 MIN_MATCH = 5
 COVERAGE = 0.8
 #: Characters of benchmark text that a task holds at a time.
@@ -218,7 +220,7 @@ def find_leaks(
              ("coverage", pa.float64()), ("n_tiles", pa.int64()),
              ("tiles", pa.list_(pa.struct([("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())])))]
         )
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for item_id, n, tiles in index.leaks(text, coverage):
@@ -246,7 +248,7 @@ def decontaminate(
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             clean = [next(index.leaks(t, coverage), None) is None for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled, slices
+
 #: Bounds of the training sample: pages, blocks of each, characters of a block.
 SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS = 400, 200, 400
 MADE_PAGES = 600
@@ -427,15 +429,15 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made: int = MADE_P
     a bounded number of blocks. An empty table trains on made pages alone.
     """
     place = F.xxhash64(F.col("page_id"), F.lit(seed))
-    edge = pages.select(place.alias("h")).orderBy("h").limit(sample_pages).agg(F.max("h")).first()[0]
+    total = pages.count()
     labelled: list[tuple[list[list[str]], list[int]]] = []
     texts: set[str] = set()
     small: set[str] = set()
-    if edge is not None:
+    if total:
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = pa.list_(pa.struct([("text", pa.string()), ("label", pa.int32()), ("names", pa.list_(pa.string()))]))
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for page in batch.column(0).to_pylist():
                     found = blocks(page)
@@ -443,7 +445,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made: int = MADE_P
                     rows.append([{"text": b.text[:SAMPLE_CHARS], "label": y, "names": f} for b, y, f in cut][:SAMPLE_BLOCKS])
                 yield pa.RecordBatch.from_arrays([pa.array(rows, kind)], ["blocks"])
 
-        sample = pages.filter(place <= edge).orderBy(place).limit(sample_pages).select(F.col("html").cast("string"))
+        sample = pages.filter(sampled(place, sample_pages, total)).orderBy(place).limit(sample_pages).select(F.col("html").cast("string"))
         for (found,) in sample.mapInArrow(read, "blocks array<struct<text:string,label:int,names:array<string>>>").collect():
             labels = [b.label for b in found]
             if any(labels):
@@ -470,7 +472,7 @@ def extract(pages: DataFrame, chain: Chain) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [main_text(page, chain) for page in batch.column(2).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])

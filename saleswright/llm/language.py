@@ -15,9 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled, slices
+
 UNKNOWN = "und"
 #: Bytes per window, width of each direction's state, and windows read at a time.
 LENGTH, STATE, BATCH = 96, 8, 2048
@@ -238,21 +240,19 @@ def train(
     """A model of every language in ``labelled (doc_id, text, lang)``; None if there is none.
 
     Per language, the documents with the smallest hashes of their ids are taken,
-    at most ``sample_documents``, and of each ``sample_windows`` windows spread
-    over the whole text. The hashes are ranked without the texts.
+    about ``sample_documents``, and of each ``sample_windows`` windows spread
+    over the whole text; never more windows than the product of the three.
     """
     place = F.xxhash64(F.col("doc_id"), F.lit(seed))
     with_text = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ids = with_text.select(F.col("lang").cast("string").alias("lang"), place.alias("_h"))
-    first = Window.partitionBy("lang").orderBy("_h")
-    ranked = ids.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= sample_documents)
-    edges = ranked.groupBy("lang").agg(F.max("_h").alias("h")).orderBy("lang").collect()  # a row per language
-    if not edges:
+    # A row per language.
+    sizes = sorted(with_text.groupBy(F.col("lang").cast("string")).count().collect())
+    if not sizes:
         return None
-    languages = tuple(r.lang for r in edges)
+    languages = tuple(lang for lang, _ in sizes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: tuple[list, list] = ([], [])
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 windows = split(text)
@@ -263,8 +263,8 @@ def train(
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary())], ["lang", "bytes"])
 
     chosen = F.lit(False)
-    for r in edges:
-        chosen = chosen | ((F.col("lang") == r.lang) & (place <= r.h))
+    for lang, n in sizes:
+        chosen = chosen | ((F.col("lang") == lang) & sampled(place, sample_documents, n))
     sample = with_text.filter(chosen).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string"))
     cuts = sample.mapInArrow(cut, "lang string, bytes binary")
     bound = len(languages) * sample_documents * sample_windows
@@ -297,7 +297,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = predictions(batch.column(1).to_pylist(), model)
             langs = pa.array([x[0] for x in found], pa.string())
             scores = pa.array([x[1] for x in found], pa.float64())
@@ -314,7 +314,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None, over_even: flo
     least = over_even / len(model.languages) if model and len(model.languages) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = predictions(batch.column(at).to_pylist(), model)
             yield batch.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in found], pa.bool_()))
 

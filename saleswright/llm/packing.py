@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fixed
+from .common import fixed, slices
 
 CAPACITY = 4096
 END_ID = 2
@@ -107,7 +107,7 @@ def _pieces(tokenizer: str, capacity: int, end_id: int, keep_ids: bool) -> Calla
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in range(5 + keep_ids)]
             texts = [text or "" for text in batch.column(1).to_pylist()]
             encoded = chain.from_iterable(map(encoder.encode, _runs(texts)))

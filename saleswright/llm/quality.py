@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fixed
+from .common import fixed, slices
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -86,7 +86,7 @@ def count_text(text: str | None) -> tuple[int, ...]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = [count_text(t) for t in batch.column("text").to_pylist()]
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(COUNTS)
         yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(3)] + columns, ["doc_id", "lang", "source", *COUNTS])

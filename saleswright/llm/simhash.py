@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fixed, fresh
+from .common import fixed, fresh, slices
 from .components import components
 
 SHINGLE = 3
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """``doc_id, text_hash, fp`` (the fingerprint as a signed long) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], dtype=np.uint64)
             columns = [batch.column(0), batch.column(1), pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
