@@ -2,7 +2,10 @@
 
 Lines and paragraphs that speak of a licence are compared with the templates as
 sparse vectors, one row per term, weighted over all such passages of the corpus.
-A passage that occurs in many files is scored once. A file has the licence of
+A passage that occurs in many files is scored once. Beside these whole units,
+every paragraph of any length gives its sentences and, around its key words,
+every window of as many words as a template has; they are weighted like the
+passages. A file has the licence of
 its best passage. A folder has that of the licence files in it, and files
 without a licence of their own take that of the nearest folder above them: the
 distinct folders are unrolled into their ancestors and joined to the licensed
@@ -13,17 +16,21 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fixed
+from .common import fixed, slices
 
 #: Least cosine of a passage to a template.
 LEAST = 0.6
-#: Longest line and paragraph taken whole; of longer ones, what is around a key word.
+#: Longest line and paragraph taken whole, and what is taken around a key word of
+#: longer lines. Sentences and windows come from paragraphs of any length.
 LINE, PARAGRAPH, BEFORE, AFTER = 600, 6000, 160, 240
 
 # Names of licence files, words that a passage has to have, terms.
@@ -100,6 +107,58 @@ TEMPLATES = {
 }
 
 
+_LENGTHS = sorted({len(re.findall(TERM, body.lower())) for bodies in TEMPLATES.values() for body in bodies})
+#: Most words of a stretch: longer ones are cut, and share what one window needs.
+STRETCH = 4 * _LENGTHS[-1]
+#: Key words with any blanks, line ends or comment marks between.
+SPREAD_KEY = KEY.replace(" ", "[^a-z0-9]+")
+_KEY, _SPREAD_KEY = re.compile(KEY, re.A), re.compile(SPREAD_KEY, re.A)
+
+
+def _key_words(words: list[str]) -> list[tuple[int, int]]:
+    """First and last word of every key word or phrase."""
+    starts, at = [], 0
+    for w in words:
+        starts.append(at)
+        at += len(w) + 1
+    return [(bisect_right(starts, m.start()) - 1, bisect_right(starts, m.end() - 1) - 1) for m in _KEY.finditer(" ".join(words))]
+
+
+def stretches(text: str) -> set[tuple[str, bool]]:
+    """(words, whole) that speak of a licence: sentences, and what windows are cut from.
+
+    Every run of a template's length that holds a key word lies in one stretch.
+    A sentence longer than ``STRETCH`` words is seen by its windows alone.
+    """
+    most, out = _LENGTHS[-1], set()
+    for unit in re.split(r"\n[ \t\r]*\n", text):
+        if not _SPREAD_KEY.search(unit):
+            continue
+        words = re.findall(TERM, unit.lower())
+        spans: list[list[int]] = []
+        for first, last in _key_words(words):
+            a, b = max(0, last + 1 - most), min(len(words), first + most)
+            if spans and a <= spans[-1][1]:
+                spans[-1][1] = max(b, spans[-1][1])
+            else:
+                spans.append([a, b])
+        for a, b in spans:
+            for at in range(a, max(a + 1, b - most + 1), STRETCH - most + 1):
+                out.add((" ".join(words[at : min(b, at + STRETCH)]), False))
+        for sentence in re.split(r"(?<=[.!?;])\s+", unit):
+            if _SPREAD_KEY.search(sentence) and len(own := re.findall(TERM, sentence.lower())) <= STRETCH:
+                out.add((" ".join(own), True))
+    return {(words, whole) for words, whole in out if _KEY.search(words)}
+
+
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        rows = [(p, h, *s) for p, h, t in zip(*(c.to_pylist() for c in batch.columns)) for s in sorted(stretches(t))]
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_())
+        columns = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 4, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["_lic_path", "_lic_hash", "passage", "whole"])
+
+
 def passages(text: Column) -> Column:
     """Distinct lines and paragraphs of a text that speak of a licence."""
     lines, paragraphs = F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n")
@@ -136,39 +195,48 @@ def _bodies() -> list[tuple[str, Counter]]:
     return [(name, Counter(re.findall(TERM, body.lower()))) for name, bodies in TEMPLATES.items() for body in bodies]
 
 
-def score(found: DataFrame, least: float = LEAST) -> DataFrame:
+def inverse(n: int, count: int) -> float:
+    """Inverse document frequency of a term in ``count`` of ``n`` passages."""
+    return math.log((1 + n) / (1 + count)) + 1
+
+
+class Weights:
+    """Inverse document frequencies over passages and templates, and the templates' vectors."""
+
+    def __init__(self, found: DataFrame):
+        self.bodies = _bodies()
+        in_templates = Counter(term for _, counts in self.bodies for term in counts)
+        terms = pa.table({"term": list(in_templates), "n_templates": list(in_templates.values())})
+        fixed_terms = found.sparkSession.createDataFrame(terms)
+        self.n = found.count() + len(self.bodies)
+        self.own = _terms(found, "passage_id", "passage")
+        in_passages = self.own.groupBy("term").agg(F.count(F.lit(1)).alias("n_passages"))
+        self.df = fixed(
+            in_passages.join(F.broadcast(fixed_terms), "term", "left").select(
+                "term", (F.col("n_passages") + F.coalesce("n_templates", F.lit(0))).alias("df")
+            )
+        )
+        known = dict(in_templates) | {r.term: r.df for r in self.df.filter(F.col("term").isin(list(in_templates))).collect()}
+        self.idf = {term: inverse(self.n, count) for term, count in known.items()}
+        self.vectors: dict[str, list[float]] = {term: [0.0] * len(self.bodies) for term in in_templates}
+        for i, (_, counts) in enumerate(self.bodies):
+            own_weights = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
+            length = math.sqrt(sum(w * w for w in own_weights.values()))
+            for t, w in own_weights.items():
+                self.vectors[t][i] = w / length
+
+
+def score(found: DataFrame, weights: Weights, least: float = LEAST) -> DataFrame:
     """``passage_id, license, cosine`` of distinct passages close to a template.
 
     Document frequencies count the distinct passages and the templates. Equal
     cosines go to the first licence by name. The templates are one array of
     weights per term they use, so all cosines of a passage are sums of one pass.
     """
-    bodies = _bodies()
-    in_templates = Counter(term for _, counts in bodies for term in counts)
-    terms = pa.table({"term": list(in_templates), "n_templates": list(in_templates.values())})
-    fixed_terms = found.sparkSession.createDataFrame(terms)
-    n = found.count() + len(bodies)
-    own = _terms(found, "passage_id", "passage")
-    in_passages = own.groupBy("term").agg(F.count(F.lit(1)).alias("n_passages"))
-    df = fixed(
-        in_passages.join(F.broadcast(fixed_terms), "term", "left").select(
-            "term", (F.col("n_passages") + F.coalesce("n_templates", F.lit(0))).alias("df")
-        )
-    )
-    known = dict(in_templates) | {r.term: r.df for r in df.filter(F.col("term").isin(list(in_templates))).collect()}
-
-    def idf(count: int) -> float:
-        return math.log((1 + n) / (1 + count)) + 1
-
-    weights: dict[str, list[float]] = {term: [0.0] * len(bodies) for term in in_templates}
-    for i, (_, counts) in enumerate(bodies):
-        own_weights = {t: (1 + math.log(c)) * idf(known[t]) for t, c in counts.items()}
-        length = math.sqrt(sum(w * w for w in own_weights.values()))
-        for t, w in own_weights.items():
-            weights[t][i] = w / length
-    vectors = found.sparkSession.createDataFrame(pa.table({"term": list(weights), "v": list(weights.values())}))
-    weighted = own.join(
-        df.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")), "term"
+    bodies, n = weights.bodies, weights.n
+    vectors = found.sparkSession.createDataFrame(pa.table({"term": list(weights.vectors), "v": list(weights.vectors.values())}))
+    weighted = weights.own.join(
+        weights.df.select("term", (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1).alias("idf")), "term"
     ).join(F.broadcast(vectors), "term", "left")  # a row per term of the templates
     w = F.col("tf") * F.col("idf")
     sums = weighted.groupBy("passage_id").agg(
@@ -182,6 +250,58 @@ def score(found: DataFrame, least: float = LEAST) -> DataFrame:
     return best.select("passage_id", "b.license", (-F.col("b.far")).alias("cosine")).filter(F.col("cosine") >= least)
 
 
+def best_window(words: list[str], whole: bool, idf: dict[str, float], names: list[str], vectors: dict[str, list[float]]) -> tuple[float, str]:
+    """(minus cosine, licence) of the words, or of the best window with a key word in them."""
+    number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    scale = np.array([idf[w] for w in number])
+    templates = np.array([vectors.get(w) or [0.0] * len(names) for w in number])
+    upto = np.zeros((len(words) + 1, len(number)))
+    upto[np.arange(1, len(words) + 1), [number[w] for w in words]] = 1
+    upto = upto.cumsum(axis=0)
+    keys = _key_words(words)
+    best = np.full(len(names), -1.0)
+    for size in {len(words)} if whole else {min(n, len(words)) for n in _LENGTHS}:
+        at = sorted({i for a, b in keys for i in range(max(0, b + 1 - size), min(a, len(words) - size) + 1)})
+        if not at:
+            continue
+        counts = upto[np.array(at) + size] - upto[at]
+        w = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * scale
+        best = np.maximum(best, (w @ templates / np.sqrt((w * w).sum(axis=1))[:, None]).max(axis=0))
+    return min((-round(float(c), 6), name) for c, name in zip(best, names))
+
+
+def score_stretches(found: DataFrame, weights: Weights, least: float = LEAST) -> DataFrame:
+    """``passage_id, license, cosine`` of distinct stretches with a window close to a template.
+
+    Frequencies of the templates' terms travel with the code; only other terms
+    are joined, so the words that every stretch has are in no join.
+    """
+    known, vectors, names, n = weights.idf, weights.vectors, [name for name, _ in weights.bodies], weights.n
+    others = (
+        found.select("passage_id", F.explode(F.array_distinct(F.split("passage", " "))).alias("term"))
+        .filter(~F.col("term").isin(list(known)))
+        .join(weights.df, "term")
+        .groupBy("passage_id")
+        .agg(F.collect_list(F.struct("term", "df")).alias("terms"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = []
+            for key, text, whole, terms in zip(*(c.to_pylist() for c in batch.columns)):
+                words = text.split(" ")
+                idf = dict.fromkeys(words, inverse(n, 0)) | known | {t["term"]: inverse(n, t["df"]) for t in terms or ()}
+                far, name = best_window(words, whole, idf, names, vectors)
+                if -far >= least:
+                    rows.append((key, name, -far))
+            kinds = (pa.string(), pa.string(), pa.float64())
+            columns = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 3, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["passage_id", "license", "cosine"])
+
+    joined = found.join(others, "passage_id", "left").select("passage_id", "passage", "whole", "terms")
+    return joined.mapInArrow(run, "passage_id string, license string, cosine double")
+
+
 def _folder(path: Column) -> Column:
     return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
 
@@ -211,8 +331,17 @@ def scan_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     said = rows.select("_lic_path", "_lic_hash", F.explode("_lic_passages").alias("passage"))
     said = said.withColumn("passage_id", F.md5("passage"))
     once = said.groupBy("passage_id").agg(F.min("passage").alias("passage"))
-    scored = score(fixed(once), least)
-    spread = said.select("_lic_path", "_lic_hash", "passage_id").distinct()
+    once = fixed(once)
+    weights = Weights(once)
+    texts = files.select(
+        F.coalesce(F.col("path").cast("string"), F.lit("")).alias("_lic_path"), F.xxhash64(text).alias("_lic_hash"), text.alias("text")
+    ).filter(F.col("text").rlike(SPREAD_KEY))
+    cut = texts.mapInArrow(_stretches, "_lic_path string, _lic_hash long, passage string, whole boolean")
+    cut = fixed(cut.withColumn("passage_id", F.md5(F.concat(F.col("whole").cast("string"), "passage"))))
+    cut_once = cut.groupBy("passage_id").agg(F.min("passage").alias("passage"), F.min("whole").alias("whole"))
+    scored = score(once, weights, least).unionByName(score_stretches(cut_once, weights, least))
+    keys = ("_lic_path", "_lic_hash", "passage_id")
+    spread = said.select(*keys).unionByName(cut.select(*keys)).distinct()
     first = F.min(F.struct((-F.col("cosine")).alias("far"), "license")).alias("_b")
     own = fixed(
         spread.join(scored, "passage_id")

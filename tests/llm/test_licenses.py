@@ -127,3 +127,32 @@ def test_templates_find_themselves(name):
     for body in lic.TEMPLATES[name]:
         assert re.search(lic.KEY, body)
         assert plain_scores([folded(body)])[folded(body)][0] == name
+
+
+def test_licence_amid_other_text(spark):
+    """Long and mixed lines, wrapped grants and paragraphs of any length."""
+    grant = lic.TEMPLATES["MIT"][3]
+    at = [i for i, c in enumerate(grant) if c == " "]
+    wrapped = "".join("\n * " if i in at[5::9] else c for i, c in enumerate(grant))
+    prose = [f"word{i % 97} and some text" for i in range(400)]
+    files = [
+        ("wrapped", "\n".join([*prose, wrapped, *prose])),
+        ("long line", " ".join([*prose, "Licensed under the Mozilla Public License, Version 2.0.", *prose])),
+        ("mixed line", f"{' '.join(prose[:20])}. Licensed under the ISC License. {' '.join(prose[:20])}"),
+        ("wrapped key", " ".join(prose).replace(" ", "\n") + "\n" + lic.TEMPLATES["BSD-3-Clause"][1].replace(" ", "\n# ")),
+        ("none", " ".join([*prose, "my licence to drive", *prose])),
+    ]
+    assert all(len(text) > 6000 for name, text in files if name != "mixed line")
+    got = {r.path: r.license for r in lic.scan_licenses(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {"wrapped": "MIT", "long line": "MPL-2.0", "mixed line": "ISC", "wrapped key": "BSD-3-Clause", "none": None}
+
+
+def test_every_window_with_a_key_word_lies_in_a_stretch():
+    words = [("license" if i in (40, 300, 420) or 900 < i < 1300 else "".join(chr(97 + int(c)) for c in str(i))) for i in range(1500)]
+    found = {w for w, whole in lic.stretches(" ".join(words)) if not whole}
+    assert all(len(w.split()) <= lic.STRETCH for w in found)
+    for size in lic._LENGTHS:
+        for at in range(len(words) - size + 1):
+            window = words[at : at + size]
+            if "license" in window:
+                assert any(f" {' '.join(window)} " in f" {w} " for w in found)
