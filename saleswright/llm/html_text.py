@@ -36,7 +36,8 @@ BLOCK_TAGS = frozenset(
     "section select summary table tbody td tfoot th thead tr ul option button".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = ("script", "style", "textarea", "title", "template", "svg", "iframe", "noframes", "object", "math")
+RAW_TAGS = ("script", "style", "textarea", "title", "template", "iframe", "noframes")
+FOREIGN_TAGS = ("svg", "math")
 CLOSES_P = BLOCK_TAGS - {"option", "button", "legend", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
 ONE_OF = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr",)}
 
@@ -58,11 +59,12 @@ SIGNS = frozenset(
 
 @dataclass(slots=True)
 class Block:
-    """A leaf block: its text, the elements above it and the share of link text."""
+    """A leaf block: its text, the elements above it, characters of link text and of svg text."""
 
     text: str
     path: tuple[tuple[str, tuple[str, ...]], ...]
     linked: int
+    drawn: int = 0
 
 
 def _names(attributes: str) -> tuple[str, ...]:
@@ -81,22 +83,25 @@ def blocks(page: str | None) -> list[Block]:
 
     Character references are decoded and white space becomes single blanks.
     Tags may be left open: a paragraph ends where the next block starts. An
-    unfinished tag at the end of a page is no text.
+    unfinished tag at the end of a page is no text. ``svg``, ``math`` and
+    ``object`` are read like other inline elements; in the first two ``/>`` ends
+    an element, and a block element ends both.
     """
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
-    links, linked, at = 0, 0, 0
+    links, linked, drawn, at = 0, 0, 0, 0
+    foreign: list[str] = []
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, drawn
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                out.append(Block(joined, tuple(stack), linked))
+                out.append(Block(joined, tuple(stack), linked, drawn))
             text.clear()
-        linked = 0
+        linked = drawn = 0
 
     def close(tags: Iterable[str], *, within: str | None = None) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -113,6 +118,8 @@ def blocks(page: str | None) -> list[Block]:
             text.append(piece)
             if links:
                 linked += len(piece)
+            if "svg" in foreign:
+                drawn += len(piece.strip())
         if not m:
             break
         at = m.end()
@@ -122,12 +129,23 @@ def blocks(page: str | None) -> list[Block]:
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
+            elif tag in foreign:
+                del foreign[len(foreign) - 1 - foreign[::-1].index(tag) :]
             elif tag in BLOCK_TAGS and any(t == tag for t, _ in stack):
                 flush()
                 close((tag,))
                 links = 0
+                foreign.clear()
             continue
-        if tag in RAW_TAGS:
+        if tag in FOREIGN_TAGS:
+            if not m[3].endswith("/>"):
+                foreign.append(tag)
+        elif tag in RAW_TAGS and foreign:
+            # Of a drawing or formula, an element without its end tag goes as far as that.
+            if not m[3].endswith("/>"):
+                end = re.compile(rf"</{tag}\s*>|(?=</{foreign[-1]}\s*>)", re.I).search(page, at)
+                at = end.end() if end else at
+        elif tag in RAW_TAGS:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             if tag in ("textarea", "title"):
@@ -139,6 +157,7 @@ def blocks(page: str | None) -> list[Block]:
         elif tag in BLOCK_TAGS:
             flush()
             links = 0
+            foreign.clear()
             if tag in CLOSES_P:
                 close(("p",), within=("table", "button", "article", "section", "div", "td"))
             if tag in ONE_OF:
@@ -168,6 +187,8 @@ def features(found: list[Block]) -> list[list[str]]:
         f += [f"named:{n}" for n in {n for _, names in b.path for n in names}]
         f += [f"sign:{w}" for w in lower & SIGNS]
         f.append(f"links:{_size(10 * b.linked // max(1, len(b.text)), (1, 4, 8))}")
+        if b.drawn:
+            f.append(f"svg:{_size(10 * b.drawn // max(1, len(b.text)), (1, 4, 8))}")
         f.append(f"end:{b.text[-1] if b.text[-1] in '.!?:' else 'x'}")
         f.append(f"beside:{_size(paragraphs[b.path[:-1]], (1, 2, 4))}")
         f.append(f"title:{title_seen}")

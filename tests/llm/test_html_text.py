@@ -125,3 +125,25 @@ def test_odd_rows(spark, chain):
 def test_training_on_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert h.train(pages, made=30).weights
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<p>a <svg width="1"/> b</p><p>c</p>', ["a b", "c"]),
+        ("<p>a <math/> b</p><p>c <math><mi>x</mi><mo>=</mo><mn>1</mn></math> d</p>", ["a b", "c x=1 d"]),
+        ('<p>a</p><object data="x"/><p>b</p><object data="y"><p>instead</p>', ["a", "b", "instead"]),
+        ('<p>a <object data="x">instead</object> b</p>', ["a instead b"]),
+        ("<p>a <svg><path d='M0'><p>b</p>c", ["a", "b", "c"]),
+        ("<p>a <svg><title/><style/><text>t</text></svg> b</p><p>c", ["a t b", "c"]),
+        ("<p>a <svg><title>icon</svg> b</p><svg><title>two</title></svg>c", ["a b", "c"]),
+    ],
+)
+def test_drawings_formulas_and_objects_amid_an_article(page, texts):
+    assert [b.text for b in h.blocks(page)] == texts
+
+
+def test_svg_text_is_marked():
+    found = h.blocks("<p>a b c d e f <svg><text>g</text></svg></p><svg><text>label</text></svg><p>plain <math><mi>x</mi></math><p><svg/>plain")
+    marks = [[f for f in row if f.startswith("svg:")] for row in h.features(found)]
+    assert [bool(m) for m in marks] == [True, True, False, False] and marks[0] != marks[1]
