@@ -180,7 +180,7 @@ def features(found: list[Block]) -> list[list[str]]:
         tags = [t for t, _ in b.path]
         tag = tags[-1] if tags else ""
         words = b.text.split()
-        lower = {w.strip(".,:;!?()").lower() for w in words[:60]}
+        lower = {w.strip(".,:;!?()").lower() for w in words}
         title_seen |= tag == "h1"
         f = ["bias", f"tag:{tag}", f"words:{_size(len(words), (3, 6, 12, 25, 50))}"]
         f += [f"in:{t}" for t in set(tags)]

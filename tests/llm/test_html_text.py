@@ -147,3 +147,8 @@ def test_svg_text_is_marked():
     found = h.blocks("<p>a b c d e f <svg><text>g</text></svg></p><svg><text>label</text></svg><p>plain <math><mi>x</mi></math><p><svg/>plain")
     marks = [[f for f in row if f.startswith("svg:")] for row in h.features(found)]
     assert [bool(m) for m in marks] == [True, True, False, False] and marks[0] != marks[1]
+
+
+def test_wording_of_a_long_block_is_read_to_its_end():
+    page = "<p>" + "word " * 500 + "Subscribe to our newsletter.</p>"
+    assert {"sign:subscribe", "sign:newsletter"} <= set(h.features(h.blocks(page))[0])
