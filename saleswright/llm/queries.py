@@ -17,6 +17,7 @@ from .licenses import scan_licenses
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
 from .quality import COUNTS, SPREAD, quality
+from .runs import find_runs
 from .sharding import assign_shards
 from .simhash import near_duplicates
 
@@ -118,6 +119,44 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(configure(spark), sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs and collapsed text, after the repeated endings that the contract plants by id."""
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    planted = docs.withColumns({"words": F.when(h % 10 == 0, words), "g": F.floor(h / 10)})
+    planted = planted.withColumn("n", F.size("words"))
+    n, g = F.col("n"), F.col("g")
+    planted = planted.withColumn("a", F.when(n > 0, F.try_mod(g, n)).cast("int"))
+    left = n - F.col("a")
+    planted = planted.withColumn("p", (1 + F.floor(left / (3 + g % 8))).cast("int"))
+    root = F.slice("words", F.col("a") + 1, F.col("p"))
+    ending = F.flatten(F.array_repeat(root, F.ceil(left / F.col("p")).cast("int")))
+    both = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(ending, F.lit(1), left))
+    text = F.when(F.col("a").isNotNull(), F.array_join(both, " ")).otherwise(F.col("text"))
+    found = find_runs(planted.select("doc_id", text.alias("text")))
+
+    def better(x, y):
+        """The run with more periods, then the earlier, then the shorter period."""
+        mine, other = x["length"] * y["period"], y["length"] * x["period"]
+        earlier = (x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["period"] < y["period"]))
+        return F.when((mine > other) | ((mine == other) & earlier), x).otherwise(y)
+
+    runs = F.col("runs")
+    best = F.aggregate(runs, F.get(runs, F.lit(0)), better)
+    lines = F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -130,6 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8_licenses,
         "op9_html": op9_html,
         "op10_packing": op10_packing,
+        "op13_runs": op13_runs,
     }
 
 
