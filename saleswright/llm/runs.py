@@ -145,12 +145,12 @@ def _stretches(words: np.ndarray) -> Iterator[tuple[int, int]]:
         pair = part[:-2] * base + part[1:-1]
         if base > 2_000_000:  # else three numbers fit into one
             pair = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        order = np.argsort(window := pair * base + part[2:], kind="stable")
-        ordered = window[order]
-        thrice = np.flatnonzero(ordered[2:] == ordered[:-2])
-        hit = np.zeros(len(window), dtype=bool)
-        for k in range(3):
-            hit[order[thrice + k]] = True
+        window = pair * base + part[2:]
+        ordered = np.sort(window)
+        thrice = ordered[2:][ordered[2:] == ordered[:-2]]
+        if not len(thrice):
+            continue
+        hit = thrice[np.minimum(np.searchsorted(thrice, window), len(thrice) - 1)] == window
         edge = np.zeros(len(part) + 1, dtype=np.int64)
         at = np.flatnonzero(hit)
         edge[at] += 1
