@@ -1,0 +1,109 @@
+"""Ranked search against scores of all pairs of items and documents."""
+
+import math
+import random
+import re
+
+import duckdb
+import pytest
+from conftest import SF_SMALL
+from hypothesis import given
+from hypothesis import strategies as st
+
+from saleswright.llm import search
+from saleswright.llm.queries import oracle_sql, queries
+from saleswright.llm.search import blocks, rank_documents, terms
+
+
+def plain_terms(text):
+    lowered = re.sub("[A-Z]", lambda c: c[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def plain_ranks(docs, items, top):
+    found = [(doc_id, plain_terms(text)) for doc_id, text in docs]
+    found = [(d, w) for d, w in found if w]
+    n_docs, n_words = len(found), sum(len(w) for _, w in found)
+    out = []
+    for item_id, text in items:
+        scored = []
+        for doc_id, words in found:
+            m, score = 100 - 50 + (50 * len(words) * n_docs) // n_words, 0
+            for term in set(plain_terms(text)):
+                if tf := words.count(term):
+                    df = sum(term in w for _, w in found)
+                    weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+                    score += weight * ((1_000_000_000 * tf) // (1000 * tf + 20 * m))
+            if score > 0:
+                scored.append((-score, doc_id is not None, doc_id or 0, doc_id))
+        out += [(item_id, k + 1, d, -s) for k, (s, _, _, d) in enumerate(sorted(scored, key=lambda x: x[:3])[:top])]
+    return out
+
+
+def got(df):
+    return sorted([tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()], key=repr)
+
+
+@given(st.text(st.sampled_from("aZ9é_[\x00\x7f\x80\x85 İ中"), max_size=30))
+def test_terms(text):
+    assert [t.decode() for t in terms(text)] == plain_terms(text)
+
+
+def corpus(seed=3, n=300):
+    random.seed(seed)
+    words = [f"w{i}" for i in range(40)] + ["The", "of", "É", "x1"]
+    rows = [(i, " ".join(random.choices(words, k=random.randint(0, 30)))) for i in random.sample(range(10_000), n)]
+    copies = [(20_000 + i, rows[i % 3][1]) for i in range(120)]  # groups larger than the limit
+    reordered = [(30_000 + i, " ".join(random.sample(t.split(), len(t.split())))) for i, (_, t) in enumerate(rows[3:40])]
+    odd = [(None, rows[0][1]), (None, "w1 w2"), (7, None), (8, ""), (9, "?! "), (11, "w1"), (11, "w1")]
+    items = [(i, " ".join(random.choices(words, k=random.randint(1, 12)))) for i in range(12)]
+    items += [(20, None), (21, ""), (22, "nowhere to be found"), (None, "w1 w5"), (23, "w3"), (23, "w3")]
+    return rows + copies + reordered + odd, items
+
+
+@pytest.mark.parametrize("top,most", [(50, search.BLOCK_POSTINGS), (3, 15), (1, 1)])
+def test_all_pairs(spark, top, most):
+    docs, items = corpus()
+    documents = spark.createDataFrame([(*r, 1) for r in docs], "doc_id long, text string, item_id int").repartition(5)
+    asked = spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, doc_id int")
+    assert got(rank_documents(documents, asked, top, most)) == sorted(plain_ranks(docs, items, top), key=repr)
+
+
+def test_small_slices(spark, monkeypatch):
+    """Classes that meet only after the shuffle, and score tables of few rows."""
+    monkeypatch.setattr(search, "_NEAR", 2)
+    monkeypatch.setattr(search, "_CELLS", 40)
+    docs, items = corpus(4)
+    block = next(blocks(spark.createDataFrame(items, "item_id long, text string")))
+    scorer = search.Scorer(block, search.np.full(len(block.vocabulary), 7), 5)
+    rows = [(m, search.np.array([(0, 2), (1, 1)], "<u4").tobytes(), [m]) for m in range(50, 90)]
+    for row in rows:
+        scorer.add([row])
+    item, doc_id, _ = scorer.documents()
+    assert set(doc_id) == {50, 51, 52, 53, 54} and set(item.tolist()) == {*block.postings[0], *block.postings[1]}
+    documents = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert got(rank_documents(documents, asked, 5)) == sorted(plain_ranks(docs, items, 5), key=repr)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert got(rank_documents(docs.limit(0), items)) == []
+    assert got(rank_documents(docs, items.limit(0))) == []
+    assert [r[:3] for r in got(rank_documents(docs, items))] == [(1, 1, 1)]
+
+
+def test_long_text(spark):
+    text = "w1 " + "w2 " * 300_000 + " ".join(f"u{i}" for i in range(200_000))
+    docs, items = [(1, text), (2, "w1 w2")], [(1, "w2 u5 w1"), (2, "u199999")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert got(rank_documents(*frames)) == sorted(plain_ranks(docs, items, 50), key=repr)
+
+
+def test_query(spark):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_SMALL}/{name}.parquet'")
+    want = con.execute(oracle_sql()["op12_search"]).fetchall()
+    assert got(queries()["op12_search"](spark, SF_SMALL)) == sorted(want, key=repr) and len(want) > 500
