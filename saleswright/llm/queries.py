@@ -11,6 +11,7 @@ from ..session import configure
 from . import language, secrets
 from .common import table
 from .decontaminate import find_leaks
+from .embeddings import near_vectors
 from .html_text import extract
 from .html_text import train as train_chain
 from .licenses import scan_licenses
@@ -23,6 +24,24 @@ from .sharding import assign_shards
 from .simhash import near_duplicates
 
 
+#: Cosines of all pairs, and what links reach from each vector.
+EMBEDDINGS_SQL = """
+    WITH RECURSIVE vector AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+              AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+    link AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM vector a JOIN vector b
+        ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    reached AS (
+        SELECT a, b FROM link UNION SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a),
+    least AS (SELECT a, MIN(b) AS b FROM reached GROUP BY a),
+    direct AS (SELECT a, COUNT(*) AS n FROM link GROUP BY a)
+    SELECT vec_id, COALESCE(direct.n, 0) AS n_links, LEAST(vec_id, COALESCE(least.b, vec_id)) AS component_id,
+           vec_id <= COALESCE(least.b, vec_id) AS kept
+    FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN direct ON direct.a = vec_id
+"""
+
 #: Ranked search in plain SQL: terms, weights, scores of all pairs, the first 50 of each item.
 SEARCH_SQL = r"""
     WITH word AS (
@@ -151,6 +170,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(configure(spark), sf_dir, "documents"))
 
 
+def op11_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(configure(spark), sf_dir, "embeddings"))
+
+
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -206,6 +229,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_licenses": op8_licenses,
         "op9_html": op9_html,
         "op10_packing": op10_packing,
+        "op11_embeddings": op11_embeddings,
         "op12_search": op12_search,
         "op13_runs": op13_runs,
     }
@@ -213,4 +237,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that it can express; tests restate the others plainly."""
-    return {"op12_search": SEARCH_SQL}
+    return {"op11_embeddings": EMBEDDINGS_SQL, "op12_search": SEARCH_SQL}

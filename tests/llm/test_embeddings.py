@@ -1,0 +1,123 @@
+"""Near-duplicate vectors against cosines of all pairs."""
+
+import duckdb
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+
+from saleswright.llm import embeddings
+from saleswright.llm.embeddings import Tile, forest, near_vectors, quantise, unit
+from saleswright.llm.queries import oracle_sql, queries
+
+
+def plain(rows, threshold):
+    """``vec_id, n_links, component_id, kept`` by comparing all pairs of rows."""
+    usable = {
+        i: np.array(v, dtype=np.float64)
+        for i, (_, v) in enumerate(rows)
+        if v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    }
+    usable = {i: (v / np.abs(v).max()) for i, v in usable.items()}
+    near = {i: set() for i in range(len(rows))}
+    for i, x in usable.items():
+        for j, y in usable.items():
+            if i < j and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                near[i].add(j)
+                near[j].add(i)
+    out = []
+    for i, (vec_id, _) in enumerate(rows):
+        seen, todo = set(), [i]
+        while todo:
+            k = todo.pop()
+            if k not in seen:
+                seen.add(k)
+                todo += near[k]
+        least = min((rows[k][0] for k in seen if rows[k][0] is not None), default=None)
+        out.append((vec_id, len(near[i]), least, vec_id is not None and vec_id == least))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted([tuple(r) for r in df.select("vec_id", "n_links", "component_id", "kept").collect()], key=repr)
+
+
+def close_to(rng, v, cosine):
+    """A vector at about that cosine from ``v``."""
+    noise = rng.normal(size=len(v))
+    noise -= noise @ v / (v @ v) * v
+    return cosine * v / np.linalg.norm(v) + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise)
+
+
+def sample(seed=1, dimension=16):
+    rng = np.random.default_rng(seed)
+    rows = [v for v in rng.normal(size=(120, dimension))]
+    for c in np.concatenate([np.linspace(0.88, 0.92, 41), [0.9 + 1e-9, 0.9 - 1e-9, 0.97]]):
+        rows += [close_to(rng, rows[k], c) * rng.uniform(0.01, 100) for k in range(4)]
+    rows += [close_to(rng, rows[5], 0.99) for _ in range(60)]  # a group of near copies
+    rows += [rows[k % 3] for k in range(50)]  # groups of copies
+    return [r.astype(np.float32).astype(np.float64) for r in rows]
+
+
+SCHEMA = "vec_id long, embedding array<double>, label int, number int, n int"
+
+
+@pytest.mark.parametrize("threshold,blocks", [(0.9, 4), (0.5, 1), (0.99, 16)])
+def test_all_pairs(spark, threshold, blocks, monkeypatch):
+    monkeypatch.setattr(embeddings, "TILE", 32)
+    rows = [(i * 7 % 1009, v.tolist()) for i, v in enumerate(sample())]
+    df = spark.createDataFrame([(*r, 0, 1, 2) for r in rows], SCHEMA).repartition(3)
+    assert got(near_vectors(df, threshold, blocks)) == plain(rows, threshold)
+
+
+def test_odd_vectors(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0, 0.0])]
+    rows += [(8, [5.0, 0.0]), (9, [1.0, -0.0]), (9, [1.0, -0.0]), (None, [2.0, 0.0]), (None, [0.0, 3.0]), (None, None)]
+    rows += [(10, [1.0, 0.0, 0.0]), (11, [1e300, 1e300, 0.0]), (12, [1e-300, 1e-300, 0.0]), (13, [-1.0, 0.0]), (14, [7.0]), (15, [2.0])]
+    df = spark.createDataFrame([(*r, 0, 1, 2) for r in rows], SCHEMA).repartition(2)
+    assert got(near_vectors(df)) == plain(rows, 0.9)
+    assert got(near_vectors(df.limit(0))) == []
+    assert got(near_vectors(df.filter("vec_id <= 6"))) == [(i, 0, i, True) for i in range(1, 7)]
+    with pytest.raises(ValueError):
+        near_vectors(df, 0.0)
+
+
+@pytest.mark.parametrize("dimension", [3, 64, 2500])
+def test_bounds_hold(dimension):
+    """No pair is called sure or dropped against its cosine, at thresholds next to it."""
+    rng = np.random.default_rng(dimension)
+    x = unit(rng.normal(size=(40, dimension)) * rng.exponential(size=(40, dimension)) ** 3)
+    y = unit(np.array([close_to(rng, v, c) for v, c in zip(x, np.linspace(0.5, 1, 40))]))
+    cosine = x @ y.T
+    a, b = Tile(*quantise(x)), Tile(*quantise(y))
+    for threshold in (0.05, 0.5, 0.9, 0.99, *np.diag(cosine)[::8]):
+        sure, maybe = a.verdict(b, threshold)
+        assert (cosine[tuple(sure)] >= threshold).all()
+        found = set(zip(*sure.tolist())) | set(zip(*maybe.tolist()))
+        assert set(zip(*(i.tolist() for i in np.nonzero(cosine >= threshold)))) <= found
+        bound = a.off.max() + b.off.max() + a.off.max() * b.off.max()
+        assert len(found) <= (cosine >= threshold - 2 * bound - 1e-6).sum()
+
+
+def test_forest():
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 30):
+        for links in (0, 1, size):
+            a, b = rng.integers(0, size, links), rng.integers(0, size, links)
+            root = list(range(size))
+            for _ in range(size):
+                for i, j in zip(a, b):
+                    root[i] = root[j] = min(root[i], root[j])
+            to, at = forest(a, b, size)
+            found = list(range(size))
+            for i, j in zip(to, at):
+                found[j] = i
+            assert found == root
+
+
+def test_query(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_SMALL}/embeddings.parquet'")
+    want = con.execute(oracle_sql()["op11_embeddings"]).fetchall()
+    assert got(queries()["op11_embeddings"](spark, SF_SMALL)) == sorted(want, key=repr)
+    assert sum(r[1] > 0 for r in want) > 10 and sum(not r[3] for r in want) > 5
