@@ -11,10 +11,10 @@ recorded steps back tells how many pieces of each length it took.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,73 +45,107 @@ def _tokenizer(name: str):
     return Tokenizer.from_file(name)
 
 
+class Known:
+    """Ids by word in two halves: the full newer one becomes the older, and words met again move back."""
+
+    def __init__(self, limit: int):
+        self.most, self.newer, self.older = limit // 2, {}, {}
+
+    def look_up(self, words: list[str], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        found = list(map(self.newer.get, words))
+        if None in found:
+            unmet = {w for w, ids in zip(words, found) if ids is None}
+            self.newer.update((w, self.older[w]) for w in unmet & self.older.keys())
+            new = [w for w in unmet if w not in self.newer]
+            self.newer.update(zip(new, learn(new)))
+            found = [self.newer[w] if ids is None else ids for w, ids in zip(words, found)]
+            if len(self.newer) > self.most:
+                self.newer, self.older = {}, self.newer
+        return found
+
+
 class WordEncoder:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
-    The tokenizer never joins what blanks separate, so a text's ids are those of
-    its blank-separated parts in order, and most parts have been seen before.
-    New parts are encoded together, apart from each other by a mark with an id
-    of its own. When too many are known, those of the texts at hand stay.
+    The tokenizer cuts a text into runs of letters, single digits and runs of
+    signs, and looks at each by itself; most have been seen before. Texts of
+    Latin letters, which have one form only, are cut here in the same way, and
+    new words go straight to the tokenizer's model. Other texts are cut at
+    blanks, which the tokenizer never joins, and their new parts are encoded by
+    the whole tokenizer, apart from each other by a mark with an id of its own.
     """
 
     MARK = "\x01"
+    #: Fixed value: where the tokenizer cuts lower-case text of the characters below U+0180.
+    CUTS = re.compile("[a-zªµºß-öø-ſ]+|[0-9²³¹¼½¾]|'s|'t|'re|'ve|'m|'ll|'d|[^a-zªµºß-öø-ſ0-9²³¹¼½¾\\s]+")
+    #: Other characters, and the one letter that has two in lower case.
+    ODD = re.compile("[^\t-\r\x20-\x7e\x85\xa0-\u012f\u0131-\u017f]")
+    SAMPLE = "It's 2024: O'Neil-Home,\xa0x_y (don't!) 'tis 100%² Ærø-Straße, Œuvre Ω 一二"
 
     def __init__(self, name: str, limit: int = CACHED_WORDS):
-        self.tokenizer, self.limit, self.known = _tokenizer(name), limit, {}
+        self.tokenizer = _tokenizer(name)
+        self.words, self.parts = Known(limit), Known(limit // 4)
+        # The model's alphabet: a visible character for each byte.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: 256 + k for k, b in enumerate(hidden)}
         (self.mark,) = self._ids([self.MARK])[0]
+        for sample in (self.SAMPLE, self.SAMPLE[: self.SAMPLE.index("Ω")]):
+            if self.encode([sample])[0] != np.array(self._ids([sample])[0], "<u4").tobytes():
+                raise ValueError(f"{name} does not cut text at blanks, digits and signs")
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > self.limit:
-            self.known = {p: self.known[p] for p in parts & self.known.keys()}
-        new = [p for p in parts if p not in self.known]
+    def _words(self, new: list[str]) -> list[bytes]:
+        """Ids of words that the tokenizer would not cut or change."""
+        tokenize = self.tokenizer.model.tokenize
+        shown = [w if w.isascii() else w.encode().decode("latin-1").translate(self.alphabet) for w in new]
+        return [np.array([t.id for t in tokenize(w)], "<u4").tobytes() for w in shown]
+
+    def _parts(self, new: list[str]) -> list[bytes]:
+        """Ids of parts none of which holds a blank."""
+        found: dict[str, bytes] = {}
         odd = [p for p in new if self.MARK in p]
         for part, ids in zip(odd, self._ids(odd)):
-            self.known[part] = np.array(ids, "<u4").tobytes()
-        new = [p for p in new if self.MARK not in p]
-        for at in range(0, len(new), 20_000):
-            chunk = new[at : at + 20_000]
+            found[part] = np.array(ids, "<u4").tobytes()
+        rest = [p for p in new if self.MARK not in p]
+        for at in range(0, len(rest), 20_000):
+            chunk = rest[at : at + 20_000]
             ids = np.array(self._ids([f" {self.MARK} ".join(chunk)])[0], "<u4")
             flat, ends = ids.tobytes(), [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
             start = 0
             for part, end in zip(chunk, ends, strict=True):
-                self.known[part] = flat[4 * start : 4 * end]
+                found[part] = flat[4 * start : 4 * end]
                 start = end + 1
+        return [found[p] for p in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        parts: set[str] = set()
-        for s in split:
-            parts.update(s)
-        self._learn(parts)
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
-
-
-def _runs(texts: list[str], size: int = 1_000_000) -> Iterator[list[str]]:
-    """Consecutive texts of about ``size`` characters together."""
-    run, n = [], 0
-    for text in texts:
-        run.append(text)
-        n += len(text)
-        if n >= size:
-            yield run
-            run, n = [], 0
-    if run:
-        yield run
+        out = []
+        for text in texts:
+            if "<|" in text or self.ODD.search(text):  # special tokens start so
+                parts = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+                out.append(b"".join(self.parts.look_up(parts, self._parts)))
+            else:
+                out.append(b"".join(self.words.look_up(self.CUTS.findall(text.lower()), self._words)))
+        return out
+
+
+@lru_cache(maxsize=2)
+def _encoder(name: str) -> WordEncoder:
+    """One encoder for all tasks of a worker process, which thus learns a part once."""
+    return WordEncoder(name)
 
 
 def _pieces(tokenizer: str, capacity: int, end_id: int, keep_ids: bool) -> Callable:
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in slices(batches):
             out: list[list] = [[] for _ in range(5 + keep_ids)]
             texts = [text or "" for text in batch.column(1).to_pylist()]
-            encoded = chain.from_iterable(map(encoder.encode, _runs(texts)))
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoded):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):

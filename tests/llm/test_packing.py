@@ -2,6 +2,7 @@
 
 import itertools
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from conftest import SF_SMALL
@@ -13,6 +14,7 @@ from saleswright.llm.packing import TOKENIZER, WordEncoder, fill, pack, pack_win
 from saleswright.llm.queries import queries
 
 
+@lru_cache(maxsize=1)
 def tokenizer():
     import public_tokenizers
 
@@ -51,6 +53,17 @@ def test_query_keeps_every_id_once(spark):
         assert at == len(ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZ'stréÜßªµºŉſĸ×÷²½0 9\t\n\x0b\x0c\x85\xa0\x1c\x01.-<|>_İΣς\u0301\u0130一ǅ"), max_size=30), max_size=4))
+def test_ids_of_odd_texts(texts):
+    """Ids of cut texts are those of whole ones, also when little is remembered."""
+    texts += ["It's <|endoftext|> we'll", "O'Neil'sé 'Re x'd", "e\u0301t'été"]
+    encoder, whole = WordEncoder(TOKENIZER, 4), tokenizer()
+    for _ in range(2):
+        want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert encoder.encode(texts) == want
+
+
 def test_odd_rows_round_trip(spark):
     texts = [None, "", " \n\t ", "a", "a", "word " * 3000, "It's \x01 \x85 é́ <|endoftext|>", "\x01", "一二三" * 500]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
