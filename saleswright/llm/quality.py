@@ -2,12 +2,15 @@
 
 Every document gets a few ratios. Per language and source, each ratio is
 summarised by a quantile sketch: counts of values in buckets that grow by a
-fixed factor, so any quantile is known to one percent, and two sketches merge by
+fixed factor, so any quantile is known to half a percent, and two sketches merge by
 adding counts. Adding is what a grouped count does, map-side first, so a source
 that holds a third of all rows sends one row per bucket and task. The sketches
-of a language and of everything are merged from those of its sources. A ratio
-is out of range when it lies further from the median than a multiple of the
-spread below it; thresholds are then joined to the documents' ratios.
+of a language and of everything are merged from those of its sources. A range
+ends at an upper quantile plus a multiple of its distance from the median, so a
+source that varies more reaches further, and one that never varies not at all.
+Nothing in it is fixed beforehand. Ranges are then joined to the documents, and
+a document may lie outside by as much as a ratio over so few words or lines
+varies by chance.
 """
 
 from __future__ import annotations
@@ -27,15 +30,20 @@ BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: Least spread of each ratio that counts: below it, a source is called uniform.
-SPREAD = {"symbols": 0.02, "capitals": 0.03, "dup_lines": 0.08, "repeats": 0.08, "word_length": 0.5}
-#: Ratios that can also be too small.
-TWO_SIDED = ("word_length",)
-#: How many spreads from the median are still in range.
-REACH = 6.0
+#: The ratios, with what each is counted over; a repeated window marks six words at once.
+RATIOS = {"symbols": "n_words", "capitals": "word_chars", "dup_lines": "n_lines", "repeats": "n_words", "word_length": "n_words"}
+WORDS_AT_ONCE = 6
+#: The ratio that is a mean, not a share, and can also be too small.
+MEAN = "word_length"
+#: The quantile up to which documents are in range anyway, and how many spreads beyond.
+UPPER = 0.85
+REACH = 2.0
+#: Standard errors a document may be outside, and of a mean the words' spread over their mean.
+ERRORS = 2.0
+VARIATION = 0.5
 #: Rows a source (or language) needs for thresholds of its own.
 MIN_ROWS = 100
-GROWTH, TINY = 1.02, 1e-4
+GROWTH, TINY = 1.005, 1e-4
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines")
 
@@ -113,7 +121,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def sketches(measured: DataFrame) -> DataFrame:
     """``lang, source, measure, bucket, n``: the sketch of each source, as rows."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in SPREAD])
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in RATIOS])
     bucket = F.when(F.col("value") > TINY, F.ceil(F.log(F.col("value") / TINY) / math.log(GROWTH)).cast("int")).otherwise(0)
     return (
         measured.select("lang", "source", F.inline(pairs))
@@ -128,7 +136,7 @@ def merge(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
-    """``keys, measure, rows, q25, q50``, right to one percent of the value."""
+    """``keys, measure, rows, lower, middle, upper``, right to half a percent of the value."""
     run = Window.partitionBy(*keys, "measure").orderBy("bucket")
     value = F.when(F.col("bucket") == 0, 0.0).otherwise(
         TINY * F.pow(F.lit(GROWTH), F.col("bucket")) * 2 / (1 + GROWTH)
@@ -142,31 +150,50 @@ def quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
     )
 
     def at(q: float) -> Column:
-        return F.min(F.when(F.col("_upto") >= F.col("_rows") * q, F.col("_value"))).alias(f"q{round(100 * q)}")
+        return F.min(F.when(F.col("_upto") >= F.col("_rows") * q, F.col("_value")))
 
-    return steps.groupBy(*keys, "measure").agg(F.max("_rows").alias("rows"), at(0.25), at(0.5))
+    found = [at(1 - UPPER).alias("lower"), at(0.5).alias("middle"), at(UPPER).alias("upper")]
+    return steps.groupBy(*keys, "measure").agg(F.max("_rows").alias("rows"), *found)
 
 
-def _fences(found: DataFrame, level: str, *keys: str) -> DataFrame:
+def fences(found: DataFrame, level: str, *keys: str) -> DataFrame:
     """One row per key with the range of each ratio, for keys with enough rows."""
-    least = F.element_at(F.create_map(*[F.lit(x) for kv in SPREAD.items() for x in kv]), F.col("measure"))
-    reach = F.greatest(F.col("q50") - F.col("q25"), least) * REACH
     ranges = found.filter(F.col("rows") >= MIN_ROWS) if keys else found
-    ranges = ranges.withColumns({"low": F.col("q50") - reach, "high": F.col("q50") + reach})
+    # Values of one bucket of the sketch count as equal.
+    ranges = ranges.withColumns(
+        {
+            "low": (F.col("lower") - REACH * (F.col("middle") - F.col("lower"))) / GROWTH,
+            "high": (F.col("upper") + REACH * (F.col("upper") - F.col("middle"))) * GROWTH,
+        }
+    )
     return ranges.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("measure") == m, F.struct("low", "high"))).alias(f"{level}_{m}")
-            for m in SPREAD
+            F.max(F.when(F.col("measure") == m, F.struct("low", "high", "middle", "upper"))).alias(f"{level}_{m}")
+            for m in RATIOS
         ]
     )
 
 
+def by_chance(m: str, fence: Column) -> Column:
+    """How far a document's ratio may be off from its source's, given what it is counted over.
+
+    For a share p over n, the bound of a score interval: standard errors of p,
+    and what p = 0 still allows. For a mean, its standard errors.
+    """
+    n = F.greatest(F.col(RATIOS[m]).cast("double"), F.lit(1.0))
+    if m == MEAN:
+        return ERRORS * VARIATION * fence["middle"] / F.sqrt(n)
+    n = n / WORDS_AT_ONCE if m == "repeats" else n
+    p = F.least(fence["upper"], F.lit(1.0))
+    return ERRORS * F.sqrt(p * (1 - p) / n) + ERRORS**2 / (n + ERRORS**2)
+
+
 def judge(measured: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed``, ``in_range`` and ``kept``.
 
     ``base_failed``: fewer than 50 words, or over half of them in repeated
-    three-word windows. ``in_range``: every ratio lies within the thresholds of
-    the document's source in its language; with under 100 rows there, of its
+    three-word windows. ``in_range``: every ratio lies, but for chance, within
+    the thresholds of the document's source in its language; with under 100 rows there, of its
     language; with under 100 rows there too, of all documents. A missing
     language or source is a group of its own. Equal rows are judged alike, an
     empty table gives no rows.
@@ -174,25 +201,23 @@ def judge(measured: DataFrame) -> DataFrame:
     sketch = sketches(measured)
     by_lang = merge(sketch, "lang")
     overall = merge(by_lang)
-    fences = _fences(quantiles(sketch, "lang", "source"), "s", "lang", "source")
-    fences = fences.withColumnsRenamed({"lang": "_s_lang", "source": "_s_source"})
-    lang_fences = _fences(quantiles(by_lang, "lang"), "l", "lang").withColumnRenamed("lang", "_l_lang")
+    own = fences(quantiles(sketch, "lang", "source"), "s", "lang", "source")
+    own = own.withColumnsRenamed({"lang": "_s_lang", "source": "_s_source"})
+    lang_fences = fences(quantiles(by_lang, "lang"), "l", "lang").withColumnRenamed("lang", "_l_lang")
     joined = (
-        measured.join(
-            fences, F.col("lang").eqNullSafe(F.col("_s_lang")) & F.col("source").eqNullSafe(F.col("_s_source")), "left"
-        )
+        measured.join(own, F.col("lang").eqNullSafe(F.col("_s_lang")) & F.col("source").eqNullSafe(F.col("_s_source")), "left")
         .join(lang_fences, F.col("lang").eqNullSafe(F.col("_l_lang")), "left")
-        .join(_fences(quantiles(overall), "a"), F.lit(True), "left")  # one row
+        .join(fences(quantiles(overall), "a"), F.lit(True), "left")  # one row
     )
 
     def inside(m: str) -> Column:
         fence = F.coalesce(f"s_{m}", f"l_{m}", f"a_{m}")
-        fits = F.col(m) <= fence["high"]
-        return fits & (F.col(m) >= fence["low"]) if m in TWO_SIDED else fits
+        fits = F.col(m) <= fence["high"] + by_chance(m, fence)
+        return fits & (F.col(m) >= fence["low"] - by_chance(m, fence)) if m == MEAN else fits
 
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     in_range = F.lit(True)
-    for m in SPREAD:
+    for m in RATIOS:
         in_range = in_range & inside(m)
     return joined.select(*measured.columns, base_failed.alias("base_failed"), in_range.alias("in_range")).withColumn(
         "kept", ~F.col("base_failed") & F.col("in_range")

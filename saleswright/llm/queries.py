@@ -17,7 +17,7 @@ from .html_text import train as train_chain
 from .licenses import scan_licenses
 from .packing import pack
 from .pii import BASE_KINDS, find_pii
-from .quality import COUNTS, SPREAD, quality
+from .quality import COUNTS, RATIOS, quality
 from .runs import find_runs
 from .search import rank_documents
 from .sharding import assign_shards
@@ -28,8 +28,8 @@ from .simhash import near_duplicates
 EMBEDDINGS_SQL = """
     WITH RECURSIVE vector AS (
         SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-        WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
-              AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+        WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+              AND list_bool_or([x <> 0 FOR x IN embedding])),
     link AS (
         SELECT a.vec_id AS a, b.vec_id AS b FROM vector a JOIN vector b
         ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
@@ -75,7 +75,7 @@ SEARCH_SQL = r"""
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents")
-    return quality(docs).select("doc_id", *COUNTS[:5], "base_failed", "kept", "lang", "source", *SPREAD)
+    return quality(docs).select("doc_id", *COUNTS[:5], "base_failed", "kept", "lang", "source", *RATIOS)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
