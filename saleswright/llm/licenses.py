@@ -1,12 +1,11 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance by folder.
 
-Lines and paragraphs that speak of a licence are compared with the templates as
-sparse vectors, one row per term, weighted over all such passages of the corpus.
-A passage that occurs in many files is scored once. Beside these whole units,
-every paragraph of any length gives its sentences and, around its key words,
-every window of as many words as a template has; they are weighted like the
-passages. A file has the licence of
-its best passage. A folder has that of the licence files in it, and files
+Lines, paragraphs and sentences that speak of a licence, however long, are
+compared with the templates as sparse vectors, one row per term, weighted over
+all such passages of the corpus. A passage that occurs in many files is scored
+once. Beside these whole units, every paragraph gives, around its key words,
+every window of as many words as a template has; windows are weighted like the
+passages. A file has the licence of its best passage. A folder has that of the licence files in it, and files
 without a licence of their own take that of the nearest folder above them: the
 distinct folders are unrolled into their ancestors and joined to the licensed
 ones, so a folder that holds a third of all files is one row there.
@@ -29,10 +28,6 @@ from .common import fixed, slices
 
 #: Least cosine of a passage to a template.
 LEAST = 0.6
-#: Longest line and paragraph taken whole, and what is taken around a key word of
-#: longer lines. Sentences and windows come from paragraphs of any length.
-LINE, PARAGRAPH, BEFORE, AFTER = 600, 6000, 160, 240
-
 # Names of licence files, words that a passage has to have, terms.
 LICENSE_FILE = r"(?i)(^|/)(un)?(licen[sc]e|copying|notice)[^/]*$"
 KEY = r"(?i)licen[sc]|copyleft|public domain|spdx|permission is hereby granted|redistribution and use"
@@ -108,7 +103,7 @@ TEMPLATES = {
 
 
 _LENGTHS = sorted({len(re.findall(TERM, body.lower())) for bodies in TEMPLATES.values() for body in bodies})
-#: Most words of a stretch: longer ones are cut, and share what one window needs.
+#: Most words of a stretch; longer ones are cut into several that share what one window needs.
 STRETCH = 4 * _LENGTHS[-1]
 #: Key words with any blanks, line ends or comment marks between.
 SPREAD_KEY = KEY.replace(" ", "[^a-z0-9]+")
@@ -124,11 +119,11 @@ def _key_words(words: list[str]) -> list[tuple[int, int]]:
     return [(bisect_right(starts, m.start()) - 1, bisect_right(starts, m.end() - 1) - 1) for m in _KEY.finditer(" ".join(words))]
 
 
-def stretches(text: str) -> set[tuple[str, bool]]:
-    """(words, whole) that speak of a licence: sentences, and what windows are cut from.
+def stretches(text: str) -> set[str]:
+    """Words around key words, from which windows are cut.
 
-    Every run of a template's length that holds a key word lies in one stretch.
-    A sentence longer than ``STRETCH`` words is seen by its windows alone.
+    Every run of a template's length that holds a key word, in a paragraph of
+    any length, lies in one stretch; so does the whole of a shorter paragraph.
     """
     most, out = _LENGTHS[-1], set()
     for unit in re.split(r"\n[ \t\r]*\n", text):
@@ -144,37 +139,25 @@ def stretches(text: str) -> set[tuple[str, bool]]:
                 spans.append([a, b])
         for a, b in spans:
             for at in range(a, max(a + 1, b - most + 1), STRETCH - most + 1):
-                out.add((" ".join(words[at : min(b, at + STRETCH)]), False))
-        for sentence in re.split(r"(?<=[.!?;])\s+", unit):
-            if _SPREAD_KEY.search(sentence) and len(own := re.findall(TERM, sentence.lower())) <= STRETCH:
-                out.add((" ".join(own), True))
-    return {(words, whole) for words, whole in out if _KEY.search(words)}
+                out.add(" ".join(words[at : min(b, at + STRETCH)]))
+    return {words for words in out if _KEY.search(words)}
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        rows = [(p, h, *s) for p, h, t in zip(*(c.to_pylist() for c in batch.columns)) for s in sorted(stretches(t))]
-        kinds = (pa.string(), pa.int64(), pa.string(), pa.bool_())
-        columns = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 4, kinds)]
-        yield pa.RecordBatch.from_arrays(columns, ["_lic_path", "_lic_hash", "passage", "whole"])
+        rows = [(p, h, s) for p, h, t in zip(*(c.to_pylist() for c in batch.columns)) for s in sorted(stretches(t))]
+        kinds = (pa.string(), pa.int64(), pa.string())
+        columns = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 3, kinds)]
+        yield pa.RecordBatch.from_arrays(columns, ["_lic_path", "_lic_hash", "passage"])
 
 
 def passages(text: Column) -> Column:
-    """Distinct lines and paragraphs of a text that speak of a licence."""
-    lines, paragraphs = F.split(text, "\n"), F.split(text, r"\n[ \t\r]*\n")
-
-    def speaking(units: Column, longest: int) -> Column:
-        return F.filter(units, lambda u: (F.char_length(u) <= longest) & u.rlike(KEY))
-
-    long_lines = F.filter(lines, lambda u: (F.char_length(u) > LINE) & u.rlike(KEY))
-    around = F.flatten(
-        F.transform(long_lines, lambda u: F.regexp_extract_all(u, F.lit(f"(?:.{{0,{BEFORE}}})(?:{KEY})(?:.{{0,{AFTER}}})"), F.lit(0)))
-    )
-    folded = F.transform(
-        F.concat(speaking(lines, LINE), speaking(paragraphs, PARAGRAPH), around),
-        lambda u: F.array_join(F.regexp_extract_all(F.lower(u), F.lit(TERM), F.lit(0)), " "),
-    )
-    found = F.when(text.rlike(KEY), F.array_distinct(F.filter(folded, lambda u: u != "")))
+    """Distinct lines, paragraphs and sentences of a text that speak of a licence, of any length."""
+    paragraphs = F.split(text, r"\n[ \t\r]*\n")
+    sentences = F.flatten(F.transform(paragraphs, lambda u: F.split(u, r"(?<=[.!?;])\s+")))
+    speaking = F.filter(F.concat(F.split(text, "\n"), paragraphs, sentences), lambda u: u.rlike(SPREAD_KEY))
+    folded = F.transform(speaking, lambda u: F.array_join(F.regexp_extract_all(F.lower(u), F.lit(TERM), F.lit(0)), " "))
+    found = F.when(text.rlike(SPREAD_KEY), F.array_distinct(F.filter(folded, lambda u: u.rlike(KEY))))
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
@@ -250,8 +233,8 @@ def score(found: DataFrame, weights: Weights, least: float = LEAST) -> DataFrame
     return best.select("passage_id", "b.license", (-F.col("b.far")).alias("cosine")).filter(F.col("cosine") >= least)
 
 
-def best_window(words: list[str], whole: bool, idf: dict[str, float], names: list[str], vectors: dict[str, list[float]]) -> tuple[float, str]:
-    """(minus cosine, licence) of the words, or of the best window with a key word in them."""
+def best_window(words: list[str], idf: dict[str, float], names: list[str], vectors: dict[str, list[float]]) -> tuple[float, str]:
+    """(minus cosine, licence) of the best window with a key word in it."""
     number = {w: i for i, w in enumerate(dict.fromkeys(words))}
     scale = np.array([idf[w] for w in number])
     templates = np.array([vectors.get(w) or [0.0] * len(names) for w in number])
@@ -260,7 +243,7 @@ def best_window(words: list[str], whole: bool, idf: dict[str, float], names: lis
     upto = upto.cumsum(axis=0)
     keys = _key_words(words)
     best = np.full(len(names), -1.0)
-    for size in {len(words)} if whole else {min(n, len(words)) for n in _LENGTHS}:
+    for size in {min(n, len(words)) for n in _LENGTHS}:
         at = sorted({i for a, b in keys for i in range(max(0, b + 1 - size), min(a, len(words) - size) + 1)})
         if not at:
             continue
@@ -288,17 +271,17 @@ def score_stretches(found: DataFrame, weights: Weights, least: float = LEAST) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
-            for key, text, whole, terms in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, text, terms in zip(*(c.to_pylist() for c in batch.columns)):
                 words = text.split(" ")
                 idf = dict.fromkeys(words, inverse(n, 0)) | known | {t["term"]: inverse(n, t["df"]) for t in terms or ()}
-                far, name = best_window(words, whole, idf, names, vectors)
+                far, name = best_window(words, idf, names, vectors)
                 if -far >= least:
                     rows.append((key, name, -far))
             kinds = (pa.string(), pa.string(), pa.float64())
             columns = [pa.array(c, kind) for c, kind in zip(list(zip(*rows)) or [()] * 3, kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["passage_id", "license", "cosine"])
 
-    joined = found.join(others, "passage_id", "left").select("passage_id", "passage", "whole", "terms")
+    joined = found.join(others, "passage_id", "left").select("passage_id", "passage", "terms")
     return joined.mapInArrow(run, "passage_id string, license string, cosine double")
 
 
@@ -336,9 +319,9 @@ def scan_licenses(files: DataFrame, least: float = LEAST) -> DataFrame:
     texts = files.select(
         F.coalesce(F.col("path").cast("string"), F.lit("")).alias("_lic_path"), F.xxhash64(text).alias("_lic_hash"), text.alias("text")
     ).filter(F.col("text").rlike(SPREAD_KEY))
-    cut = texts.mapInArrow(_stretches, "_lic_path string, _lic_hash long, passage string, whole boolean")
-    cut = fixed(cut.withColumn("passage_id", F.md5(F.concat(F.col("whole").cast("string"), "passage"))))
-    cut_once = cut.groupBy("passage_id").agg(F.min("passage").alias("passage"), F.min("whole").alias("whole"))
+    cut = texts.mapInArrow(_stretches, "_lic_path string, _lic_hash long, passage string")
+    cut = fixed(cut.withColumn("passage_id", F.concat(F.lit("in "), F.md5("passage"))))
+    cut_once = cut.groupBy("passage_id").agg(F.min("passage").alias("passage"))
     scored = score(once, weights, least).unionByName(score_stretches(cut_once, weights, least))
     keys = ("_lic_path", "_lic_hash", "passage_id")
     spread = said.select(*keys).unionByName(cut.select(*keys)).distinct()

@@ -16,8 +16,8 @@ def folded(text):
     return " ".join(re.findall(lic.TERM, text.lower()))
 
 
-def plain_scores(passages):
-    """Best (licence, cosine) of each passage, by dense dictionaries."""
+def plain_scores(passages, windows=()):
+    """Best (licence, cosine) of each passage or window, by dense dictionaries; passages weigh."""
     templates = [(name, folded(b)) for name, bodies in lic.TEMPLATES.items() for b in bodies]
     df = Counter(t for text in [*passages, *(b for _, b in templates)] for t in set(text.split()))
     n = len(passages) + len(templates)
@@ -30,25 +30,44 @@ def plain_scores(passages):
         norms = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
         return sum(x * b.get(t, 0) for t, x in a.items()) / norms
 
+    known = [(name, vector(b)) for name, b in templates]
     out = {}
-    for p in passages:
-        far, name = min((-round(cosine(vector(p), vector(b)), 6), name) for name, b in templates)
+    for p in {*passages, *windows}:
+        own = vector(p)
+        far, name = min((-round(cosine(own, b), 6), name) for name, b in known)
         if -far >= lic.LEAST:
             out[p] = (name, -far)
     return out
 
 
 def speaking(text):
-    lines = [x for x in text.split("\n") if len(x) <= lic.LINE]
-    paragraphs = [x for x in re.split(r"\n[ \t\r]*\n", text) if len(x) <= lic.PARAGRAPH]
-    return {folded(x) for x in lines + paragraphs if re.search(lic.KEY, x)} - {""}
+    """Whole lines, paragraphs and sentences."""
+    paragraphs = re.split(r"\n[ \t\r]*\n", text)
+    sentences = [s for p in paragraphs for s in re.split(r"(?<=[.!?;])\s+", p, flags=re.A)]
+    units = {folded(x) for x in [*text.split("\n"), *paragraphs, *sentences]}
+    return {u for u in units if re.search(lic.KEY, u)}
+
+
+def around(text):
+    """Windows of every template's length that hold a key word or phrase."""
+    out = set()
+    for paragraph in re.split(r"\n[ \t\r]*\n", text):
+        words = folded(paragraph).split()
+        for n in {len(folded(b).split()) for bodies in lic.TEMPLATES.values() for b in bodies}:
+            for at in range(max(1, len(words) - n + 1)):
+                if re.search(lic.KEY, window := " ".join(words[at : at + n])):
+                    out.add(window)
+    return out
 
 
 def plain_scan(files):
-    scored = plain_scores(sorted({p for _, text in files for p in speaking(text or "")}))
+    texts = {text or "" for _, text in files}
+    passages = {t: speaking(t) for t in texts}
+    windows = {t: around(t) for t in texts if re.search(lic.KEY, folded(t))}
+    scored = plain_scores(sorted(set().union(*passages.values())), set().union(*windows.values()))
 
     def own(text):
-        found = [(-scored[p][1], scored[p][0]) for p in speaking(text or "") if p in scored]
+        found = [(-scored[p][1], scored[p][0]) for p in passages[text or ""] | windows.get(text or "", set()) if p in scored]
         return min(found) if found else None
 
     given = {}
@@ -147,9 +166,18 @@ def test_licence_amid_other_text(spark):
     assert got == {"wrapped": "MIT", "long line": "MPL-2.0", "mixed line": "ISC", "wrapped key": "BSD-3-Clause", "none": None}
 
 
+@pytest.mark.parametrize("n", [58, 59, 60, 5990, 6010, 60_000])
+def test_no_length_decides(spark, n):
+    """A title line in a line, sentence and paragraph of any length."""
+    filler = " ".join(f"w{i % 53}" for i in range(n))
+    files = [("line", f"{filler} Licensed under the ISC License. {filler}"), ("wrapped", f"{filler}\nReleased under the\nMIT License.\n{filler}")]
+    got = {r.path: r.license for r in lic.scan_licenses(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {"line": "ISC", "wrapped": "MIT"}
+
+
 def test_every_window_with_a_key_word_lies_in_a_stretch():
     words = [("license" if i in (40, 300, 420) or 900 < i < 1300 else "".join(chr(97 + int(c)) for c in str(i))) for i in range(1500)]
-    found = {w for w, whole in lic.stretches(" ".join(words)) if not whole}
+    found = lic.stretches(" ".join(words))
     assert all(len(w.split()) <= lic.STRETCH for w in found)
     for size in lic._LENGTHS:
         for at in range(len(words) - size + 1):
