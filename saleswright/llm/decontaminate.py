@@ -5,8 +5,8 @@ Seeds are windows of ``MIN_MATCH`` words: a rolling hash of every window of a
 document is looked up among those of the items, which gives pairs of a document
 and an item and the words they may share. Each pair is tiled: the longest
 common runs of words not yet marked are marked again and again, the lengths
-found by running Karp-Rabin with a shrinking window, until none of ``MIN_MATCH``
-words is left. An item is leaked if the tiles cover enough of its words, in
+found by running Karp-Rabin with windows of halved steps, until none of
+``MIN_MATCH`` words is left. An item is leaked if the tiles cover enough of its words, in
 whatever order its passages come.
 
 The benchmark is taken in blocks of bounded size, each held by every task while
@@ -33,6 +33,7 @@ BLOCK_CHARS = 8_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 LEAK = "doc_id long, item_id long, item_words long, tiled_words long, coverage double, n_tiles long, tiles array<struct<doc_word:long,item_word:long,words:long>>"
 
 
@@ -52,57 +53,93 @@ def rolling(ids: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def _scan(doc: np.ndarray, item: np.ndarray, free_doc: np.ndarray, free_item: np.ndarray, width: int):
-    """Maximal common runs of free words, at least ``width`` long: (length, doc, item)."""
+class Windows:
+    """Hashes of a sequence's windows of any width, from one running sum.
 
-    def windows(ids: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hashes = rolling(ids, width)
-        if not len(hashes):
-            return hashes, np.empty(0, dtype=np.int64)
-        blocked = np.concatenate([[0], np.cumsum(~free)])
+    The hash of a prefix is the sum of ids times powers of the base, modulo
+    2**64; a window's is the difference of two, brought to the power zero.
+    """
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, n = ids, len(ids)
+        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _BASE)]))
+        self.back = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, _INVERSE)]))
+        values = (ids.astype(np.uint64) + np.uint64(1)) * powers[:-1]
+        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
+        self.free = ids >= 0
+
+    def of(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and places of the windows without a marked word."""
+        if len(self.ids) < width:
+            return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        blocked = np.concatenate([[0], np.cumsum(~self.free)])
         at = np.flatnonzero(blocked[width:] == blocked[:-width])
-        return hashes[at], at
-
-    places: dict[int, list[int]] = defaultdict(list)
-    for h, at in zip(*(x.tolist() for x in windows(doc, free_doc))):
-        places[h].append(at)
-    found = []
-    d, t = doc.tolist(), item.tolist()
-    fd, ft = free_doc.tolist(), free_item.tolist()
-    for h, j in zip(*(x.tolist() for x in windows(item, free_item))):
-        for i in places.get(h, ()):
-            if i and j and d[i - 1] == t[j - 1] and fd[i - 1] and ft[j - 1]:
-                continue  # goes on to the left, so it is not where a run starts
-            n = 0
-            while i + n < len(d) and j + n < len(t) and d[i + n] == t[j + n] and fd[i + n] and ft[j + n]:
-                n += 1
-            if n >= width:
-                found.append((n, i, j))
-    return found
+        return (self.sums[at + width] - self.sums[at]) * self.back[at], at
+
+
+def _mark(doc: Windows, item: Windows, width: int) -> list[tuple[int, int, int]]:
+    """Mark common runs of ``width`` words, in the order of the item's, then the document's words.
+
+    A document place that is taken stays so, and is passed over once per hash.
+    """
+    hashes, places = doc.of(width)
+    own, at = item.of(width)
+    hit = np.isin(hashes, own)
+    order = np.lexsort((places[hit], hashes[hit]))
+    hashes, places = hashes[hit][order], places[hit][order]
+    bounds: dict[int, list[int]] = {}
+    tiles = []
+    for h, j in zip(own.tolist(), at.tolist()):
+        if not item.free[j : j + width].all():
+            continue
+        if h not in bounds:
+            bounds[h] = [int(np.searchsorted(hashes, np.uint64(h), side)) for side in ("left", "right")]
+        start, end = bounds[h]
+        k = start
+        while k < end:
+            i = int(places[k])
+            taken = np.flatnonzero(~doc.free[i : i + width])
+            if len(taken):  # as are all places before the end of it
+                ahead = max(1, int(np.searchsorted(places[k : min(end, k + width)], i + int(taken[-1]) + 1)))
+                start = start + ahead if start == k else start
+                k += ahead
+            elif np.array_equal(doc.ids[i : i + width], item.ids[j : j + width]):
+                doc.free[i : i + width] = False
+                item.free[j : j + width] = False
+                tiles.append((i, j, width))
+                break
+            else:
+                k += 1
+        bounds[h][0] = start
+    return tiles
 
 
 def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (doc word, item word, length), longest first.
 
     Ids below zero match nothing. Equal lengths are marked in the order of the
-    item's, then the document's words.
+    item's, then the document's words. The longest common run of free words is
+    found by running Karp-Rabin over windows whose width is halved; each run is
+    compared word by word before it is marked.
     """
-    free_doc, free_item = doc >= 0, item >= 0
+    left, right = Windows(doc), Windows(item)
     tiles: list[tuple[int, int, int]] = []
-    width = max(least, min(len(item), len(doc)))
-    while True:
-        found = _scan(doc, item, free_doc, free_item, width)
-        if found:
-            longest = max(n for n, _, _ in found)
-            for j, i in sorted((j, i) for n, i, j in found if n == longest):
-                if free_doc[i : i + longest].all() and free_item[j : j + longest].all():
-                    free_doc[i : i + longest] = False
-                    free_item[j : j + longest] = False
-                    tiles.append((i, j, longest))
-        elif width == least:
-            return tiles
-        else:
-            width = max(least, width // 2)
+    most = min(len(item), len(doc))
+    while most >= least:
+        low, high = least - 1, most
+        while low < high:
+            width = (low + high + 1) // 2
+            if np.isin(right.of(width)[0], left.of(width)[0]).any():
+                low = width
+            else:
+                high = width - 1
+        if low < least:
+            break
+        found = _mark(left, right, low)
+        tiles += found
+        # Nothing of that width is left; without a true run, equal hashes misled.
+        most = low if found else low - 1
+    return tiles
 
 
 class Index:
@@ -127,50 +164,61 @@ class Index:
             order = np.argsort(hashes, kind="stable")
             self.seeds[width] = hashes[order], number[order], place[order]
 
-    def shared(self, doc: np.ndarray) -> dict[int, dict[int, tuple[np.ndarray, np.ndarray]]]:
-        """By width and item: the document's and the item's places of shared seeds."""
-        out = {}
+    def shared(self, doc: np.ndarray, coverage: float) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(width, item number, document places) where shared seeds may cover enough of the item.
+
+        Each distinct seed of the document is looked up once, so a repeated one
+        costs its places, not their product with those in the items.
+        """
         for width, (hashes, number, place) in self.seeds.items():
-            known = np.concatenate([[0], np.cumsum(doc < 0)])
             if len(doc) < width:
                 continue
+            known = np.concatenate([[0], np.cumsum(doc < 0)])
             at = np.flatnonzero(known[width:] == known[:-width])
-            if not len(at):
-                continue
             own = rolling(doc, width)[at]
-            lo, hi = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
-            hit = hi > lo
+            lo = np.searchsorted(hashes, own, "left")
+            hit = hashes[np.minimum(lo, len(hashes) - 1)] == own
             if not hit.any():
                 continue
-            count = (hi - lo)[hit]
-            doc_at = np.repeat(at[hit], count)
-            post = np.repeat(lo[hit], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            items = number[post]
-            order = np.argsort(items, kind="stable")
-            edges = np.flatnonzero(np.diff(items[order])) + 1
-            out[width] = {
-                int(items[o[0]]): (doc_at[o], place[post[o]]) for o in np.split(order, edges)
-            }
-        return out
+            at, own = at[hit], own[hit]
+            order = np.argsort(own, kind="stable")
+            seeds, first = np.unique(own[order], return_index=True)
+            last = np.append(first[1:], len(own))
+            lo, hi = np.searchsorted(hashes, seeds, "left"), np.searchsorted(hashes, seeds, "right")
+            seed = np.repeat(np.arange(len(seeds)), hi - lo)
+            post = np.arange(len(seed)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+            by_item = np.argsort(number[post], kind="stable")
+            for group in np.split(by_item, np.flatnonzero(np.diff(number[post[by_item]])) + 1):
+                item = int(number[post[group[0]]])
+                covered = np.count_nonzero(_cover(place[post[group]], width, len(self.items[item][1])))
+                if covered >= coverage * len(self.items[item][1]):  # tiles lie on shared seeds only
+                    used = np.unique(seed[group])
+                    yield width, item, at[np.concatenate([order[first[u] : last[u]] for u in used.tolist()])]
 
     def leaks(self, text: str | None, coverage: float):
         """(item id, item words, tiles) of every item that the text leaks."""
         get = self.vocabulary.get
-        doc = np.array([get(w, -1) for w in words_of(text)], dtype=np.int64)
-        for width, by_item in self.shared(doc).items():
-            for number, (doc_at, item_at) in by_item.items():
-                item_id, item = self.items[number]
-                span = np.arange(width)
-                if len(np.unique(item_at[:, None] + span)) < coverage * len(item):
-                    continue  # tiles lie on shared seeds only
-                on_seed = np.unique(doc_at[:, None] + span)
-                # A gap between seeds becomes one word that matches nothing.
-                gaps = np.flatnonzero(np.diff(on_seed) > 1) + 1
-                part = np.insert(doc[on_seed], gaps, -1)
-                back = np.insert(on_seed, gaps, -1)
-                tiles = [(int(back[i]), j, n) for i, j, n in tile(part, item, width)]
-                if sum(n for _, _, n in tiles) >= coverage * len(item):
-                    yield item_id, len(item), tiles
+        words = words_of(text)
+        doc = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        del words
+        for width, number, doc_at in self.shared(doc, coverage):
+            item_id, item = self.items[number]
+            on_seed = np.flatnonzero(_cover(doc_at, width, len(doc)))
+            # A gap between seeds becomes one word that matches nothing.
+            gaps = np.flatnonzero(np.diff(on_seed) > 1) + 1
+            part = np.insert(doc[on_seed], gaps, -1)
+            back = np.insert(on_seed, gaps, -1)
+            tiles = [(int(back[i]), j, n) for i, j, n in tile(part, item, width)]
+            if sum(n for _, _, n in tiles) >= coverage * len(item):
+                yield item_id, len(item), tiles
+
+
+def _cover(places: np.ndarray, width: int, size: int) -> np.ndarray:
+    """Which of ``size`` words lie in a window that starts at one of the places."""
+    edge = np.zeros(size + 1, dtype=np.int64)
+    np.add.at(edge, places, 1)
+    np.add.at(edge, places + width, -1)
+    return np.cumsum(edge[:-1]) > 0
 
 
 _indexes: dict[int, Index] = {}

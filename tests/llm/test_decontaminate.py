@@ -1,12 +1,16 @@
 """Greedy string tiling against its definition, and leaks against all pairs."""
 
+import time
+import tracemalloc
+
 import numpy as np
 import pytest
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from saleswright.llm.decontaminate import decontaminate, find_leaks, rolling, tile, words_of
+from saleswright.llm import decontaminate as dc
+from saleswright.llm.decontaminate import Windows, decontaminate, find_leaks, rolling, tile, words_of
 from saleswright.llm.queries import queries
 
 
@@ -44,6 +48,45 @@ def test_tiling_is_greedy(doc, item, least):
     assert sorted(got) == plain_tiling(doc, item, least)
 
 
+def test_windows_of_any_width():
+    ids = np.array([3, 1, 4, 1, -1, 9, 4, 1, 4, 1], dtype=np.int64)
+    hashes, places = Windows(ids).of(3)
+    assert places.tolist() == [0, 1, 5, 6, 7]
+    assert hashes[1] == hashes[4] and len(set(hashes.tolist())) == 4
+    assert len(Windows(ids).of(11)[0]) == 0
+
+
+def test_equal_hashes_do_not_mislead(monkeypatch):
+    """With a base of one, windows of the same words in any order collide."""
+    monkeypatch.setattr(dc, "_BASE", np.uint64(1))
+    monkeypatch.setattr(dc, "_INVERSE", np.uint64(1))
+    random = np.random.default_rng(0)
+    for _ in range(60):
+        doc, item = random.integers(0, 3, 25), random.integers(0, 3, 14)
+        assert sorted(tile(doc, item, 3)) == plain_tiling(doc.tolist(), item.tolist(), 3)
+
+
+HOSTILE = {
+    "one word": (" ".join(["again"] * 200), " ".join(["again"] * 1_000_000)),
+    "two words": ("to be " * 100, "to be " * 500_000),
+    "many items": (" ".join(f"w{i}" for i in range(400)), " ".join(f"w{i % 400}" for i in range(800_000))),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_long_repeated_texts(name):
+    """A million repeated words: seconds, and memory in proportion to the text."""
+    item, text = HOSTILE[name]
+    index = dc.Index([(i, item) for i in range(3)], 5)
+    began = time.time()
+    tracemalloc.start()
+    found = list(index.leaks(text, 0.8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(n, sum(t[2] for t in tiles)) for _, n, tiles in found] == [(len(item.split()),) * 2] * 3
+    assert time.time() - began < 30 and peak < 500e6
+
+
 def test_rolling_hash_equals_window_by_window():
     ids = np.array([3, 1, 4, 1, 5, 9, 2, 6], dtype=np.int64)
     windows = [int(rolling(ids[i : i + 3], 3)[0]) for i in range(6)]
