@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import sampled, slices
 
-#: Bounds of the training sample: pages, blocks of each, characters of a block.
-SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS = 400, 200, 400
+#: Bounds of the training sample: pages, blocks of each, characters and feature names of a block.
+SAMPLE_PAGES, SAMPLE_BLOCKS, SAMPLE_CHARS, SAMPLE_NAMES = 400, 200, 400, 500
 MADE_PAGES = 600
 
 # HTML elements by what they do to text.
@@ -57,15 +57,103 @@ SIGNS = frozenset(
 )
 
 
+# Elements that are never article text, by tag and by words of class and id.
+_OUT_TAGS = {"nav", "aside", "footer", "form", "dialog", "button", "select"}
+_OUT_NAMES = {"ad", "ads", "advert", "comment", "comments", "related", "share", "cookie", "sidebar", "menu", "promo"}
+
+
+class Node:
+    """An open element: a link to the one above it, and what it adds to the path.
+
+    Nothing is copied down the path, so a page costs its length at any depth.
+    Nodes of equal paths have the same ``kind``.
+    """
+
+    __slots__ = ("above", "tag", "names", "kind", "new", "home", "main", "out")
+
+    def __init__(self, above: Node | None, tag: str, names: tuple[str, ...], kind: int, new: tuple[str, ...]):
+        self.above, self.tag, self.names, self.kind, self.new = above, tag, names, kind, new
+        self.home = tag == "article" or bool(above and above.home)
+        self.main = tag == "main" or bool(above and above.main)
+        self.out = tag in _OUT_TAGS or bool(_OUT_NAMES.intersection(names)) or bool(above and above.out)
+
+    def line(self) -> list[Node]:
+        """The elements from the outermost to this one."""
+        out, node = [], self
+        while node:
+            out.append(node)
+            node = node.above
+        return out[::-1]
+
+
 @dataclass(slots=True)
 class Block:
-    """A leaf block: its text, the elements above it, characters of link text and of svg text."""
+    """A leaf block: its text, the innermost element around it, characters of link text and of svg text."""
 
     text: str
-    path: tuple[tuple[str, tuple[str, ...]], ...]
+    node: Node | None
     linked: int
     drawn: int = 0
 
+    @property
+    def path(self) -> tuple[tuple[str, tuple[str, ...]], ...]:
+        return tuple((n.tag, n.names) for n in self.node.line()) if self.node else ()
+
+
+class Stack:
+    """Open elements, with the places of each tag, so that none is searched for."""
+
+    def __init__(self) -> None:
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.open: Counter = Counter()
+        self.kinds: dict[tuple, int] = {}
+
+    def top(self) -> Node | None:
+        return self.nodes[-1] if self.nodes else None
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        above = self.top()
+        kind = self.kinds.setdefault((above.kind if above else 0, tag, names), len(self.kinds) + 1)
+        told = [f"in:{tag}", *dict.fromkeys(f"named:{n}" for n in names)]
+        node = Node(above, tag, names, kind, tuple(f for f in told if not self.open[f]))
+        self.open.update(node.new)
+        self.places[tag].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost element with one of the tags, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, at: int) -> None:
+        while len(self.nodes) > at:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            for f in node.new:
+                del self.open[f]
+
+    def close(self, tags: Iterable[str], within: Iterable[str] = ()) -> None:
+        """End the innermost of the tags, unless one of ``within`` is further inside."""
+        at = self.last(tags)
+        if at >= 0 and at >= self.last(within):
+            self.cut(at)
+
+
+class Ends:
+    """Next places of end tags, each looked for once on the way through a page."""
+
+    def __init__(self, page: str):
+        self.page, self.found = page, {}
+
+    def after(self, at: int, tag: str, outer: str = "") -> int | None:
+        """Where the text after the end of a raw element goes on; at the end of ``outer`` if that is first."""
+        known = self.found.get((tag, outer))
+        if known is None or (known[0] is not None and known[0] < at):
+            pattern = rf"</{tag}\s*>" + (rf"|(?=</{outer}\s*>)" if outer else "")
+            m = re.compile(pattern, re.I).search(self.page, at)
+            known = self.found[tag, outer] = (m.start(), m.end()) if m else (None, None)
+        return known[1]
+
 
 def _names(attributes: str) -> tuple[str, ...]:
     """Words of class, id and role, marked roles apart."""
@@ -89,26 +177,26 @@ def blocks(page: str | None) -> list[Block]:
     """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack, ends = Stack(), Ends(page)
     text: list[str] = []
     links, linked, drawn, at = 0, 0, 0, 0
     foreign: list[str] = []
+    inside: Counter = Counter()
 
     def flush() -> None:
         nonlocal linked, drawn
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
-                out.append(Block(joined, tuple(stack), linked, drawn))
+                out.append(Block(joined, stack.top(), linked, drawn))
             text.clear()
         linked = drawn = 0
 
-    def close(tags: Iterable[str], *, within: str | None = None) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                del stack[i:]
-                return
-            if within and stack[i][0] in within:
+    def leave_foreign(tag: str = "") -> None:
+        """Up to the innermost drawing or formula of that tag, or out of all."""
+        while foreign:
+            inside[last := foreign.pop()] -= 1
+            if last == tag:
                 return
 
     while True:
@@ -118,7 +206,7 @@ def blocks(page: str | None) -> list[Block]:
             text.append(piece)
             if links:
                 linked += len(piece)
-            if "svg" in foreign:
+            if inside["svg"]:
                 drawn += len(piece.strip())
         if not m:
             break
@@ -129,25 +217,26 @@ def blocks(page: str | None) -> list[Block]:
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            elif tag in foreign:
-                del foreign[len(foreign) - 1 - foreign[::-1].index(tag) :]
-            elif tag in BLOCK_TAGS and any(t == tag for t, _ in stack):
+            elif tag in FOREIGN_TAGS and inside[tag]:
+                leave_foreign(tag)
+            elif tag in BLOCK_TAGS and stack.last((tag,)) >= 0:
                 flush()
-                close((tag,))
+                stack.close((tag,))
                 links = 0
-                foreign.clear()
+                leave_foreign()
             continue
         if tag in FOREIGN_TAGS:
             if not m[3].endswith("/>"):
                 foreign.append(tag)
+                inside[tag] += 1
         elif tag in RAW_TAGS and foreign:
             # Of a drawing or formula, an element without its end tag goes as far as that.
             if not m[3].endswith("/>"):
-                end = re.compile(rf"</{tag}\s*>|(?=</{foreign[-1]}\s*>)", re.I).search(page, at)
-                at = end.end() if end else at
+                end = ends.after(at, tag, foreign[-1])
+                at = at if end is None else end
         elif tag in RAW_TAGS:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = ends.after(at, tag)
+            at = len(page) if end is None else end
             if tag in ("textarea", "title"):
                 continue
         elif tag == "br":
@@ -157,13 +246,13 @@ def blocks(page: str | None) -> list[Block]:
         elif tag in BLOCK_TAGS:
             flush()
             links = 0
-            foreign.clear()
+            leave_foreign()
             if tag in CLOSES_P:
-                close(("p",), within=("table", "button", "article", "section", "div", "td"))
+                stack.close(("p",), ("table", "button", "article", "section", "div", "td"))
             if tag in ONE_OF:
-                close(ONE_OF[tag], within=("ul", "ol", "dl", "table", "select", "tr" if tag in ("td", "th") else "table"))
+                stack.close(ONE_OF[tag], ("ul", "ol", "dl", "table", "select", "tr" if tag in ("td", "th") else "table"))
             if tag not in VOID_TAGS:
-                stack.append((tag, _names(m[3])))
+                stack.push(tag, _names(m[3]))
     flush()
     return out
 
@@ -172,25 +261,26 @@ def _size(n: int, edges: tuple[int, ...]) -> int:
     return sum(n >= e for e in edges)
 
 
-def features(found: list[Block]) -> list[list[str]]:
-    """Feature names of each block of a page."""
-    paragraphs = Counter(b.path[:-1] for b in found if b.path and b.path[-1][0] == "p")
+def own_features(found: list[Block]) -> list[list[str]]:
+    """Feature names of each block of a page, without those of the elements above it."""
+
+    def around(b: Block) -> int:
+        return b.node.above.kind if b.node.above else 0
+
+    paragraphs = Counter(around(b) for b in found if b.node and b.node.tag == "p")
     out, title_seen, before = [], False, ""
     for i, b in enumerate(found):
-        tags = [t for t, _ in b.path]
-        tag = tags[-1] if tags else ""
+        tag = b.node.tag if b.node else ""
         words = b.text.split()
         lower = {w.strip(".,:;!?()").lower() for w in words}
         title_seen |= tag == "h1"
         f = ["bias", f"tag:{tag}", f"words:{_size(len(words), (3, 6, 12, 25, 50))}"]
-        f += [f"in:{t}" for t in set(tags)]
-        f += [f"named:{n}" for n in {n for _, names in b.path for n in names}]
         f += [f"sign:{w}" for w in lower & SIGNS]
         f.append(f"links:{_size(10 * b.linked // max(1, len(b.text)), (1, 4, 8))}")
         if b.drawn:
             f.append(f"svg:{_size(10 * b.drawn // max(1, len(b.text)), (1, 4, 8))}")
         f.append(f"end:{b.text[-1] if b.text[-1] in '.!?:' else 'x'}")
-        f.append(f"beside:{_size(paragraphs[b.path[:-1]], (1, 2, 4))}")
+        f.append(f"beside:{_size(paragraphs[around(b) if b.node else 0], (1, 2, 4))}")
         f.append(f"title:{title_seen}")
         f.append(f"tags:{before}>{tag}")
         if "©" in b.text or "|" in b.text:
@@ -202,6 +292,12 @@ def features(found: list[Block]) -> list[list[str]]:
     return out
 
 
+def features(found: list[Block], first: int | None = None) -> list[list[str]]:
+    """Feature names of each block of a page, or the first so many; elements above give the tags and names they add."""
+    above = [[f for n in b.node.line() for f in n.new] if b.node else [] for b in found[:first]]
+    return [own + more for own, more in zip(own_features(found), above)]
+
+
 # --- the chain ----------------------------------------------------------------
 
 
@@ -215,17 +311,36 @@ class Chain:
     def decode(self, rows: list[list[str]]) -> list[bool]:
         """The most likely labels; equal scores go to "not in the article"."""
         get = self.weights.get
+        return self._viterbi([sum([get(n, 0.0) for n in names]) for names in rows])
+
+    def label(self, found: list[Block]) -> list[bool]:
+        """``decode`` of a page's features, with the sum over the elements above carried downwards."""
+        get = self.weights.get
+        sums: dict[int, float] = {}
+
+        def above(node: Node | None) -> float:
+            way = []
+            while node and id(node) not in sums:
+                way.append(node)
+                node = node.above
+            total = sums[id(node)] if node else 0.0
+            for n in reversed(way):
+                total = sums[id(n)] = total + sum([get(f, 0.0) for f in n.new])
+            return total
+
+        return self._viterbi([sum([get(n, 0.0) for n in own]) + above(b.node) for own, b in zip(own_features(found), found)])
+
+    def _viterbi(self, scores: list[float]) -> list[bool]:
         (s00, s01), (s10, s11) = self.steps
         no = yes = 0.0
         back = []
-        for i, names in enumerate(rows):
-            own = sum([get(n, 0.0) for n in names])
+        for i, own in enumerate(scores):
             if i:
                 back.append((yes + s10 > no + s00, yes + s11 > no + s01))
                 no, yes = max(no + s00, yes + s10), max(no + s01, yes + s11) + own
             else:
                 yes = own
-        if not rows:
+        if not scores:
             return []
         label = yes > no
         labels = [label]
@@ -302,21 +417,14 @@ def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 180, rate:
 
 # --- labelled pages -----------------------------------------------------------
 
-_OUT_TAGS = {"nav", "aside", "footer", "form", "dialog", "button", "select"}
-_OUT_NAMES = {"ad", "ads", "advert", "comment", "comments", "related", "share", "cookie", "sidebar", "menu", "promo"}
 #: Stands at the start of article texts in made pages, and never reaches a feature.
 _SIGN = "\ue000"
 
 
 def label_by_elements(found: list[Block]) -> list[int]:
     """1 for blocks in an article (or main, without one), outside of what is never article text."""
-    tags = {t for b in found for t, _ in b.path}
-    home = "article" if "article" in tags else "main"
-    labels = []
-    for b in found:
-        out = any(t in _OUT_TAGS or set(names) & _OUT_NAMES for t, names in b.path)
-        labels.append(int(any(t == home for t, _ in b.path) and not out))
-    return labels
+    has_article = any(b.node and b.node.home for b in found)
+    return [int(bool(b.node) and (b.node.home if has_article else b.node.main) and not b.node.out) for b in found]
 
 
 # Ways to lay out a page. {0} is the content, _ a running number.
@@ -462,8 +570,8 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made: int = MADE_P
                 rows = []
                 for page in batch.column(0).to_pylist():
                     found = blocks(page)
-                    cut = zip(found, label_by_elements(found), features(found))
-                    rows.append([{"text": b.text[:SAMPLE_CHARS], "label": y, "names": f} for b, y, f in cut][:SAMPLE_BLOCKS])
+                    cut = zip(found[:SAMPLE_BLOCKS], label_by_elements(found), features(found, SAMPLE_BLOCKS))
+                    rows.append([{"text": b.text[:SAMPLE_CHARS], "label": y, "names": f[:SAMPLE_NAMES]} for b, y, f in cut])
                 yield pa.RecordBatch.from_arrays([pa.array(rows, kind)], ["blocks"])
 
         sample = pages.filter(sampled(place, sample_pages, total)).orderBy(place).limit(sample_pages).select(F.col("html").cast("string"))
@@ -481,7 +589,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made: int = MADE_P
 
 def main_text(page: str | None, chain: Chain) -> str:
     found = blocks(page)
-    keep = chain.decode(features(found))
+    keep = chain.label(found)
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 

@@ -3,6 +3,8 @@
 import html
 import itertools
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -143,6 +145,50 @@ def test_drawings_formulas_and_objects_amid_an_article(page, texts):
     assert [b.text for b in h.blocks(page)] == texts
 
 
+N = 100_000
+HOSTILE = {
+    "nested": ("<div>x" * N, N),
+    "nested with names": ("".join(f"<section class='n{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}'>x" for i in range(N)), N),
+    "nested quotes": ("<blockquote>" * N + "x" + "</blockquote>" * N, 1),
+    "lists": ("<ul><li>x" * N, N),
+    "paragraphs in no end": ("<p>x</em></p></div></ul>" * N, N),
+    "drawings with titles": ("<svg><title>" * N + "x", 1),
+    "drawings and titles that end": ("<p><svg><title>t</title><math></svg>x" * N, N),
+    "drawings in drawings": ("<svg>" * N + "x" + "</svg></math>" * N, 1),
+    "titles": ("<title>" * N + "x", 0),
+    "links": ("<a href='x'>" * N + "x", 1),
+    "open quotes": ("<p class='x>" * N, None),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages(chain, name):
+    """Seconds and memory in proportion to the page, however deep or open its elements."""
+    page, expected = HOSTILE[name]
+    began = time.time()
+    found = h.blocks(page)
+    assert len(chain.label(found)) == len(found)
+    assert time.time() - began < 10
+    assert expected is None or len(found) == expected
+    tracemalloc.start()  # slow, so on a tenth
+    chain.label(h.blocks(page[: len(page) // 10]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+
+
+def test_carried_sums_equal_whole_features(chain, spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").limit(40).collect()]
+    rng = np.random.default_rng(3)
+    pages += [h.make_page(rng, ["One text.", "Another text of it."], ["Home"]).replace(h._SIGN, "") for _ in range(40)]
+    for page in pages:
+        found = h.blocks(page)
+        assert chain.label(found) == chain.decode(h.features(found))
+        for b, names in zip(found, h.features(found)):
+            above = {f"in:{t}" for t, _ in b.path} | {f"named:{n}" for _, own in b.path for n in own}
+            assert sorted(n for n in names if n.startswith(("in:", "named:"))) == sorted(above)
+
+
 def test_svg_text_is_marked():
     found = h.blocks("<p>a b c d e f <svg><text>g</text></svg></p><svg><text>label</text></svg><p>plain <math><mi>x</mi></math><p><svg/>plain")
     marks = [[f for f in row if f.startswith("svg:")] for row in h.features(found)]
