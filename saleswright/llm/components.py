@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,20 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
     roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return roots.union(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+
+
+def forest(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links from nodes to the least node that they reach over the given links."""
+    root = np.arange(size)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], least)
+        np.minimum.at(new, root[b], least)
+        new = new[new]
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            at = np.flatnonzero(root != np.arange(size))
+            return root[at], at
+        root = new

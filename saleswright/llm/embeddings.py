@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fixed
-from .components import components
+from .components import components, forest
 
 THRESHOLD = 0.9
 #: Blocks at least, for tasks enough, and most vectors of a block, for memory.
@@ -121,23 +121,6 @@ class Tile:
         return np.stack([row[sure], column[sure]]), np.stack([row[maybe], column[maybe]])
 
 
-def forest(a: np.ndarray, b: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links from nodes to the least node that they reach over the given links."""
-    root = np.arange(size)
-    while True:
-        least = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], least)
-        np.minimum.at(new, root[b], least)
-        new = new[new]
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        if np.array_equal(new, root):
-            at = np.flatnonzero(root != np.arange(size))
-            return root[at], at
-        root = new
-
-
 class Side:
     """One block of a pair: numbers, counts of equal vectors and values."""
 

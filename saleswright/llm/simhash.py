@@ -15,6 +15,7 @@ variant's verified links are reduced to a spanning forest on the spot.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fixed, fresh, slices
-from .components import components
+from .components import components, forest
 
 SHINGLE = 3
 SEED = 42
@@ -31,6 +32,8 @@ MAX_BITS = 3
 #: First bit and number of bits of the blocks, one of which is left out.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 _CHUNK = 200_000
+#: Fingerprints of a variant beyond which only those that agree in parts are compared.
+MANY = 4096
 #: Most rows (of two numbers) that are broadcast.
 FEW = 500_000
 
@@ -117,6 +120,35 @@ def _forest(fps: np.ndarray, rest: np.ndarray, key: np.uint64, bits: int) -> lis
     return links
 
 
+def _large_forest(fps: np.ndarray, rest: np.ndarray, key: np.uint64, bits: int, block: int) -> list[tuple[int, int]]:
+    """``_forest`` for a run of many: only fingerprints that agree in half of the left-out block are compared.
+
+    The block is cut into twice as many parts as bits may differ, so two that
+    are close agree in ``bits`` of them at least; each choice is looked at.
+    """
+    first, size = BLOCKS[block]
+    edges = [first + size * k // (2 * bits) for k in range(2 * bits + 1)]
+    parts = [((1 << b) - (1 << a)) for a, b in zip(edges, edges[1:])]
+    n = len(fps)
+    to, at = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    for chosen in combinations(parts, bits):
+        agreed = fps & np.uint64(sum(chosen))
+        order = np.argsort(agreed, kind="stable")
+        # Places of one group lie together: compare each with the one k further on.
+        k, left = 1, np.flatnonzero(agreed[order][1:] == agreed[order][:-1])
+        while len(left):
+            i, j = order[left], order[left + k]
+            close = (np.bitwise_count(fps[i] ^ fps[j]) <= bits) & ((rest[i] != rest[j]) | (rest[i] == key))
+            to, at = np.concatenate([to, i[close]]), np.concatenate([at, j[close]])
+            if len(to) > 4 * n:
+                to, at = forest(to, at, n)
+            k += 1
+            left = left[left + k < n]
+            left = left[agreed[order[left]] == agreed[order[left + k]]]
+    to, at = forest(to, at, n)
+    return list(zip(fps[to].tolist(), fps[at].tolist()))
+
+
 def _verify(bits: int):
     keeps = np.array([~(((1 << n) - 1) << first) & (2**64 - 1) for first, n in BLOCKS], dtype=np.uint64)
 
@@ -128,7 +160,10 @@ def _verify(bits: int):
         links: list[tuple[int, int]] = []
         for at, n in zip(bounds[:-1][size > 1].tolist(), size[size > 1].tolist()):
             run = fp[at : at + n]
-            links += _forest(run, run & keeps[block[at]], key[at], bits)
+            if n > MANY and bits:
+                links += _large_forest(run, run & keeps[block[at]], key[at], bits, int(block[at]))
+            else:
+                links += _forest(run, run & keeps[block[at]], key[at], bits)
         return links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

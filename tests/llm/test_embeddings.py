@@ -6,7 +6,8 @@ import pytest
 from conftest import SF_SMALL
 
 from saleswright.llm import embeddings
-from saleswright.llm.embeddings import Tile, forest, near_vectors, quantise, unit
+from saleswright.llm.components import forest
+from saleswright.llm.embeddings import Tile, near_vectors, quantise, unit
 from saleswright.llm.queries import oracle_sql, queries
 
 

@@ -2,12 +2,15 @@
 
 import random
 import re
+import time
 
+import numpy as np
 import xxhash
 from conftest import SF_SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from saleswright.llm import simhash
 from saleswright.llm.components import components
 from saleswright.llm.queries import queries
 from saleswright.llm.simhash import fingerprint, keep_one, links, near_duplicates
@@ -92,6 +95,33 @@ def test_links_find_every_close_pair(spark):
     assert {frozenset(p) for p in got} <= {frozenset(p) for p in close}
 
 
+def test_large_runs_are_split_without_loss():
+    """Comparing only what agrees in half the block connects what comparing all does."""
+    rng = np.random.default_rng(6)
+    for block, (first, size) in enumerate(simhash.BLOCKS):
+        left_out = ((1 << size) - 1) << first
+        outside = int(rng.integers(2**63)) & ~left_out & (2**64 - 1)
+        near = [outside | (int(x) << first) for x in rng.integers(0, 1 << size, 300)]
+        near += [flipped(near[k % 100], *(first + rng.permutation(size)[: 1 + k % 3]).tolist()) for k in range(200)]
+        near += [flipped(f, (first + size + 5) % 64) for f in near[:150]]
+        fps = np.array(sorted(set(near)), dtype=np.uint64)
+        rest = fps & np.uint64(~left_out & (2**64 - 1))
+        for bits in (1, 2, 3):
+            for key in (outside, flipped(outside, (first + size + 5) % 64)):
+                whole = simhash._forest(fps, rest, np.uint64(key), bits)
+                split = simhash._large_forest(fps, rest, np.uint64(key), bits, block)
+                nodes = set(fps.tolist())
+                assert whole and roots(nodes, split) == roots(nodes, whole)
+
+
+def test_a_large_run_takes_seconds():
+    fps = np.arange(60_000, dtype=np.uint64) * np.uint64(35)
+    rest = fps & np.uint64(2**64 - 2**21)
+    began = time.time()
+    assert len(simhash._large_forest(fps, rest, np.uint64(0), 3, 0)) <= len(fps)
+    assert time.time() - began < 60
+
+
 def test_odd_rows(spark):
     long = "word other thing " * 30_000
     rows = [(None, None), (5, ""), (7, " \n"), (9, "one two"), (8, "ONE  two"), (3, long), (2, long), (2, long), (None, "alone")]
