@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from oracle_queries import ORACLES
 from saleswright.functions import normalize
 from saleswright.operators import clean, issues, null_counts, rank_customers, with_rfm
-from saleswright.plans import adhoc, features, forecast, kpi, marts, views
+from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, views
 from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
 from saleswright.session import configure
 from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv
@@ -47,7 +47,6 @@ MART_REVENUE = {
 FIXED_WEIGHTS = {"revenue_lag1": 0.5, "revenue_lag2": 0.2, "revenue_ma4": 0.2, "revenue_ma8": 0.1, "is_q4": 1000.0}
 #: Small factors: most sales fall below half a cent, quantities below one.
 FINE = {"amounts": Decimal("0.000001"), "quantities": Decimal("0.01")}
-SEGMENTS = ["Automobile", "Building", "Furniture", "Household", "Machinery"]
 
 
 def _optional(name: str):
@@ -164,6 +163,21 @@ def _own_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
+def _rollup(spark: SparkSession, sf_dir: str) -> rollup.Rollup:
+    """The stored rollup, made on first use of two batches of sales."""
+    path = _own_path(spark, sf_dir, "rollup")
+    stored = rollup.Rollup(spark, path)
+
+    def build() -> None:
+        sales = _sales(spark, sf_dir)
+        late = F.col("order_date") >= F.lit("1998-05-17").cast("date")
+        stored.add(sales.filter(~late))
+        stored.add(sales.filter(late))
+
+    made_once(path, build)
+    return stored
+
+
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw rows out to CSV in key order, back through the CSV source, cleaned."""
     path = _own_path(spark, sf_dir, "raw_csv")
@@ -266,7 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rep_lakhs": marts.rep_in_lakhs,
         "category_breakdown": marts.category_breakdown,
         "category_margin_rank": marts.category_margin_rank,
-        "region_segment_pivot": lambda s: marts.region_segment_pivot(s, SEGMENTS),
+        "region_segment_pivot": marts.region_segment_pivot,
         "records_json": lambda s: marts.json_records(kpi.revenue_trend_monthly(s)),
         "weekly_agg": features.weekly,
         "weekly_features": features.build_features,
@@ -275,6 +289,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "week", "revenue", "is_train"
         ),
     }
+    on_rollup = {
+        "overall_kpis": rollup.overall_kpis,
+        "revenue_trend_monthly": rollup.revenue_trend_monthly,
+        "revenue_trend_year": lambda r: rollup.revenue_trend_monthly(r, 1997),
+        "top_products": rollup.top_products,
+        "top_products_50": lambda r: rollup.requested_products(r, 500),
+        "region_segment_matrix": rollup.region_segment_matrix,
+        "sales_rep_leaderboard": rollup.sales_rep_leaderboard,
+        "discount_impact": rollup.discount_impact,
+        "low_margin_alerts": rollup.low_margin_alerts,
+        "monthly_kpi": rollup.monthly_kpi,
+        "category_kpi": rollup.category_kpi,
+        "rep_performance": rollup.rep_performance,
+    }
     on_folder = {
         "normalize_text": _normalized_texts,
         "adhoc_select": _adhoc,
@@ -297,7 +325,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
     def over(load, query):
-        return lambda spark, sf_dir: _shown(query(load(spark, sf_dir)))
+        return lambda spark, sf_dir: _shown(query(load(configure(spark), sf_dir)))
 
     def direct(query):
         return lambda spark, sf_dir: _shown(query(configure(spark), sf_dir))
@@ -313,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         | {k: over(_dirty, q) for k, q in on_dirty.items()}
         | {"sales_clean": direct(_cleaned), "sales_clean_fine": direct(_fine)}
         | {k: over(_sales, q) for k, q in on_sales.items()}
+        | {f"{k}_rollup": over(_rollup, q) for k, q in on_rollup.items()}
         | {k: direct(q) for k, q in on_folder.items()}
         | {k: over(trained, q) for k, q in on_trained.items()}
         | {k: over(predicted, q) for k, q in on_forecast.items()}
@@ -322,4 +351,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL; Spark ML results have none."""
-    return dict(ORACLES) | _llm_oracles()
+    twins = {name: ORACLES[name.removesuffix("_rollup")] for name in queries() if name.endswith("_rollup")}
+    return dict(ORACLES) | twins | _llm_oracles()

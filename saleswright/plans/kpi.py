@@ -13,57 +13,76 @@ from ..functions.measures import measures
 
 MAX_PRODUCTS = 50
 
+# What each query shows, by measure.
+OVERALL = {
+    "total_orders": "orders",
+    "unique_customers": "customers",
+    "total_revenue": "revenue",
+    "total_profit": "profit",
+    "avg_margin_pct": "margin",
+    "avg_order_value": "per_order",
+    "discounted_revenue_pct": "discounted_share",
+}
+MONTHLY = {
+    "total_orders": "orders",
+    "revenue": "revenue",
+    "profit": "profit",
+    "avg_margin_pct": "margin",
+    "unique_customers": "customers",
+    "avg_order_value": "per_order",
+}
+PRODUCTS = {
+    "units_sold": "units",
+    "order_count": "orders",
+    "total_revenue": "revenue",
+    "total_profit": "profit",
+    "avg_margin_pct": "margin",
+    "avg_discount_pct": "discount",
+}
+MATRIX = {"orders": "orders", "customers": "customers", "revenue": "revenue", "profit": "profit", "avg_margin_pct": "margin"}
+REPS = {
+    "orders_closed": "orders",
+    "customers_served": "customers",
+    "total_revenue": "revenue",
+    "total_profit": "profit",
+    "avg_margin_pct": "margin",
+    "avg_deal_size": "per_order",
+}
+DISCOUNTS = {
+    "avg_discount_pct": "discount",
+    "order_count": "orders",
+    "total_revenue": "revenue",
+    "total_profit": "profit",
+    "avg_margin_pct": "margin",
+}
+ALERTS = {"order_count": "orders", "avg_margin_pct": "margin", "total_revenue": "revenue"}
+
 
 def overall_kpis(sales: DataFrame) -> DataFrame:
     """One row of headline figures."""
-    return sales.agg(
-        *measures(
-            total_orders="orders",
-            unique_customers="customers",
-            total_revenue="revenue",
-            total_profit="profit",
-            avg_margin_pct="margin",
-            avg_order_value="per_order",
-            discounted_revenue_pct="discounted_share",
-        )
-    )
+    return sales.agg(*measures(**OVERALL))
 
 
 def revenue_trend_monthly(sales: DataFrame, year: int | None = None) -> DataFrame:
     """Figures per month; of one year only if given (0 means all years)."""
     if year:
         sales = sales.filter(F.col("order_year") == year)
-    shown = measures(
-        total_orders="orders",
-        revenue="revenue",
-        profit="profit",
-        avg_margin_pct="margin",
-        unique_customers="customers",
-        avg_order_value="per_order",
-    )
-    return sales.groupBy("order_year", "order_month").agg(*shown).orderBy("order_year", "order_month")
+    return sales.groupBy("order_year", "order_month").agg(*measures(**MONTHLY)).orderBy("order_year", "order_month")
 
 
 def product_totals(sales: DataFrame) -> DataFrame:
     """Figures per product, unordered."""
-    shown = measures(
-        units_sold="units",
-        order_count="orders",
-        total_revenue="revenue",
-        total_profit="profit",
-        avg_margin_pct="margin",
-        avg_discount_pct="discount",
-    )
-    return sales.groupBy("product_name", "product_category").agg(*shown)
+    return sales.groupBy("product_name", "product_category").agg(*measures(**PRODUCTS))
+
+
+def most_revenue(products: DataFrame, limit: int) -> DataFrame:
+    """Those with most revenue. Planned as a top-k: no full sort."""
+    return products.orderBy(F.desc("total_revenue"), "product_name", "product_category").limit(limit)
 
 
 def top_products(sales: DataFrame, limit: int = 10) -> DataFrame:
-    """Products with most revenue. Planned as a top-k: no full sort."""
-    return (
-        product_totals(sales)
-        .orderBy(F.desc("total_revenue"), "product_name", "product_category")
-        .limit(limit)
-    )
+    """Products with most revenue."""
+    return most_revenue(product_totals(sales), limit)
 
 
 def clamp_limit(limit: int | None) -> int:
@@ -77,43 +96,31 @@ def requested_products(sales: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def region_segment_matrix(sales: DataFrame) -> DataFrame:
-    shown = measures(
-        orders="orders", customers="customers", revenue="revenue", profit="profit", avg_margin_pct="margin"
-    )
-    return sales.groupBy("region", "segment").agg(*shown).orderBy(F.desc("revenue"), "region", "segment")
+    return sales.groupBy("region", "segment").agg(*measures(**MATRIX)).orderBy(F.desc("revenue"), "region", "segment")
 
 
 def sales_rep_leaderboard(sales: DataFrame) -> DataFrame:
-    shown = measures(
-        orders_closed="orders",
-        customers_served="customers",
-        total_revenue="revenue",
-        total_profit="profit",
-        avg_margin_pct="margin",
-        avg_deal_size="per_order",
-    )
-    return sales.groupBy("sales_rep").agg(*shown).orderBy(F.desc("total_revenue"), "sales_rep")
+    return sales.groupBy("sales_rep").agg(*measures(**REPS)).orderBy(F.desc("total_revenue"), "sales_rep")
+
+
+def pricing_labels(figures: DataFrame) -> DataFrame:
+    """Figures per ``is_discounted`` with its label in front."""
+    label = F.when(F.col("is_discounted") == 1, "Discounted").otherwise("Full Price")
+    return figures.select(label.alias("pricing_type"), "*").drop("is_discounted")
 
 
 def discount_impact(sales: DataFrame) -> DataFrame:
     """Discounted against full-price orders."""
-    label = F.when(F.col("is_discounted") == 1, "Discounted").otherwise("Full Price")
-    shown = measures(
-        avg_discount_pct="discount",
-        order_count="orders",
-        total_revenue="revenue",
-        total_profit="profit",
-        avg_margin_pct="margin",
-    )
-    return sales.groupBy("is_discounted").agg(*shown).select(label.alias("pricing_type"), "*").drop("is_discounted")
+    return pricing_labels(sales.groupBy("is_discounted").agg(*measures(**DISCOUNTS)))
 
 
-def low_margin_alerts(sales: DataFrame, threshold: float = 20) -> DataFrame:
+def below_margin(products: DataFrame, threshold: float) -> DataFrame:
     """Products whose average margin, as shown, is below the threshold."""
-    shown = measures(order_count="orders", avg_margin_pct="margin", total_revenue="revenue")
-    return (
-        sales.groupBy("product_name", "product_category")
-        .agg(*shown)
-        .filter(F.col("avg_margin_pct") < threshold)
-        .orderBy("avg_margin_pct", "product_name", "product_category")
-    )
+    low = products.filter(F.col("avg_margin_pct") < threshold)
+    return low.orderBy("avg_margin_pct", "product_name", "product_category")
+
+
+def low_margin_alerts(sales: DataFrame, threshold: float = 20) -> DataFrame:
+    """Products to look at, lowest margin first."""
+    products = sales.groupBy("product_name", "product_category").agg(*measures(**ALERTS))
+    return below_margin(products, threshold)

@@ -28,7 +28,10 @@ class View:
 
     def over(self, sales: DataFrame) -> DataFrame:
         """The same over a DataFrame."""
-        rows = sales.groupBy(*self.keys).agg(*measures(**self.shown))
+        return self.sorted(sales.groupBy(*self.keys).agg(*measures(**self.shown)))
+
+    def sorted(self, rows: DataFrame) -> DataFrame:
+        """Figures in the view's order."""
         return rows.orderBy(F.desc(self.top), *self.keys) if self.top else rows
 
 
