@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 
 from oracle_queries import ORACLES
 from saleswright.functions import normalize
-from saleswright.operators import clean, issues, null_counts, rank_customers, with_rfm
+from saleswright.operators import Checks, clean, issues, null_counts, rank_customers, with_rfm
 from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, views
 from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
 from saleswright.session import configure
-from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv
+from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv, written_once
 from saleswright.sources.staging import made_once, staging_path
 from saleswright.sources.star import ORDER_KEY
 
@@ -136,6 +136,13 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir).withColumns(columns).drop("sales_rep", ORDER_KEY)
 
 
+def _checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Issues of the damaged rows, counted by the write of the cleaned ones."""
+    checks = Checks()
+    with written_once(clean(_dirty(spark, sf_dir), checks=checks)):
+        return spark.createDataFrame(checks.found(), "check string, column_name string, n long")
+
+
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored table that queries read, built on first use."""
     return staged(configure(spark), sf_dir, "sales", lambda: _cleaned(spark, sf_dir))
@@ -186,6 +193,22 @@ def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(read_sales_csv(spark, path))
 
 
+def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows in three folders of files with other columns each, read as one and cleaned."""
+    path = _own_path(spark, sf_dir, "mixed_csv")
+    part = F.col(ORDER_KEY) % 3
+    raw = _raw(spark, sf_dir).orderBy(ORDER_KEY, "order_id", SEQUENCE).drop(SEQUENCE)
+
+    def write() -> None:
+        write_csv(raw.filter(part == 0).drop(ORDER_KEY), f"{path}/whole")
+        lacking = raw.filter(part == 1).drop("region", "cost", ORDER_KEY)
+        write_csv(lacking.select(*reversed(lacking.columns)), f"{path}/lacking")
+        write_csv(raw.filter(part == 2).drop("segment").withColumnRenamed(ORDER_KEY, "noted"), f"{path}/other")
+
+    made_once(path, write)
+    return clean(read_sales_csv(spark, f"{path}/*").drop("noted"))
+
+
 def _views_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three created views, read by name and put under each other."""
     desk = adhoc.AdHoc(spark)
@@ -304,9 +327,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rep_performance": rollup.rep_performance,
     }
     on_folder = {
+        "quality_report_of_write": _checked_write,
         "normalize_text": _normalized_texts,
         "adhoc_select": _adhoc,
         "csv_round_trip": _csv_round_trip,
+        "csv_mixed_headers": _csv_mixed_headers,
         "views_by_name": _views_by_name,
         "report_marts": _report_marts,
         "forecast_8w": _live_forecast,
@@ -352,4 +377,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL; Spark ML results have none."""
     twins = {name: ORACLES[name.removesuffix("_rollup")] for name in queries() if name.endswith("_rollup")}
+    twins["quality_report_of_write"] = ORACLES["quality_report_dirty"]
     return dict(ORACLES) | twins | _llm_oracles()

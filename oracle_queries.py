@@ -307,6 +307,11 @@ ORACLES = {
     "sales_clean_fine": "WITH " + _RAW + "," + _FINE + "," + _derived(_valid("raw_fine")) + _CLEAN,
     "sales_clean": _from_sales(_CLEAN),
     "csv_round_trip": _from_sales(_CLEAN),
+    "csv_mixed_headers": f"""
+SELECT * EXCLUDE (part) REPLACE (
+  CASE WHEN part <> 1 THEN region END AS region, CASE WHEN part <> 1 THEN cost END AS cost,
+  CASE WHEN part <> 2 THEN segment END AS segment)
+FROM (SELECT *, CAST(split_part(order_id, '-', 1) AS BIGINT) % 3 AS part FROM ({_from_sales(_CLEAN)}))""",
     "views_by_name": _from_sales(f"""
   SELECT 'monthly_kpi' AS view, order_year || '-' || order_month AS key, {_ORDERS} AS orders, {_REVENUE} AS revenue
   FROM sales GROUP BY order_year, order_month

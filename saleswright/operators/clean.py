@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 from ..functions import clip_fraction, day_name, flag, normalize, percent, rounded_ratio
 from ..schema import LABELS, MARGIN, MONEY, SEQUENCE
 from .dedupe import keep_first
+from .quality import Checks
 
 
-def clean(raw: DataFrame, keys: Sequence[str] = ("order_id",)) -> DataFrame:
+def clean(raw: DataFrame, keys: Sequence[str] = ("order_id",), checks: Checks | None = None) -> DataFrame:
     """One valid row per order, with date parts, ratios and flags.
 
     Duplicates go before invalid rows do, so an invalid first row also removes
     a later valid one with its key. ``keys`` may name extra columns that
     ``order_id`` determines: a source already partitioned on them then needs
     no further shuffle. Such helper columns are dropped from the result.
+    ``checks`` count issues on the way.
     """
     helpers = [k for k in keys if k != "order_id"]
-    return clean_unique(keep_first(raw, keys).drop(SEQUENCE, *helpers))
+    first = keep_first(checks.seen(raw) if checks else raw, keys)
+    return clean_unique((checks.kept(first) if checks else first).drop(SEQUENCE, *helpers))
 
 
 def clean_unique(unique: DataFrame) -> DataFrame:

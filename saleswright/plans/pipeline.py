@@ -7,7 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators import clean, validate, with_rfm
+from ..operators import Checks, clean, validate, with_rfm
+from ..session import working_dir
 from ..sources import publish, read_sales, write_csv, write_sales, written_once
 from .forecast import WEEKS, Settings, Trained, run_forecaster
 from .marts import report_marts, write_marts
@@ -41,11 +42,15 @@ def run_etl(raw: DataFrame, root: str, keys: Sequence[str] = ("order_id",), expo
     """Check, clean, enrich and store; returns the stored table.
 
     The cleaned rows are written once, since the customer figures need them
-    several times over and the duplicate check should not run for each. All
-    outputs are replaced, so a second run leaves the same tables.
+    several times over and the duplicate check should not run for each. Issues
+    are counted in that write, so raw is read once. All outputs are replaced, so
+    a second run leaves the same tables.
     """
     out = Layout(root)
-    with written_once(clean(validate(raw), keys)) as cleaned:
+    checks = Checks() if working_dir(raw.sparkSession) else None
+    with written_once(clean(raw if checks else validate(raw), keys, checks)) as cleaned:
+        if checks:
+            checks.report()
         write_sales(with_rfm(cleaned), out.sales)
     sales = read_sales(raw.sparkSession, out.sales)
     register_sales(sales)

@@ -11,6 +11,7 @@ from saleswright.plans.forecast import Settings, run_forecaster
 from saleswright.schema import MARGIN, RAW
 from saleswright.session import shuffle_partitions
 from saleswright.sources import conform, publish, read_sales, read_sales_csv, save_sales_table, write_csv, write_sales, written_once
+from saleswright.sources.csv_files import files_by_header
 from saleswright.sources.staging import staging_path
 from saleswright.sources.star import STAR_KEYS
 
@@ -59,6 +60,54 @@ def test_csv_line_breaks_in_quotes(spark, tmp_path):
     assert got == {"A": "Raj\nA", "B": "Raj, A"}
 
 
+def fields(text, *names, header=HEADER):
+    """Some fields of a line, in the order asked for."""
+    import csv
+
+    row = dict(zip(header.strip().split(","), next(csv.reader([text]))))
+    return ",".join(f'"{row[n]}"' for n in names)
+
+
+def test_csv_files_of_different_headers(spark, tmp_path):
+    """Missing, reordered and extra columns; the first row in file order wins across groups."""
+    import gzip
+
+    names = RAW.fieldNames()
+    fewer = [n for n in reversed(names) if n not in ("segment", "cost")]
+    write(tmp_path / "1 full.csv", line("A"), line("B", sales="20.00"))
+    write(tmp_path / "2{few}.csv", fields(line("B", sales="99.00"), *fewer), fields(line("C"), *fewer), header=",".join(fewer) + "\r\n")
+    with gzip.open(tmp_path / "3.csv.gz", "wt") as f:
+        f.write(",".join([*names, '"a ""note"", of it"']) + "\n" + fields(line("D"), *names) + ",said\n")
+    write(tmp_path / "4.csv", line("C", sales="77.00"), line("E"))
+    write(tmp_path / "5 empty.csv", header="")
+    write(tmp_path / "6 no rows.csv", header=",".join(names) + "\n")
+    df = read_sales_csv(spark, str(tmp_path))
+    assert df.count() == 7
+    assert {r.order_id: (int(r.sales), r.segment, r.cost) for r in clean(df).collect()} == {
+        "A": (10, "Consumer", 7),
+        "B": (20, "Consumer", 7),
+        "C": (10, None, None),
+        "D": (10, "Consumer", 7),
+        "E": (10, "Consumer", 7),
+    }
+    assert [r[0] for r in df.select('`a "note", of it`').dropna().collect()] == ["said"]
+    assert {len(files) for files in files_by_header(spark, str(tmp_path)).values()} == {2, 1}
+
+
+def test_csv_where_some_files_lack_a_required_column(spark, tmp_path):
+    names = [n for n in RAW.fieldNames() if n != "profit"]
+    write(tmp_path / "a.csv", line("A"))
+    write(tmp_path / "b.csv", fields(line("B"), *names), header=",".join(names) + "\n")
+    with pytest.raises(ValueError, match=r"b\.csv lacks \['profit'\]"):
+        read_sales_csv(spark, str(tmp_path))
+
+
+def test_one_header_takes_one_scan(spark, tmp_path, plan):
+    for name in "abc":
+        write(tmp_path / f"{name}.csv", line(name))
+    assert plan(read_sales_csv(spark, str(tmp_path))).count("FileScan") == 1
+
+
 def test_csv_without_a_required_column(spark, tmp_path):
     path = write(tmp_path / "s.csv", "A,2024-01-01", header="order_id,order_date\n")
     with pytest.raises(ValueError, match="customer_id"):
