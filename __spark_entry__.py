@@ -17,6 +17,7 @@ from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, vie
 from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
 from saleswright.session import configure
 from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv, written_once
+from saleswright.sources.batches import BatchStore
 from saleswright.sources.staging import made_once, staging_path
 from saleswright.sources.star import ORDER_KEY
 
@@ -143,6 +144,24 @@ def _checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.createDataFrame(checks.found(), "check string, column_name string, n long")
 
 
+def _in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged rows in three batches, one after another."""
+    path = _own_path(spark, sf_dir, "batches")
+    store = BatchStore(spark, path, buckets=8)
+
+    def build() -> None:
+        dirty = _dirty(spark, sf_dir)
+        # The order keys of each batch follow those of the one before.
+        keys = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(F.percentile("o_orderkey", [1 / 3, 2 / 3]))
+        low, high = keys.first()[0]
+        at = F.col(f"{SEQUENCE}.{ORDER_KEY}")
+        for part in (at <= low, (at > low) & (at <= high), at > high):
+            store.add(dirty.filter(part))
+
+    made_once(path, build)
+    return store.sales()
+
+
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored table that queries read, built on first use."""
     return staged(configure(spark), sf_dir, "sales", lambda: _cleaned(spark, sf_dir))
@@ -328,6 +347,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     on_folder = {
         "quality_report_of_write": _checked_write,
+        "sales_in_batches": _in_batches,
         "normalize_text": _normalized_texts,
         "adhoc_select": _adhoc,
         "csv_round_trip": _csv_round_trip,
@@ -377,5 +397,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL; Spark ML results have none."""
     twins = {name: ORACLES[name.removesuffix("_rollup")] for name in queries() if name.endswith("_rollup")}
+    twins["sales_in_batches"] = ORACLES["sales_clean_dirty"]
     twins["quality_report_of_write"] = ORACLES["quality_report_dirty"]
     return dict(ORACLES) | twins | _llm_oracles()
