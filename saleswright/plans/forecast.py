@@ -19,6 +19,7 @@ from pyspark.util import inheritable_thread_target
 from ..functions import in_lakhs
 from ..session import ensure_checkpoint_dir
 from ..sources.csv_files import write_csv
+from ..sources.versions import current_folder, new_version
 from .features import FEATURES, LAGS, TEST_SHARE, build_features, calendar, split_by_time
 
 FOREST, BOOSTING, RIDGE = "RandomForest", "GradientBoosting", "Ridge"
@@ -296,14 +297,16 @@ def forecast_in_lakhs(predicted: DataFrame) -> DataFrame:
 
 
 def save_trained(trained: Trained, path: str) -> None:
-    """Replace the stored winner, metrics and feature weights."""
-    trained.model.write().overwrite().save(f"{path}/model")
-    trained.metrics.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
-    trained.importances.coalesce(1).write.mode("overwrite").parquet(f"{path}/importances")
+    """Replace the stored winner, metrics and feature weights, all three at once."""
+    with new_version(trained.metrics.sparkSession, path) as version:
+        trained.model.write().save(f"{version.folder}/model")
+        trained.metrics.coalesce(1).write.parquet(f"{version.folder}/metrics")
+        trained.importances.coalesce(1).write.parquet(f"{version.folder}/importances")
 
 
 def load_trained(spark: SparkSession, path: str) -> Trained:
     """The stored model, or ``FileNotFoundError`` if none was trained."""
+    path = current_folder(spark, path)
     metrics = _existing(spark, f"{path}/metrics", "no trained model")
     best = metrics.filter("is_best").first()["model"]
     return Trained(best, PipelineModel.load(f"{path}/model"), metrics, spark.read.parquet(f"{path}/importances"))

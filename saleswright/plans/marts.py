@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import average, in_lakhs, percent, period_label
 from ..session import ensure_checkpoint_dir
+from ..sources.versions import swapped
 from . import kpi
 
 REPORT_PRODUCTS = 20
@@ -64,7 +65,7 @@ def region_segment_pivot(sales: DataFrame, segments: list[str] | None = None) ->
     """Revenue by region (rows) and segment (columns), 0 where there is none.
 
     The pivot runs over the aggregated matrix. With ``segments`` nothing runs
-    before the result is read. Without, the matrix, a few rows, is computed at
+    before the result is read, and only those are shown. Without, the matrix, a few rows, is computed at
     once and kept, since its segments make up the schema.
     """
     cells = sales.groupBy("region", "segment").agg(F.sum("sales").alias("revenue"))
@@ -91,9 +92,11 @@ def report_marts(sales: DataFrame, forecast: DataFrame | None = None) -> dict[st
 
 
 def write_marts(marts: dict[str, DataFrame], path: str, fmt: str = "parquet") -> list[str]:
-    """One folder per table under ``path``, each replaced."""
-    for name, table in marts.items():
-        table.write.mode("overwrite").format(fmt).option("header", True).save(f"{path}/{name}")
+    """One folder per table under ``path``; the report is replaced as a whole."""
+    spark = next(iter(marts.values())).sparkSession
+    with swapped(spark, path) as folder:
+        for name, table in marts.items():
+            table.write.format(fmt).option("header", True).save(f"{folder}/{name}")
     return list(marts)
 
 

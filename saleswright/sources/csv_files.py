@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..schema import PUBLISHED_MARGIN, REQUIRED, SEQUENCE
 from ..session import configure
 from .raw import DATES, conform
+from .versions import swapped
 
 #: Files whose header is read at a time; a header is some hundred bytes.
 _READERS = 32
@@ -112,5 +113,6 @@ def _first_line(spark: SparkSession, file: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header per partition, replacing what was there; quotes are doubled."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """One CSV file with header per partition, replacing what was there as a whole; quotes are doubled."""
+    with swapped(df.sparkSession, path) as folder:
+        df.write.option("header", True).option("escape", '"').csv(folder)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..schema import MARGIN, PUBLISHED_MARGIN
+from .versions import current_folder, new_version
 
 YEAR = "order_year"
 
@@ -25,12 +26,13 @@ def by_year(sales: DataFrame) -> DataFrame:
 
 
 def write_sales(sales: DataFrame, path: str) -> None:
-    """Replace the stored table.
+    """Replace the stored table; readers stay on the old version until the new one is whole.
 
     A folder per year lets a year filter skip the others; with one folder per
     month, each write task would leave twelve times as many small files.
     """
-    by_year(sales).write.mode("overwrite").partitionBy(YEAR).parquet(path)
+    with new_version(sales.sparkSession, path) as version:
+        by_year(sales).write.partitionBy(YEAR).parquet(version.folder)
 
 
 def save_sales_table(sales: DataFrame, name: str = "sales") -> None:
@@ -39,6 +41,6 @@ def save_sales_table(sales: DataFrame, name: str = "sales") -> None:
 
 
 def read_sales(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The stored table; a known schema saves looking it up in the files."""
+    """The newest version of the stored table; a known schema saves looking it up in the files."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path).withColumnRenamed(PUBLISHED_MARGIN, MARGIN)
+    return reader.parquet(current_folder(spark, path)).withColumnRenamed(PUBLISHED_MARGIN, MARGIN)

@@ -1,4 +1,7 @@
-"""Stored outputs that change as a whole: a folder per version, and a manifest switched last.
+"""Stored outputs that change as a whole, so that a write that fails leaves the old one.
+
+For outputs that this library reads: a folder per version, and a manifest
+switched last. For exports, which others read by their path: ``swapped``.
 
 A version is written to a folder of its own. Only when it is complete does a
 small file under ``_versions``, named by its number, say which folder that is.
@@ -111,3 +114,29 @@ def _forget(spark: SparkSession, path: str, number: int) -> None:
         if old:
             target, system = _path(spark, old)
             system.delete(target, True)
+
+
+@contextmanager
+def swapped(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to fill beside ``path``; it takes its place when the block ends well.
+
+    The old folder is moved aside, the new one moved in, then the old one
+    deleted; a write that fails or reads ``path`` itself finds it as it was.
+    """
+    mark, path = uuid.uuid4().hex, path.rstrip("/")
+    fresh, system = _path(spark, f"{path}.new-{mark}")
+    target, _ = _path(spark, path)
+    aside, _ = _path(spark, f"{path}.old-{mark}")
+    try:
+        yield f"{path}.new-{mark}"
+        there = system.exists(target)
+        if there and not system.rename(target, aside):
+            raise OSError(f"{path} can't be moved aside")
+        if not system.rename(fresh, target):
+            if there:
+                system.rename(aside, target)
+            raise OSError(f"{path} can't be replaced")
+    except BaseException:
+        system.delete(fresh, True)
+        raise
+    system.delete(aside, True)

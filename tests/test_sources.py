@@ -14,6 +14,7 @@ from saleswright.sources import conform, publish, read_sales, read_sales_csv, sa
 from saleswright.sources.csv_files import files_by_header
 from saleswright.sources.staging import staging_path
 from saleswright.sources.star import STAR_KEYS
+from saleswright.sources.versions import current_folder
 
 HEADER = ",".join(RAW.fieldNames()) + ",profit_margin_%\n"
 
@@ -135,7 +136,7 @@ def test_table_round_trip(spark, tmp_path):
     back = read_sales(spark, path)
     assert set(back.columns) == set(df.columns)
     assert back.select(*df.columns).orderBy("order_id").collect() == df.orderBy("order_id").collect()
-    assert "profit_margin_%" in spark.read.parquet(path).columns
+    assert "profit_margin_%" in spark.read.parquet(current_folder(spark, path)).columns
 
 
 def test_catalog_table_and_views(spark):
@@ -261,7 +262,9 @@ def test_bad_numbers_raise_whatever_the_session_says(spark, tmp_path, sales):
 
 def test_few_files_per_year(spark, sales, tmp_path):
     write_sales(sales.repartition(40), str(tmp_path / "sales"))
-    for year in (tmp_path / "sales").glob("order_year=*"):
+    years = list((tmp_path / "sales").glob("v-*/order_year=*"))
+    assert len(years) == 7
+    for year in years:
         assert len(list(year.glob("part-*"))) <= 2
 
 
@@ -272,3 +275,64 @@ def test_stored_table_follows_its_source(spark, tmp_path):
     assert staging_path(spark, str(source), "x") == first
     spark.range(4).write.mode("overwrite").parquet(str(source))
     assert staging_path(spark, str(source), "x") != first
+
+
+def broken(df, column):
+    """The same rows, but reading them fails late."""
+    return df.withColumn(column, F.when(F.rand(3) < 0.5, F.raise_error(F.lit("lost")).cast(df.schema[column].dataType)).otherwise(F.col(column)))
+
+
+def test_a_write_that_fails_leaves_the_old_outputs(spark, tmp_path):
+    """Table, export and report, each replaced by a write that breaks off half-way, then by a whole one."""
+    from saleswright.plans import marts
+
+    df = clean(frame(spark, *[{} for _ in range(40)]))
+    table, export, report = (str(tmp_path / name) for name in ("sales", "csv", "report"))
+
+    def read():
+        return (
+            read_sales(spark, table).count(),
+            spark.read.option("header", True).csv(export).count(),
+            spark.read.parquet(f"{report}/monthly_trend").first().total_orders,
+        )
+
+    def write_all(rows):
+        for sink in (lambda: write_sales(rows, table), lambda: write_csv(rows, export), lambda: marts.write_marts(marts.report_marts(rows), report)):
+            yield sink
+
+    for sink in write_all(df):
+        sink()
+    assert read() == (40, 40, 40)
+    opened = read_sales(spark, table)
+    for sink in write_all(broken(df.limit(30), "sales")):
+        with pytest.raises(Exception, match="lost"):
+            sink()
+    assert read() == (40, 40, 40)
+    assert {p.name for p in tmp_path.iterdir()} == {"sales", "csv", "report"}
+    for sink in write_all(df.limit(7)):
+        sink()
+    assert read() == (7, 7, 7)
+    assert opened.count() == 40  # a reader of the version before
+
+
+def test_a_model_is_replaced_with_its_metrics(spark, sales, tmp_path, monkeypatch):
+    from saleswright.plans import forecast as fc
+    from saleswright.plans.features import build_features
+
+    path = str(tmp_path / "models")
+    panel = build_features(sales)
+    trained = fc.train(panel, settings=Settings(trees=2, rounds=2, bins=16))
+    fc.save_trained(trained, path)
+    before = fc.load_trained(spark, path).metrics.collect()
+    other = fc.Trained("none", trained.model, trained.metrics.withColumn("mae", F.lit(0.0)), broken(trained.importances, "feature"))
+    with pytest.raises(Exception, match="lost"):
+        fc.save_trained(other, path)
+    loaded = fc.load_trained(spark, path)
+    assert loaded.best == trained.best and sorted(loaded.metrics.collect()) == sorted(before)
+
+
+def test_an_export_may_be_made_from_itself(spark, tmp_path):
+    path = str(tmp_path / "x")
+    write_csv(spark.range(9), path)
+    write_csv(spark.read.option("header", True).csv(path).filter("id < 4"), path)
+    assert spark.read.option("header", True).csv(path).count() == 4
