@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,12 @@ STEPS, TRAIN_BATCH, RATE = 240, 192, 0.012
 #: many times that of an even split; a text of a word or two can't be much surer.
 LEAST_OVER_EVEN = 1.2
 
+#: Windows, held back from counting, that it takes to say what is usual; lengths in bytes it is said for.
+LEAST_HELD, LENGTHS = 100, (8, 16, 32, 64, LENGTH)
+#: The share of held-back windows taken for the end of what is usual, and how
+#: many times that distance from the median a text may be.
+RARE, BEYOND = 0.001, 1.3
+
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -119,6 +125,7 @@ class LanguageModel:
 
     languages: tuple[str, ...]
     weights: dict[str, np.ndarray]
+    usual: Usual | None = None
 
     def positions(self, windows: np.ndarray) -> np.ndarray:
         """Probability of each language at every byte: (time, windows, languages)."""
@@ -222,6 +229,90 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: tuple[str, ...], ste
     return LanguageModel(languages, w)
 
 
+# --- what no learned language looks like ---------------------------------------
+
+_SYMBOLS = 128
+
+
+def _folded() -> np.ndarray:
+    """Bytes as 128 symbols: letters without case, one blank, one digit, lead bytes as two, others apart."""
+    out = np.arange(256)
+    out[:32] = 32
+    out[65:91] += 32
+    out[48:58] = 48
+    free = [c for c in range(_SYMBOLS) if c not in set(out[:128].tolist())]
+    out[128:192] = free[:64]
+    out[192:] = free[64]
+    out[195] = free[65]
+    return out
+
+
+_FOLD = _folded()
+
+
+@dataclass(frozen=True)
+class Usual:
+    """How likely bytes follow two others in what was learned, and how unlikely a text may be.
+
+    The network tells languages apart, whatever it is given; this tells a text in
+    none of them. ``table`` has the logarithm for every three symbols, and
+    ``limits`` the least mean of a text by its length in bytes.
+    """
+
+    table: np.ndarray
+    limits: tuple[tuple[int, float], ...]
+
+    def mean(self, raw: bytes) -> float:
+        s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
+        if len(s) < 3:
+            return 0.0
+        total = 0.0
+        for at in range(0, len(s) - 2, 1_000_000):  # long texts part by part
+            a, b, c = (s[at + k : min(at + 1_000_000, len(s) - 2) + k] for k in range(3))
+            total += float(self.table[(a * _SYMBOLS + b) * _SYMBOLS + c].sum(dtype=np.float64))
+        return total / (len(s) - 2)
+
+    def knows(self, text: str) -> bool:
+        raw = text.encode("utf-8", "surrogatepass")
+        limit = next((least for n, least in reversed(self.limits) if len(raw) >= n), None)
+        return limit is None or self.mean(raw) >= limit
+
+
+def _likely(windows: list[bytes]) -> np.ndarray:
+    """Logarithms of the probability of a symbol after two, smoothed by that after one and alone."""
+    n = _SYMBOLS
+    three = np.zeros(n**3)
+    for raw in windows:
+        s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
+        np.add.at(three, (s[:-2] * n + s[1:-1]) * n + s[2:], 1)
+    three = three.reshape(n, n, n)
+    two = three.sum(axis=0)
+    one = two.sum(axis=0)
+    p = (one + 0.01) / (one.sum() + 0.01 * n)
+    p = (two + 5 * p) / (two.sum(axis=1, keepdims=True) + 5)
+    p = (three + 5 * p) / (three.sum(axis=2, keepdims=True) + 5)
+    return np.log(p).astype(np.float32).ravel()
+
+
+def learn_usual(windows: list[bytes]) -> Usual | None:
+    """Counts over three quarters of the windows, limits from the fourth; None for too few.
+
+    A limit lies below the median by a multiple of the distance of the rarest
+    held-back windows, each cut to the length that the limit is for.
+    """
+    held, counted = windows[::4], [w for i, w in enumerate(windows) if i % 4]
+    if len(held) < LEAST_HELD:
+        return None
+    usual = Usual(_likely(counted), ())
+    limits = []
+    for n in LENGTHS:
+        means = np.array([usual.mean(w[:n]) for w in held if len(w) >= n])
+        if len(means) >= LEAST_HELD:
+            middle = float(np.median(means))
+            limits.append((n, middle - BEYOND * (middle - float(np.quantile(means, RARE)))))
+    return Usual(usual.table, tuple(limits))
+
+
 # --- on tables ----------------------------------------------------------------
 
 
@@ -274,7 +365,8 @@ def train(
         windows[i, : len(r.bytes)] = np.frombuffer(bytes(r.bytes), dtype=np.uint8)
     number = {lang: i for i, lang in enumerate(languages)}
     labels = np.array([number[r.lang] for r in rows])
-    return fit(windows, labels, languages, steps, seed)
+    model = fit(windows, labels, languages, steps, seed)
+    return replace(model, usual=learn_usual([bytes(r.bytes) for r in rows]))
 
 
 def predictions(texts: list[str | None], model: LanguageModel | None) -> list[tuple[str, float]]:
@@ -308,14 +400,24 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel | None, over_even: float = LEAST_OVER_EVEN) -> DataFrame:
-    """``docs`` without rows whose language is unknown or unsure; columns as they are."""
+    """``docs`` without rows whose language is unknown, unsure or none of the learned; columns as they are.
+
+    Rows without a text or a letter go. So do texts whose bytes follow each other
+    in ways that no learned text's do (see ``Usual``); a text of under eight
+    bytes is too short to tell. Repeated rows are judged alike.
+    """
     at = docs.columns.index("text")
     # With one language there is no doubt to measure.
     least = over_even / len(model.languages) if model and len(model.languages) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = predictions(batch.column(at).to_pylist(), model)
-            yield batch.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in found], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            usual = model.usual if model else None
+            known = [
+                lang != UNKNOWN and p >= least and (usual is None or usual.knows(text))
+                for (lang, p), text in zip(predictions(texts, model), texts)
+            ]
+            yield batch.filter(pa.array(known, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -87,3 +87,52 @@ def test_nothing_to_learn_from(spark):
     assert [tuple(r) for r in lang.identify(docs, None).collect()] == [(1, "und", 0.0), (2, "und", 0.0)]
     one = docs.selectExpr("doc_id", "text", "'en' AS lang")
     assert [r.lang_pred for r in lang.identify(docs, lang.train(one, steps=3)).collect()] == ["en", "und"]
+
+
+FOREIGN = {
+    "ru": "Вчера вечером мы долго гуляли по городу и говорили о том, что будет дальше с нашей работой.",
+    "zh": "昨天晚上我们在城里散步谈论我们的工作以后会怎么样大家都很高兴也很担心未来的事情",
+    "pl": "Wczoraj wieczorem długo spacerowaliśmy po mieście i rozmawialiśmy o tym, co będzie dalej z naszą pracą.",
+    "tr": "Dün akşam şehirde uzun süre yürüdük ve işimizin bundan sonra ne olacağını konuştuk.",
+    "hu": "Tegnap este sokáig sétáltunk a városban és arról beszélgettünk, mi lesz a munkánkkal.",
+    "letters": "xqzjv kwpfg hhtrz qqwxk vbnmz plkjh wqzxr tygbn fghjk zzxqw mnbvc lkjhg qazws edcrf",
+}
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    return lang.train(docs.filter(lang.remainder(docs.doc_id) != 1))
+
+
+@pytest.mark.parametrize("name", FOREIGN)
+@pytest.mark.parametrize("times", [1, 200])
+def test_texts_in_no_learned_language_go(spark, learned, name, times):
+    docs = spark.createDataFrame([(1, " ".join([FOREIGN[name]] * times))], "doc_id long, text string")
+    assert lang.keep_identified(docs, learned).count() == 0
+
+
+def test_clean_texts_stay(spark, learned):
+    """Held-out clean documents, and their first words alone."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1")
+    clean = [r for r in docs.join(labels, "doc_id").collect() if r.text and any(c.isalpha() for c in r.text)]
+    assert len(clean) > 200
+    assert np.mean([learned.usual.knows(r.text) for r in clean]) >= 0.995
+    for n in (1, 2, 5):
+        starts = [" ".join(r.text.split()[:n]) for r in clean]
+        assert np.mean([learned.usual.knows(t) for t in starts]) >= 0.99, n
+    assert lang.keep_identified(docs.join(labels.select("doc_id"), "doc_id"), learned).count() >= 0.99 * len(clean)
+
+
+def test_likelihoods_by_hand():
+    """Every row of the table is a distribution; a mean is that of its steps."""
+    table = lang._likely([b"abcabcabd", b"xAB1c"])
+    p = np.exp(table.astype(float)).reshape(128, 128, 128)
+    assert p.sum(axis=2) == pytest.approx(np.ones((128, 128)), abs=1e-3)
+    usual = lang.Usual(table, ((4, -1.0),))
+    a, b, c, d = (ord(x) for x in "abcd")
+    assert usual.mean(b"aBcD") == pytest.approx(np.log([p[a, b, c], p[b, c, d]]).mean(), abs=1e-4)
+    assert p[a, b, c] > p[a, b, d] > p[a, b, ord("x")]
+    assert usual.knows("zzz") and not usual.knows("zzzz")
+    assert lang.learn_usual([b"few"] * 10) is None
