@@ -231,7 +231,7 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: tuple[str, ...], ste
 
 # --- what no learned language looks like ---------------------------------------
 
-_SYMBOLS = 128
+_SYMBOLS, _DIGIT = 128, ord("0")
 
 
 def _folded() -> np.ndarray:
@@ -239,7 +239,7 @@ def _folded() -> np.ndarray:
     out = np.arange(256)
     out[:32] = 32
     out[65:91] += 32
-    out[48:58] = 48
+    out[48:58] = _DIGIT
     free = [c for c in range(_SYMBOLS) if c not in set(out[:128].tolist())]
     out[128:192] = free[:64]
     out[192:] = free[64]
@@ -262,20 +262,24 @@ class Usual:
     table: np.ndarray
     limits: tuple[tuple[int, float], ...]
 
-    def mean(self, raw: bytes) -> float:
+    def mean(self, raw: bytes) -> tuple[float, int]:
+        """Mean over the places of three symbols without a digit, and their number.
+
+        A key or a number is in no language, so it says nothing of the text around it.
+        """
         s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
-        if len(s) < 3:
-            return 0.0
-        total = 0.0
-        for at in range(0, len(s) - 2, 1_000_000):  # long texts part by part
+        total, n = 0.0, 0
+        for at in range(0, max(0, len(s) - 2), 1_000_000):  # long texts part by part
             a, b, c = (s[at + k : min(at + 1_000_000, len(s) - 2) + k] for k in range(3))
-            total += float(self.table[(a * _SYMBOLS + b) * _SYMBOLS + c].sum(dtype=np.float64))
-        return total / (len(s) - 2)
+            counted = (a != _DIGIT) & (b != _DIGIT) & (c != _DIGIT)
+            total += float(self.table[((a * _SYMBOLS + b) * _SYMBOLS + c)[counted]].sum(dtype=np.float64))
+            n += int(np.count_nonzero(counted))
+        return total / max(1, n), n
 
     def knows(self, text: str) -> bool:
-        raw = text.encode("utf-8", "surrogatepass")
-        limit = next((least for n, least in reversed(self.limits) if len(raw) >= n), None)
-        return limit is None or self.mean(raw) >= limit
+        mean, counted = self.mean(text.encode("utf-8", "surrogatepass"))
+        limit = next((least for n, least in reversed(self.limits) if counted + 2 >= n), None)
+        return limit is None or mean >= limit
 
 
 def _likely(windows: list[bytes]) -> np.ndarray:
@@ -306,7 +310,7 @@ def learn_usual(windows: list[bytes]) -> Usual | None:
     usual = Usual(_likely(counted), ())
     limits = []
     for n in LENGTHS:
-        means = np.array([usual.mean(w[:n]) for w in held if len(w) >= n])
+        means = np.array([usual.mean(w[:n])[0] for w in held if len(w) >= n])
         if len(means) >= LEAST_HELD:
             middle = float(np.median(means))
             limits.append((n, middle - BEYOND * (middle - float(np.quantile(means, RARE)))))

@@ -132,7 +132,9 @@ def test_likelihoods_by_hand():
     assert p.sum(axis=2) == pytest.approx(np.ones((128, 128)), abs=1e-3)
     usual = lang.Usual(table, ((4, -1.0),))
     a, b, c, d = (ord(x) for x in "abcd")
-    assert usual.mean(b"aBcD") == pytest.approx(np.log([p[a, b, c], p[b, c, d]]).mean(), abs=1e-4)
+    by_hand = np.log([p[a, b, c], p[b, c, d]]).mean()
+    for text in (b"aBcD", b"aBcD7f0f", b"9aBcD"):
+        assert usual.mean(text) == (pytest.approx(by_hand, abs=1e-4), 2)
     assert p[a, b, c] > p[a, b, d] > p[a, b, ord("x")]
-    assert usual.knows("zzz") and not usual.knows("zzzz")
+    assert usual.knows("zzz") and usual.knows("zz1zz") and not usual.knows("zzzz")
     assert lang.learn_usual([b"few"] * 10) is None
