@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from oracle_queries import ORACLES
 from saleswright.functions import normalize
 from saleswright.operators import Checks, clean, issues, null_counts, rank_customers, with_rfm
-from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, views
+from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, serving, views
 from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
 from saleswright.session import configure
 from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv, written_once
@@ -235,6 +235,19 @@ def _views_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return desk.select(VIEW_ROWS)
 
 
+def _records_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly trend as a client gets it, in pages of one stored result."""
+    served = serving.serve(kpi.revenue_trend_monthly(_sales(spark, sf_dir)))
+    pages = served.page(0, 25)
+    for first in range(25, served.count, 25):
+        pages = pages.union(served.page(first, 25))
+    return pages
+
+
+def _fixed_lakhs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forecast.forecast_in_lakhs(_fixed_forecast(spark, sf_dir))
+
+
 def _report_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per report table as written: its rows and its total revenue."""
     path = _own_path(spark, sf_dir, "report")
@@ -353,9 +366,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_round_trip": _csv_round_trip,
         "csv_mixed_headers": _csv_mixed_headers,
         "views_by_name": _views_by_name,
+        "records_paged": _records_paged,
         "report_marts": _report_marts,
         "forecast_8w": _live_forecast,
         "forecast_fixed": _fixed_forecast,
+        "forecast_fixed_lakhs": _fixed_lakhs,
         "forecast_fixed_summary": _fixed_summary,
         "holdout_metrics": _holdout_metrics,
     }
@@ -397,6 +412,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Equivalent DuckDB SQL; Spark ML results have none."""
     twins = {name: ORACLES[name.removesuffix("_rollup")] for name in queries() if name.endswith("_rollup")}
+    twins["records_paged"] = ORACLES["records_json"]
+    twins["forecast_fixed_lakhs"] = f"SELECT *, ROUND(forecasted_revenue / 100000, 7) AS revenue_lakh FROM ({ORACLES['forecast_fixed']})"
     twins["sales_in_batches"] = ORACLES["sales_clean_dirty"]
     twins["quality_report_of_write"] = ORACLES["quality_report_dirty"]
     return dict(ORACLES) | twins | _llm_oracles()

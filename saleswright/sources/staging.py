@@ -80,7 +80,7 @@ def written_once(df: DataFrame) -> Iterator[DataFrame]:
     try:
         yield spark.read.parquet(path)
     finally:
-        _delete(spark, path)
+        drop_path(spark, path)
 
 
 def drop_staged(spark: SparkSession) -> None:
@@ -88,13 +88,14 @@ def drop_staged(spark: SparkSession) -> None:
     root = working_dir(spark)
     if root is not None:
         own = f"{root}/saleswright/{spark.sparkContext.applicationId}"
-        _delete(spark, own)
+        drop_path(spark, own)
         for path in [p for p in _written if p.startswith(f"{own}/")]:
             del _written[path]
         _made.difference_update([p for p in _made if p.startswith(f"{own}/")])
         forget_local_dir(spark)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
