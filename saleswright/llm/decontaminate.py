@@ -259,7 +259,8 @@ def find_leaks(
 
     An item of fewer than ``least`` words is leaked if its whole text occurs.
     Items without a word and missing texts leak nothing; repeated documents or
-    items give a row each. Places and lengths of tiles are in words.
+    items give a row each; an empty table on either side gives no rows. Places
+    and lengths of tiles are in words.
     """
 
     def run(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
@@ -292,7 +293,11 @@ def decontaminate(
     least: int = MIN_MATCH,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """``docs`` without the rows that leak an item; no shuffle, columns as they are."""
+    """``docs`` without the rows that leak an item; no shuffle, columns as they are.
+
+    Rows without a text stay, repeated rows stay or go together, and an empty
+    benchmark takes nothing away.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:

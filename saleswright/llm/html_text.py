@@ -588,6 +588,7 @@ def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made: int = MADE_P
 
 
 def main_text(page: str | None, chain: Chain) -> str:
+    """The article's blocks joined by blank lines; empty for a missing or empty page, or without any."""
     found = blocks(page)
     keep = chain.label(found)
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)

@@ -135,7 +135,7 @@ def find_pii(docs: DataFrame, text: str = "text", result: str = "pii") -> DataFr
     (modulo 97), cards of 13 to 15 digits and national ids need a score of
     ``ACCEPT``. A missing text counts as empty, a text without matches has no
     spans, repeated rows have equal spans, and other columns stay as they are
-    (a column named like ``result`` is replaced).
+    (a column named like ``result`` is replaced). An empty table gives no rows.
     """
     prefix = fresh(docs, "_pii")
     scan, pieces = f"{prefix}_scan", {name: f"{prefix}_{name}" for name in PATTERNS}
