@@ -3,12 +3,13 @@
 Every token long enough to be a key, with letters and digits, is a candidate. A
 convolutional network reads the characters of the candidate and around it; one
 channel tells the two apart, and pools over the candidate and its surroundings
-lead to one score. It is trained here, in numpy, on labelled findings: those of
-the patterns in a bounded sample of the documents, the other candidates of that
-sample unless they have the form of a known key, and planted tokens of known
-kinds in contexts of the sample. Scores are calibrated on candidates held back
-from training, and the threshold is the highest one that keeps the wanted recall
-of them there, each with its best window.
+lead to one score. It is trained on labelled findings of all documents: those of
+the patterns, the other candidates unless they have the form of a known key, and
+tokens of known kinds planted in the surroundings of every one of them. Tasks
+train on parts of these windows in numpy, and their weights are averaged after
+each pass. Scores are calibrated on all candidates held back from training, and
+the threshold is the highest one that keeps the wanted recall of them there,
+each with its best window.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sampled, slices
+from .common import fixed, slices
 
 # The patterns and the least length of what they find.
 ASSIGN = re.compile(
@@ -47,9 +48,13 @@ _DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 #: once. A longer candidate is seen in several windows; the highest score counts.
 AROUND, INSIDE = 20, 40
 WIDTH = INSIDE + 2 * AROUND
-#: Bounds of the training sample: documents looked at, and candidates taken.
-SAMPLE_DOCUMENTS, SAMPLE_CANDIDATES = 4000, 3000
+#: Tokens planted at least, windows that a task trains on, and passes over them.
+PLANTED, SHARD, EPOCHS = 1500, 20_000, 8
+#: Windows that a task plants tokens into.
+PLANT = 2000
 RECALL = 0.98
+#: Steps of a score within which held-back candidates are counted together.
+STEPS = 1000
 #: Windows that a worker gathers before it scores them.
 SCORED = 16_384
 SPANS = "array<struct<kind:string,start:int,end:int,value_start:int,score:double>>"
@@ -171,12 +176,28 @@ def _backward(w, chars, kept, error) -> dict[str, np.ndarray]:
     return g
 
 
-def fit_network(chars, marks, labels, epochs: int = 8, rate: float = 3e-3, batch: int = 128, seed: int = 7):
-    """Weights by Adam on the logistic loss; equal inputs give equal weights."""
-    w = _start(seed)
-    rng = np.random.default_rng(seed)
-    mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    step = 0
+def _fresh_state(seed: int) -> np.ndarray:
+    """Weights, both of Adam's means and its step count, put behind each other."""
+    weights = _start(seed)
+    size = sum(v.size for v in weights.values())
+    return np.concatenate([*(v.ravel() for v in weights.values()), np.zeros(2 * size + 1)])
+
+
+def _unpacked(state: np.ndarray) -> tuple[dict, dict, dict, int]:
+    parts, at = [], 0
+    for _ in range(3):
+        part = {}
+        for k, v in _start(0).items():
+            part[k] = state[at : at + v.size].reshape(v.shape).astype(np.float32)
+            at += v.size
+        parts.append(part)
+    return *parts, int(round(state[at]))
+
+
+def fit_network(chars, marks, labels, state: np.ndarray, epochs: int = 1, rate: float = 3e-3, batch: int = 128, seed: int = 7) -> np.ndarray:
+    """The state after Adam on the logistic loss; equal inputs give equal states."""
+    w, mean, square, step = _unpacked(state)
+    rng = np.random.default_rng([seed, step])
     for _ in range(epochs):
         order = rng.permutation(len(labels))
         for at in range(0, len(order), batch):
@@ -188,7 +209,7 @@ def fit_network(chars, marks, labels, epochs: int = 8, rate: float = 3e-3, batch
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 square[k] = 0.999 * square[k] + 0.001 * g * g
                 w[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-    return w
+    return np.concatenate([*(v.ravel() for part in (w, mean, square) for v in part.values()), [step]])
 
 
 # --- training -----------------------------------------------------------------
@@ -231,8 +252,8 @@ def _planted(rng: np.random.Generator, contexts: list[str], n: int) -> tuple[lis
     return items, labels
 
 
-def _planted_candidates(rng: np.random.Generator, contexts: list[str], n: int) -> tuple[list, list[int], list[int]]:
-    """Windows and labels like ``_planted``, and the number of each window's candidate."""
+def _planted_candidates(rng: np.random.Generator, contexts: list[str], n: int, first: int = 0) -> tuple[list, list[int], list[int]]:
+    """Windows and labels like ``_planted``, and the number of each window's candidate, from ``first``; even ones are secrets."""
 
     def draw(alphabet: str, size: int) -> str:
         return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), size))
@@ -262,7 +283,7 @@ def _planted_candidates(rng: np.random.Generator, contexts: list[str], n: int) -
         return forms[rng.integers(len(forms))]
 
     items, labels, owners = [], [], []
-    for i in range(n):
+    for i in range(first, first + n):
         context = contexts[rng.integers(len(contexts))] if contexts else "and so on with more words around it here "
         cut = rng.integers(0, max(1, len(context)))
         secret = i % 2 == 0
@@ -296,19 +317,20 @@ class SecretModel:
         return np.concatenate(out)
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and offset of a logistic curve through (score, label), by Newton steps.
+def calibrate(scores: np.ndarray, labels: np.ndarray, counts: np.ndarray | int = 1, rounds: int = 50) -> tuple[float, float]:
+    """Slope and offset of a logistic curve through (score, label), each so many times, by Newton steps.
 
     Labels are drawn in from 0 and 1, so separable scores stay finite.
     """
-    up, down = (labels == 1).sum(), (labels == 0).sum()
+    counts = np.broadcast_to(counts, labels.shape)
+    up, down = counts[labels == 1].sum(), counts[labels == 0].sum()
     target = np.where(labels == 1, (up + 1) / (up + 2), 1 / (down + 2))
     x = np.stack([scores, np.ones_like(scores)], axis=1)
     beta = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        curve = x.T @ (x * (p * (1 - p) + 1e-6)[:, None]) + 1e-3 * np.eye(2)
-        beta = beta + np.linalg.solve(curve, x.T @ (target - p) - 1e-3 * (beta - [1.0, 0.0]))
+        curve = x.T @ (x * (counts * (p * (1 - p) + 1e-6))[:, None]) + 1e-3 * np.eye(2)
+        beta = beta + np.linalg.solve(curve, x.T @ (counts * (target - p)) - 1e-3 * (beta - [1.0, 0.0]))
     return float(beta[0]), float(beta[1])
 
 
@@ -329,12 +351,6 @@ def _labelled(text: str) -> list[tuple[str, int, int, int, str]]:
     return out
 
 
-def held_back(owners: np.ndarray) -> np.ndarray:
-    """Every fourth candidate, with all its windows."""
-    _, number = np.unique(owners, return_inverse=True)
-    return number % 4 == 3
-
-
 def best_by_owner(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
     """The highest value of each candidate's windows."""
     _, number = np.unique(owners, return_inverse=True)
@@ -343,65 +359,127 @@ def best_by_owner(values: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return best
 
 
-def threshold_for(best: np.ndarray, recall: float) -> float:
-    """The highest threshold that keeps ``recall`` of the findings with these scores."""
-    p = np.sort(best)
-    return float(p[int(np.floor((1 - recall) * len(p) + 1e-9))])
+def threshold_for(best: np.ndarray, recall: float, counts: np.ndarray | int = 1) -> float:
+    """The highest threshold that keeps ``recall`` of the findings with these scores, each so many times."""
+    order = np.argsort(best)
+    below = np.cumsum(np.broadcast_to(counts, best.shape)[order])
+    lost = int(np.floor((1 - recall) * below[-1] + 1e-9))
+    return float(best[order][np.searchsorted(below, lost, side="right")])
+
+
+_WINDOWS = "window string, a int, b int, label int, owner string"
 
 
-def train(
-    docs: DataFrame,
-    sample_documents: int = SAMPLE_DOCUMENTS,
-    sample_candidates: int = SAMPLE_CANDIDATES,
-    recall: float = RECALL,
-    seed: int = 7,
-) -> SecretModel:
-    """A model from labelled findings in at most ``sample_candidates`` windows.
+def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["window", "a", "b", "label", "owner"])
 
-    About ``sample_documents`` documents, those with the smallest hashes of
-    their ids, are looked at; what they hold is cut to windows on the executors, and of these a bounded number is
-    taken by hash. A table without candidates trains on planted ones alone; the
-    model of an empty table, which has nothing to search, has a threshold of 0.5
-    at least.
+
+def labelled_windows(docs: DataFrame) -> DataFrame:
+    """The distinct labelled windows of all documents."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield _window_batch([w for t in batch.column(0).to_pylist() for w in _labelled(t or "")])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(cut, _WINDOWS).distinct()
+
+
+def with_planted(spark: SparkSession, found: DataFrame, n: int, planted: int, seed: int) -> DataFrame:
+    """``found``, ``n`` windows, and at least ``planted`` tokens put into their surroundings, as many into each.
+
+    What is planted hangs on the window alone, not on where it lies.
     """
-    place = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    total = docs.count()
-    found: list[tuple[str, int, int, int, str]] = []
-    if total:
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                rows = [w for t in batch.column(0).to_pylist() for w in _labelled(t or "")]
-                names = ["window", "a", "b", "label", "owner"]
-                types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-                columns = list(zip(*rows)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-        sample = docs.filter(sampled(place, sample_documents, total)).select(F.col("text").cast("string"))
-        cuts = sample.mapInArrow(cut, "window string, a int, b int, label int, owner string").distinct()
-        order = [F.xxhash64("window", F.lit(seed)), "window", "a", "b", "label", "owner"]
-        for label in (0, 1):
-            rows = cuts.filter(F.col("label") == label).orderBy(*order).limit(sample_candidates // 2).collect()
-            found += [tuple(r) for r in rows]
-    rng = np.random.default_rng(seed)
-    items = [r[:3] for r in found]
-    labels = [r[3] for r in found]
-    contexts = [text[:a] + text[b:] for text, a, b in items]
-    more, more_labels, more_owners = _planted_candidates(rng, contexts, sample_candidates // 2)
-    chars, marks = encode(items + more)
-    truth = np.array(labels + more_labels, dtype=np.float32)
-    owners = np.array([r[4] for r in found] + [f"planted {i % 2} {i}" for i in more_owners])
-    held = held_back(owners)
-    weights = fit_network(chars[~held], marks[~held], truth[~held], seed=seed)
-    score = _forward(weights, chars[held], marks[held])[0].astype(float)
-    slope, offset = calibrate(score, truth[held])
+    each = -(-planted // n) if n else planted
+
+    def plant(window: tuple | None) -> list[tuple]:
+        text, a, b, _, owner = window or ("", 0, 0, 0, "")
+        # A window's number tells apart those of one candidate.
+        mark = hashlib.blake2b(f"{seed} {owner} {a} {b} {text}".encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        number = int.from_bytes(mark, "little")
+        contexts = [text[:a] + text[b:]] if window else []
+        cut = _planted_candidates(np.random.default_rng(number), contexts, each, first=number % 2)
+        return [(*item, label, f"planted {mark.hex()} {i}") for item, label, i in zip(*cut)]
+
+    if not n:
+        return spark.createDataFrame(plant(None), _WINDOWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [tuple(r.values()) for r in batch.to_pylist()]
+            yield _window_batch(rows + [x for r in rows for x in plant(r)])
+
+    # By number, as the bytes of the windows tell little of the work on them.
+    return found.repartition(-(-n // PLANT), "window").mapInArrow(run, _WINDOWS)
+
+
+def _fitted(windows: DataFrame, seed: int) -> dict[str, np.ndarray]:
+    """Weights from all ``windows``: every task trains on its part, and the states are averaged after each pass.
+
+    The parts go by hash and are sorted, so that equal windows give equal weights however they lie.
+    """
+    n = windows.count()
+    shards = max(1, -(-n // SHARD))
+    parted = windows.withColumn("shard", F.pmod(F.xxhash64("window", "a", "b", F.lit(seed)), F.lit(shards))).repartition(shards, "shard")
+    state = _fresh_state(seed)
+    # One part alone needs no averaging between its passes.
+    epochs = EPOCHS if shards == 1 else 1
+
+    def fit(part: pa.Table) -> pa.Table:
+        rows = sorted(tuple(r.values()) for r in part.drop_columns(["shard"]).to_pylist())
+        labels = np.array([r[3] for r in rows], dtype=np.float32)
+        after = fit_network(*encode([r[:3] for r in rows]), labels, state, epochs, seed=seed)
+        return pa.table({"n": pa.array([len(rows)], pa.int64()), "state": pa.array([after.tolist()], pa.list_(pa.float64()))})
+
+    for _ in range(EPOCHS // epochs):
+        after = parted.groupBy("shard").applyInArrow(fit, "n long, state array<double>")
+        summed = after.select("n", F.posexplode("state")).groupBy("pos").agg(F.sum(F.col("col") * F.col("n")) / F.sum("n"))
+        state = np.array([x for _, x in sorted(map(tuple, summed.collect()))])
+    return _unpacked(state)[0]
+
+
+def _held_scores(held: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
+    """``owner, label, score`` of held-back windows, the score uncalibrated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 512):
+            items = list(zip(*(batch.column(c).to_pylist() for c in ("window", "a", "b"))))
+            score = _forward(weights, *encode(items))[0].astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column("owner"), batch.column("label"), pa.array(score)], ["owner", "label", "score"])
+
+    return held.mapInArrow(run, "owner string, label int, score double")
+
+
+def train(docs: DataFrame, sample_candidates: int = 2 * PLANTED, recall: float = RECALL, seed: int = 7) -> SecretModel:
+    """A model from the labelled findings of all documents.
+
+    Nothing is left out: every distinct window is trained on or, with all others
+    of its candidate, held back; every one of these counts for calibration and
+    threshold. Held-back scores come to the driver as counts per thousandth,
+    weights as one average. At least half of ``sample_candidates`` tokens are
+    planted, one in every window or more. A table without candidates trains on
+    planted ones alone; the model of an empty table, which has nothing to
+    search, has a threshold of 0.5 at least.
+    """
+    found = fixed(labelled_windows(docs))
+    n = found.count()
+    windows = fixed(with_planted(docs.sparkSession, found, n, sample_candidates // 2, seed))
+    held = F.pmod(F.xxhash64("owner", F.lit(seed)), F.lit(4)) == 3
+    weights = _fitted(windows.filter(~held), seed)
+    scores = fixed(_held_scores(windows.filter(held), weights))
+    bin_of = F.floor(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("score"))) * STEPS)
+    counted = scores.groupBy("label", bin_of).agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("n")).collect()
+    counted = sorted((r.score, r.label, r.n) for r in counted)
+    slope, offset = calibrate(*(np.array(c) for c in zip(*counted)))
+    best = scores.filter("label = 1").groupBy("owner").agg(F.max("score").alias("score"))
+    least = best.groupBy(bin_of).agg(F.min("score").alias("score"), F.count(F.lit(1)).alias("n")).collect()
+    score, many = (np.array(c) for c in zip(*sorted((r.score, r.n) for r in least)))
     p = 1 / (1 + np.exp(-(slope * score + offset)))
-    secret = truth[held] == 1
-    best = best_by_owner(p[secret], owners[held][secret])
-    threshold = threshold_for(best, recall)
-    if not total:
+    threshold = threshold_for(p, recall, many)
+    if not n and docs.isEmpty():
         threshold = max(threshold, 0.5)
-    return SecretModel(weights, slope, offset, threshold, float((best >= threshold).mean()))
+    return SecretModel(weights, slope, offset, threshold, float(many[p >= threshold].sum() / many.sum()))
 
 
 # --- use ----------------------------------------------------------------------

@@ -213,3 +213,31 @@ def test_score_of_a_window_by_hand(model):
         hidden = np.maximum(np.array(inside + outside) @ w["dense"] + w["dense_b"], 0)
         score = float(hidden @ w["out"][:, 0] + w["out_b"][0])
         assert got == pytest.approx(1 / (1 + np.exp(-(model.slope * score + model.offset))), abs=1e-4)
+
+
+def test_every_document_counts_for_the_model(spark, monkeypatch):
+    """No sample: a window per document, all of them trained on or held back, and trained in several parts."""
+    texts = spark.range(6_000).selectExpr("id AS doc_id", "concat('see www.place', id, '.com/a', id, ' there') AS text")
+    found = secrets.labelled_windows(texts)
+    assert found.count() == 6_000
+    windows = secrets.with_planted(spark, found, 6_000, secrets.PLANTED, 7)
+    rows = windows.selectExpr("owner LIKE 'planted%' AS planted", "label", "owner").distinct().groupBy("planted", "label").count()
+    counts = {(r.planted, r.label): r["count"] for r in rows.collect()}
+    assert counts[False, 0] == 6_000 and counts[True, 0] + counts[True, 1] == 6_000
+    assert min(counts[True, 0], counts[True, 1]) > 2_700
+    monkeypatch.setattr(secrets, "SHARD", 3_000)
+    parts = [secrets.train(texts.repartition(k), recall=0.9) for k in (2, 5)]
+    assert parts[0].threshold == pytest.approx(parts[1].threshold, rel=1e-3)
+    for model in parts:
+        items, labels = secrets._planted(np.random.default_rng(3), ["see  there"], 200)
+        right = (model.scores(items) >= 0.5) == np.array(labels)
+        assert model.recall >= 0.9 and right.mean() >= 0.9
+
+
+def test_counts_weigh_like_repeats():
+    scores, labels, counts = np.array([-2.0, -1.0, 0.5, 3.0]), np.array([0, 0, 1, 1]), np.array([5, 1, 2, 7])
+    alone = secrets.calibrate(np.repeat(scores, counts), np.repeat(labels, counts))
+    assert secrets.calibrate(scores, labels, counts) == pytest.approx(alone)
+    p = np.array([0.9, 0.2, 0.5])
+    for recall in (0.5, 0.8, 0.98, 1.0):
+        assert secrets.threshold_for(p, recall, np.array([6, 2, 3])) == secrets.threshold_for(np.repeat(p, [6, 2, 3]), recall)
