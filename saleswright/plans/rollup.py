@@ -3,9 +3,11 @@
 One scan of a batch of sales gives, by grouping sets, the sums and counts that
 every KPI is made of, per month, region and segment, sales rep, product and
 pricing. Distinct customers can't be added up, so they are kept as exact bitmaps
-over customer numbers, which a distributed pass deals out densely. Adding a
-batch adds states and ORs bitmaps; sales stored before are not read again, and
-queries read the rollup alone.
+over customer numbers, which a distributed pass deals out densely. A bitmap is
+stored by words of 64 numbers, those without a bit left out: a group takes no
+more rows than it has customers, however many others there are. Adding a batch
+adds states and ORs bitmaps; sales stored before are not read again, and queries
+read the rollup alone.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ SCHEMAS = {
         ["facet string", *(f"{k} {_KINDS.get(k, 'string')}" for k in KEYS), *(f"{c} {kind}" for c, (_, kind) in STATES.items())]
     ),
     "bitmaps": ", ".join(
-        ["facet string", *(f"{k} {_KINDS.get(k, 'string')}" for f in COUNTED for k in FACETS[f]), "bucket long, customers binary"]
+        ["facet string", *(f"{k} {_KINDS.get(k, 'string')}" for f in COUNTED for k in FACETS[f]), "word long, bits long"]
     ),
 }
 
@@ -65,19 +67,16 @@ def states(sales: DataFrame) -> DataFrame:
 
 
 def bitmaps(sales: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``facet``, keys, ``bucket`` and the bitmap of its customers' numbers.
+    """``facet``, keys, ``word`` and the bits of its customers' numbers.
 
-    Distinct pairs of keys and customer are found first, in the tasks, so a
-    customer with a third of all sales takes part in the join once per group.
+    Sales meet the numbers once, before they are grouped; a customer with a
+    third of all sales makes a skewed join, which Spark splits.
     """
-    pairs = _grouped(sales.filter(F.col("customer_id").isNotNull()), COUNTED, ("customer_id",), F.count(F.lit(1)).alias("_rows"))
     keys = [k for f in COUNTED for k in FACETS[f]]
-    return (
-        pairs.drop("_rows")
-        .join(numbers, "customer_id")
-        .groupBy("facet", *keys, F.bitmap_bucket_number("number").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("customers"))
-    )
+    met = sales.filter(F.col("customer_id").isNotNull()).select("customer_id", *keys).join(numbers, "customer_id")
+    bit = F.expr("shiftleft(1L, cast(number & 63 AS int))")
+    rows = met.select(*keys, F.shiftright("number", 6).alias("word"), bit.alias("_bit"))
+    return _grouped(rows, COUNTED, ("word",), F.bit_or("_bit").alias("bits")).select("facet", *keys, "word", "bits")
 
 
 def numbered(customers: DataFrame, first: int) -> DataFrame:
@@ -150,9 +149,9 @@ class Rollup:
         keys = list(FACETS[facet] if keys is None else keys)
         rows = self._stored("states", facet).select(*keys, *STATES, F.lit(None).cast("long").alias("customers"))
         if "customers" in shown.values():
-            groups = self._stored("bitmaps", facet).groupBy(*keys, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+            groups = self._stored("bitmaps", facet).groupBy(*keys, "word").agg(F.bit_or("bits").alias("bits"))
             nothing = [F.lit(None).cast(kind).alias(name) for name, (_, kind) in STATES.items()]
-            rows = rows.union(groups.select(*keys, *nothing, F.bitmap_count("customers")))
+            rows = rows.union(groups.select(*keys, *nothing, F.bit_count("bits").cast("long")))
         sums = [F.sum(c).cast(kind).alias(c) for c, (_, kind) in STATES.items()]
         totals = rows.groupBy(*keys).agg(*sums, F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"))
         return totals.select(*keys, *state_measures(**shown))
@@ -166,7 +165,7 @@ def merge_states(rows: DataFrame) -> DataFrame:
 def merge_bitmaps(rows: DataFrame) -> DataFrame:
     """Bitmaps of several batches ORed."""
     keys = [k for f in COUNTED for k in FACETS[f]]
-    return rows.groupBy("facet", *keys, "bucket").agg(F.bitmap_or_agg("customers").alias("customers"))
+    return rows.groupBy("facet", *keys, "word").agg(F.bit_or("bits").alias("bits"))
 
 
 # --- the KPI queries, from the rollup -----------------------------------------

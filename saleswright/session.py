@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A write by year keeps a file open per year and does not sort its wide rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 _local_dirs: dict[str, str] = {}

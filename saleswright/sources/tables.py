@@ -25,14 +25,17 @@ def by_year(sales: DataFrame) -> DataFrame:
     return publish(sales).hint("rebalance", YEAR)
 
 
-def write_sales(sales: DataFrame, path: str) -> None:
+def write_sales(sales: DataFrame, path: str, gather: bool = True) -> None:
     """Replace the stored table; readers stay on the old version until the new one is whole.
 
     A folder per year lets a year filter skip the others; with one folder per
-    month, each write task would leave twelve times as many small files.
+    month, each write task would leave twelve times as many small files. Without
+    ``gather`` rows stay in their tasks, each of which leaves a file per year:
+    for rows that a shuffle has just brought to tasks of a fair size, where one
+    more would move every wide row again.
     """
     with new_version(sales.sparkSession, path) as version:
-        by_year(sales).write.partitionBy(YEAR).parquet(version.folder)
+        (by_year(sales) if gather else publish(sales)).write.partitionBy(YEAR).parquet(version.folder)
 
 
 def save_sales_table(sales: DataFrame, name: str = "sales") -> None:

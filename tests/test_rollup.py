@@ -141,3 +141,15 @@ def test_versions(spark, tmp_path):
     with pytest.raises(FileExistsError), versions.new_version(spark, path) as v:
         (tmp_path / f"out/_versions/{v.number:09d}").write_text("v-other\n")
     assert len(list((tmp_path / "out").glob("v-*"))) == versions.KEPT
+
+
+def test_bitmaps_hold_no_more_than_their_customers(spark, orders):
+    """Many reps with three customers each, whose numbers lie far apart."""
+    base = orders.drop("_batch", "customer_id", "order_id", "sales_rep").limit(1)
+    ids = spark.range(3_000).selectExpr(
+        "cast(id AS string) AS order_id", "concat('Rep ', id % 1000) AS sales_rep", "cast(id * 7 AS string) AS customer_id"
+    )
+    numbers = spark.range(21_000).selectExpr("cast(id AS string) AS customer_id", "id * 1000 AS number")
+    rows = rollup.bitmaps(base.crossJoin(ids), numbers).filter("facet = 'rep'")
+    found = rows.selectExpr("count(*) AS n", "sum(bit_count(bits)) AS customers", "max(length(cast(struct(word, bits) AS string))) AS wide").first()
+    assert (found.n, found.customers) == (3_000, 3_000) and found.wide < 64

@@ -336,3 +336,20 @@ def test_an_export_may_be_made_from_itself(spark, tmp_path):
     write_csv(spark.range(9), path)
     write_csv(spark.read.option("header", True).csv(path).filter("id < 4"), path)
     assert spark.read.option("header", True).csv(path).count() == 4
+
+
+def test_star_sales_move_once_by_order(spark, plan, tmp_path):
+    """One shuffle of line items for duplicates and orders, none for the stored table, and no sort before either."""
+    from saleswright.sources import clean_star_sales
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(clean_star_sales(spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("hashpartitioning(l_orderkey") == 1
+    below = text[text.index("hashpartitioning(l_orderkey") :].splitlines()
+    scan = next(i for i, x in enumerate(below) if "FileScan" in x)
+    assert not any("Sort" in x or "Window" in x for x in below[:scan])
+    write_sales(spark.range(8).selectExpr("id", "cast(1990 + id % 2 AS int) AS order_year").repartition(3, "id"), str(tmp_path / "t"), gather=False)
+    assert read_sales(spark, str(tmp_path / "t")).count() == 8
