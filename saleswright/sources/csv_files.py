@@ -112,7 +112,10 @@ def _first_line(spark: SparkSession, file: str) -> str:
         stream.close()
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header per partition, replacing what was there as a whole; quotes are doubled."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """One CSV file with header per partition, replacing what was there as a whole; quotes are doubled.
+
+    ``compression`` names a codec, such as ``gzip``; the files are read back by their ending.
+    """
     with swapped(df.sparkSession, path) as folder:
-        df.write.option("header", True).option("escape", '"').csv(folder)
+        df.write.option("header", True).option("escape", '"').csv(folder, compression=compression)

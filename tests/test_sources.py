@@ -353,3 +353,20 @@ def test_star_sales_move_once_by_order(spark, plan, tmp_path):
     assert not any("Sort" in x or "Window" in x for x in below[:scan])
     write_sales(spark.range(8).selectExpr("id", "cast(1990 + id % 2 AS int) AS order_year").repartition(3, "id"), str(tmp_path / "t"), gather=False)
     assert read_sales(spark, str(tmp_path / "t")).count() == 8
+
+
+def test_orders_lie_whole_in_csv_files(spark, raw, plan, tmp_path):
+    """Rows of an order in one compressed file, in input order, without a sort of the whole table."""
+    import __spark_entry__ as entry
+    from saleswright.schema import SEQUENCE
+    from saleswright.sources.star import ORDER_KEY
+
+    rows = entry._by_order(raw)
+    assert "rangepartitioning" not in plan(rows)
+    write_csv(rows.select("*", F.to_json(SEQUENCE).alias("at")).drop(SEQUENCE).repartition(1, ORDER_KEY), str(tmp_path / "c"), "gzip")
+    assert all(f.name.endswith(".csv.gz") for f in (tmp_path / "c").glob("part-*"))
+    assert read_sales_csv(spark, str(tmp_path / "c")).count() == raw.count()
+    keys = [(t, r[0], r[1], tuple(r[2])) for t, r in rows.select(ORDER_KEY, "order_id", SEQUENCE).rdd.mapPartitionsWithIndex(
+        lambda t, part: ((t, tuple(r)) for r in part)).collect()]
+    assert len(keys) == raw.count() and keys == sorted(keys)
+    assert len({(t, key) for t, key, *_ in keys}) == len({key for _, key, *_ in keys})
