@@ -79,3 +79,11 @@ def test_a_key_that_fills_the_batch(spark, tmp_path, plan):
     assert "WindowGroupLimit" in plan(store.first_rows(rows))
     store.add(rows)
     assert store.sales().count() == 2
+
+
+def test_cleaned_rows_of_a_batch_do_not_move_again(spark, raw, tmp_path, monkeypatch):
+    texts = []
+    published = batches.publish
+    monkeypatch.setattr(batches, "publish", lambda df: (texts.append(published(df)._jdf.queryExecution().toString()), published(df))[1])
+    BatchStore(spark, str(tmp_path / "s"), buckets=4).add(raw)
+    assert len(texts) == 1 and "Exchange" not in texts[0]
