@@ -144,6 +144,14 @@ def _checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
         return spark.createDataFrame(checks.found(), "check string, column_name string, n long")
 
 
+def _thirds(df: DataFrame, column: str) -> DataFrame:
+    """Two values that cut ``df`` into thirds of near equal size, from a sketch of bounded size.
+
+    An exact percentile would gather every distinct value in one task.
+    """
+    return df.select(F.percentile_approx(column, [1 / 3, 2 / 3]))
+
+
 def _in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged rows in three batches, one after another."""
     path = _own_path(spark, sf_dir, "batches")
@@ -152,8 +160,7 @@ def _in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> None:
         dirty = _dirty(spark, sf_dir)
         # The order keys of each batch follow those of the one before.
-        keys = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select(F.percentile("o_orderkey", [1 / 3, 2 / 3]))
-        low, high = keys.first()[0]
+        low, high = _thirds(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), "o_orderkey").first()[0]
         at = F.col(f"{SEQUENCE}.{ORDER_KEY}")
         for part in (at <= low, (at > low) & (at <= high), at > high):
             store.add(dirty.filter(part))

@@ -1,9 +1,11 @@
 """Batches one after another against one run over all rows."""
 
 import pytest
+from conftest import SF_SMALL
 from frames import frame, money
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from saleswright.operators import clean
 from saleswright.schema import SEQUENCE
 from saleswright.sources import batches
@@ -87,3 +89,20 @@ def test_cleaned_rows_of_a_batch_do_not_move_again(spark, raw, tmp_path, monkeyp
     monkeypatch.setattr(batches, "publish", lambda df: (texts.append(published(df)._jdf.queryExecution().toString()), published(df))[1])
     BatchStore(spark, str(tmp_path / "s"), buckets=4).add(raw)
     assert len(texts) == 1 and "Exchange" not in texts[0]
+
+
+def test_the_cut_into_batches_gathers_no_keys(spark, monkeypatch, plan):
+    """Three parts near a third each, every row in one of them, from a sketch instead of all distinct keys."""
+    seen = []
+    thirds = contract._thirds
+    monkeypatch.setattr(contract, "_thirds", lambda df, column: (seen.append((df, thirds(df, column))), seen[-1][1])[1])
+    contract.queries()["sales_in_batches"](spark, SF_SMALL)
+    ((orders, cut),) = seen
+    text = plan(cut)
+    assert "approx_percentile" in text or "percentile_approx" in text
+    assert " percentile(" not in text
+    keys = orders.select("o_orderkey")
+    low, high = cut.first()[0]
+    n = keys.count()
+    parts = [keys.filter(x).count() for x in (f"o_orderkey <= {low}", f"o_orderkey > {low} AND o_orderkey <= {high}", f"o_orderkey > {high}")]
+    assert sum(parts) == n and all(abs(p - n / 3) <= 0.01 * n for p in parts)
