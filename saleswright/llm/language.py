@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,14 @@ STEPS, TRAIN_BATCH, RATE = 240, 192, 0.012
 #: many times that of an even split; a text of a word or two can't be much surer.
 LEAST_OVER_EVEN = 1.2
 
-#: Windows, held back from counting, that it takes to say what is usual; lengths in bytes it is said for.
-LEAST_HELD, LENGTHS = 100, (8, 16, 32, 64, LENGTH)
-#: The share of held-back windows taken for the end of what is usual, and how
-#: many times that distance from the median a text may be.
+#: Parts that the windows are dealt into, each held back from the counts that judge it; windows that it
+#: takes to see what is rare; lengths in bytes that limits are given for.
+FOLDS, LEAST_HELD, LENGTHS = 4, 100, (8, 16, 32, 64, LENGTH)
+#: The share of windows taken for the end of what is usual, and how many times
+#: that distance from the median a text may be.
 RARE, BEYOND = 0.001, 1.3
+#: With so many windows, the least distance is twice what chance gives.
+FEW = 10
 
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -267,14 +271,19 @@ class Usual:
 
         A key or a number is in no language, so it says nothing of the text around it.
         """
-        s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
         total, n = 0.0, 0
-        for at in range(0, max(0, len(s) - 2), 1_000_000):  # long texts part by part
+        for steps in self.steps(raw):
+            total += float(steps.sum(dtype=np.float64))
+            n += len(steps)
+        return total / max(1, n), n
+
+    def steps(self, raw: bytes) -> Iterator[np.ndarray]:
+        """The logarithms that ``mean`` is of, long texts part by part."""
+        s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
+        for at in range(0, max(0, len(s) - 2), 1_000_000):
             a, b, c = (s[at + k : min(at + 1_000_000, len(s) - 2) + k] for k in range(3))
             counted = (a != _DIGIT) & (b != _DIGIT) & (c != _DIGIT)
-            total += float(self.table[((a * _SYMBOLS + b) * _SYMBOLS + c)[counted]].sum(dtype=np.float64))
-            n += int(np.count_nonzero(counted))
-        return total / max(1, n), n
+            yield self.table[((a * _SYMBOLS + b) * _SYMBOLS + c)[counted]]
 
     def knows(self, text: str) -> bool:
         mean, counted = self.mean(text.encode("utf-8", "surrogatepass"))
@@ -282,14 +291,19 @@ class Usual:
         return limit is None or mean >= limit
 
 
-def _likely(windows: list[bytes]) -> np.ndarray:
-    """Logarithms of the probability of a symbol after two, smoothed by that after one and alone."""
+def _counts(windows: list[bytes]) -> np.ndarray:
+    """How often each symbol follows each two: (first, second, third)."""
     n = _SYMBOLS
     three = np.zeros(n**3)
     for raw in windows:
         s = _FOLD[np.frombuffer(raw, dtype=np.uint8)]
         np.add.at(three, (s[:-2] * n + s[1:-1]) * n + s[2:], 1)
-    three = three.reshape(n, n, n)
+    return three.reshape(n, n, n)
+
+
+def _smoothed(three: np.ndarray) -> np.ndarray:
+    """Logarithms of the probability of a symbol after two, smoothed by that after one and alone."""
+    n = _SYMBOLS
     two = three.sum(axis=0)
     one = two.sum(axis=0)
     p = (one + 0.01) / (one.sum() + 0.01 * n)
@@ -298,23 +312,56 @@ def _likely(windows: list[bytes]) -> np.ndarray:
     return np.log(p).astype(np.float32).ravel()
 
 
+def _likely(windows: list[bytes]) -> np.ndarray:
+    return _smoothed(_counts(windows))
+
+
+def _reach(means: np.ndarray, n: int, deviation: float) -> float:
+    """How far below the median the end of what is usual lies, for texts of ``n`` bytes.
+
+    Few windows do not show the rarest. Their lowest is then taken for what the
+    lowest of so many is in a normal distribution, and the distance is never less
+    than chance gives a mean of so many steps that deviate by ``deviation``, more
+    by ``FEW`` over the number of windows.
+    """
+    seen = float(np.median(means)) - float(np.quantile(means, RARE))
+    if len(means) >= LEAST_HELD:
+        return seen
+    z = NormalDist().inv_cdf
+    by_chance = -z(RARE) * deviation / (n - 2) ** 0.5
+    return max(seen * z(RARE) / z(1 / (len(means) + 1)), by_chance * (1 + FEW / len(means)))
+
+
 def learn_usual(windows: list[bytes]) -> Usual | None:
-    """Counts over three quarters of the windows, limits from the fourth; None for too few.
+    """Counts over all windows, and limits from all, each judged by counts that it is held back from.
 
     A limit lies below the median by a multiple of the distance of the rarest
-    held-back windows, each cut to the length that the limit is for.
+    windows, each cut to the length that the limit is for. Any number of windows
+    from two different ones on gives limits, few give wide ones; None where no
+    two have the bytes of the least length. Equal windows are held back together.
     """
-    held, counted = windows[::4], [w for i, w in enumerate(windows) if i % 4]
-    if len(held) < LEAST_HELD:
+    unlike = list(dict.fromkeys(w for w in windows if len(w) >= LENGTHS[0]))
+    if len(unlike) < 2:
         return None
-    usual = Usual(_likely(counted), ())
+    number = {w: i % FOLDS for i, w in enumerate(unlike)}
+    folds = [[w for w in windows if number.get(w, 0) == k] for k in range(FOLDS)]
+    counts = [_counts(fold) for fold in folds]
+    three = sum(counts)
+    means: dict[int, list[float]] = {n: [] for n in LENGTHS}
+    steps = []
+    for own, fold in zip(counts, folds):
+        others = Usual(_smoothed(three - own), ())
+        for w in fold:
+            steps += others.steps(w)
+            for n in LENGTHS:
+                if len(w) >= n:
+                    means[n].append(others.mean(w[:n])[0])
+    deviation = float(np.concatenate(steps).std())
     limits = []
-    for n in LENGTHS:
-        means = np.array([usual.mean(w[:n])[0] for w in held if len(w) >= n])
-        if len(means) >= LEAST_HELD:
-            middle = float(np.median(means))
-            limits.append((n, middle - BEYOND * (middle - float(np.quantile(means, RARE)))))
-    return Usual(usual.table, tuple(limits))
+    for n, found in means.items():
+        if len(found) > 1:
+            limits.append((n, float(np.median(found)) - BEYOND * _reach(np.array(found), n, deviation)))
+    return Usual(_smoothed(three), tuple(limits))
 
 
 # --- on tables ----------------------------------------------------------------

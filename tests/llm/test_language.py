@@ -138,3 +138,31 @@ def test_likelihoods_by_hand():
     assert p[a, b, c] > p[a, b, d] > p[a, b, ord("x")]
     assert usual.knows("zzz") and usual.knows("zz1zz") and not usual.knows("zzzz")
     assert lang.learn_usual([b"few"] * 10) is None
+
+
+def test_few_windows_still_say_what_is_usual(spark):
+    """A dozen short documents: what no learned text looks like goes, others of the language stay."""
+    words = "the old house near river was sold last year to a family from town who wanted garden and quiet street".split()
+    texts = [" ".join(words[(i * k + k) % len(words)] for k in range(1, 16)) for i in range(14)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = lang.train(docs.filter("doc_id < 12"), steps=3)
+    assert 0 < len({t[: lang.LENGTH] for t in texts}) < 4 * lang.LEAST_HELD
+    other = [(100 + i, FOREIGN[k], "en") for i, k in enumerate(("ru", "zh", "pl", "letters"))]
+    both = docs.union(spark.createDataFrame(other, docs.schema))
+    assert sorted(r.doc_id for r in lang.keep_identified(both, model).collect()) == list(range(14))
+
+
+def test_every_window_is_counted_and_judged():
+    rng = np.random.default_rng(3)
+    windows = [bytes(rng.choice(list(b"abcde  "), 96).astype(np.uint8)) for _ in range(41)]
+    usual = lang.learn_usual(windows)
+    assert (usual.table == lang._likely(windows)).all()
+    assert [n for n, _ in usual.limits] == list(lang.LENGTHS)
+    assert all(usual.knows(w.decode()) for w in windows) and not usual.knows("XQ;ZJ/" * 20)
+    odd = b"xqzjvkwp" * 12
+    for at in range(5):  # wherever it stands among the others, it is judged by counts without it
+        moved = lang.learn_usual(windows[:at] + [odd] + windows[at:])
+        assert all(new < old for (_, new), (_, old) in zip(moved.limits, usual.limits))
+    two = lang.learn_usual(windows[:2])
+    assert two.limits and all(two.knows(w.decode()) for w in windows)
+    assert lang.learn_usual(windows[:1] * 500) is None and lang.learn_usual([b"", *windows[:1]]) is None
