@@ -15,11 +15,11 @@ from saleswright.functions import normalize
 from saleswright.operators import Checks, clean, issues, null_counts, rank_customers, with_rfm
 from saleswright.plans import adhoc, features, forecast, kpi, marts, rollup, serving, views
 from saleswright.schema import MONEY, QUANTITY, RAW_FRACTION, SEQUENCE
-from saleswright.session import configure
+from saleswright.session import configure, sized
 from saleswright.sources import clean_star_sales, read_sales_csv, staged, star_sales, write_csv, written_once
 from saleswright.sources.batches import BatchStore
 from saleswright.sources.staging import made_once, staging_path
-from saleswright.sources.star import ORDER_KEY
+from saleswright.sources.star import ORDER_KEY, star_files
 
 ADHOC = """
     SELECT sales_rep, COUNT(*) AS orders, ROUND(SUM(sales), 2) AS revenue,
@@ -158,7 +158,7 @@ def _in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = BatchStore(spark, path, buckets=8)
 
     def build() -> None:
-        dirty = _dirty(spark, sf_dir)
+        dirty = _dirty(sized(spark, star_files(sf_dir)), sf_dir)
         # The order keys of each batch follow those of the one before.
         low, high = _thirds(spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet"), "o_orderkey").first()[0]
         at = F.col(f"{SEQUENCE}.{ORDER_KEY}")
@@ -226,7 +226,7 @@ def _by_order(raw: DataFrame) -> DataFrame:
 def _csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw rows out to CSV, each order in one file, back through the CSV source, cleaned."""
     path = _own_path(spark, sf_dir, "raw_csv")
-    raw = _by_order(_raw(spark, sf_dir)).drop(ORDER_KEY, SEQUENCE)
+    raw = _by_order(_raw(sized(spark, star_files(sf_dir)), sf_dir)).drop(ORDER_KEY, SEQUENCE)
     made_once(path, lambda: write_csv(raw, path, "gzip"))
     return clean(read_sales_csv(spark, path))
 
@@ -235,7 +235,7 @@ def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows in three folders of files with other columns each, read as one and cleaned."""
     path = _own_path(spark, sf_dir, "mixed_csv")
     part = F.col(ORDER_KEY) % 3
-    raw = _raw(spark, sf_dir)
+    raw = _raw(sized(spark, star_files(sf_dir)), sf_dir)
 
     def third(k: int) -> DataFrame:
         return _by_order(raw.filter(part == k)).drop(SEQUENCE)

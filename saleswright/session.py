@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +23,13 @@ RUNTIME_CONF = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+#: Bytes of source files to a shuffle partition, where narrow columnar files are joined to wide rows:
+#: a partition's rows take some 25 times that in memory, and a task sorts them there.
+JOINED_BYTES = 16 << 20
+#: Most bytes of files that a task reads: rows of compressed text take some 15 times that when they are sorted.
+READ_BYTES = 32 << 20
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -57,6 +67,50 @@ def shuffle_partitions(input_bytes: int, target_bytes: int = 512 << 20, cores: i
     return max(cores, -(-input_bytes // target_bytes))
 
 
+def sized(spark: SparkSession, paths: Iterable[str], target_bytes: int = JOINED_BYTES) -> SparkSession:
+    """The session with shuffle partitions that fit the files at ``paths``, and reads of ``READ_BYTES`` at most.
+
+    Partitions are more than before, or as many, reads smaller or as large. What does not fit
+    in the memory of a task is written to disk once more by every sort.
+    """
+    size = 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        size += target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    fitting, key = shuffle_partitions(size, target_bytes), "spark.sql.shuffle.partitions"
+    if fitting > int(spark.conf.get(key)):
+        spark.conf.set(key, str(fitting))
+    key = "spark.sql.files.maxPartitionBytes"
+    if _bytes(spark.conf.get(key)) > READ_BYTES:
+        spark.conf.set(key, str(READ_BYTES))
+    return spark
+
+
+def _bytes(setting: str) -> int:
+    """A size as Spark writes it, such as ``128m`` or ``134217728b``."""
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * (" kmgtp".index(unit) if unit else 0)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes in the block go when each write ends.
+
+    Otherwise they stay until the driver's garbage is collected, so those of one write
+    take up disk beside the next. Only for writes: a frame that is run again would make its
+    shuffles anew.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def working_dir(spark: SparkSession) -> str | None:
     """Shared folder for written intermediates, or None when there is none.
 

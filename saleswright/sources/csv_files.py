@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import PUBLISHED_MARGIN, REQUIRED, SEQUENCE
-from ..session import configure
+from ..session import configure, shuffles_dropped
 from .raw import DATES, conform
 from .versions import swapped
 
@@ -117,5 +117,5 @@ def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
 
     ``compression`` names a codec, such as ``gzip``; the files are read back by their ending.
     """
-    with swapped(df.sparkSession, path) as folder:
+    with swapped(df.sparkSession, path) as folder, shuffles_dropped(df.sparkSession):
         df.write.option("header", True).option("escape", '"').csv(folder, compression=compression)

@@ -45,6 +45,11 @@ TIE_BREAK = (
 NOT_CARRIED = ("l_shipdate", "l_tax", "l_returnflag", "l_linestatus")
 
 
+def star_files(folder: str) -> list[str]:
+    """Where the tables of the star schema lie."""
+    return [f"{folder.rstrip('/')}/{name}.parquet" for name in TABLES]
+
+
 def star_sales(
     spark: SparkSession, folder: str, amounts: Decimal = Decimal(1), quantities: Decimal = Decimal(1), first_only: bool = False
 ) -> DataFrame:

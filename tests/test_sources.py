@@ -1,16 +1,22 @@
+import time
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
+from conftest import SF_SMALL
 from frames import frame, money
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+from saleswright import session
 from saleswright.operators import clean, issues, with_rfm
 from saleswright.plans import pipeline, views
 from saleswright.plans.forecast import Settings, run_forecaster
 from saleswright.schema import MARGIN, RAW
 from saleswright.session import shuffle_partitions
 from saleswright.sources import conform, publish, read_sales, read_sales_csv, save_sales_table, write_csv, write_sales, written_once
+from saleswright.sources import staging
 from saleswright.sources.csv_files import files_by_header
 from saleswright.sources.staging import staging_path
 from saleswright.sources.star import STAR_KEYS
@@ -370,3 +376,58 @@ def test_orders_lie_whole_in_csv_files(spark, raw, plan, tmp_path):
         lambda t, part: ((t, tuple(r)) for r in part)).collect()]
     assert len(keys) == raw.count() and keys == sorted(keys)
     assert len({(t, key) for t, key, *_ in keys}) == len({key for _, key, *_ in keys})
+
+
+def test_shuffle_partitions_fit_the_files(spark, tmp_path):
+    key, read = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before, read_before = spark.conf.get(key), spark.conf.get(read)
+    (tmp_path / "part").mkdir()
+    (tmp_path / "part" / "a").write_bytes(b"x" * 700)
+    (tmp_path / "b").write_bytes(b"x" * 300)
+    paths = [str(tmp_path / "part"), str(tmp_path / "b")]
+    try:
+        session.sized(spark, paths, 1000)
+        assert spark.conf.get(key) == before
+        assert session.sized(spark, paths, 10) is spark and spark.conf.get(key) == "100"
+        session.sized(spark, paths, 100)
+        assert spark.conf.get(key) == "100"
+        for was, now in (("134217728b", str(32 << 20)), ("1g", str(32 << 20)), ("16m", "16m"), ("4096", "4096")):
+            spark.conf.set(read, was)
+            session.sized(spark, paths, 1000)
+            assert spark.conf.get(read) == now
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set(read, read_before)
+
+
+@pytest.mark.parametrize("name", ["csv_round_trip", "csv_mixed_headers", "sales_in_batches"])
+def test_wide_joins_get_partitions_by_input(spark, monkeypatch, name):
+    """Before the first shuffle of the query, the session is fitted to the files of the star schema."""
+    asked = []
+    monkeypatch.setattr(staging, "_made", set())
+    monkeypatch.setattr(contract, "sized", lambda spark, paths: (asked.append(list(paths)), spark)[1])
+    contract.queries()[name](spark, SF_SMALL)
+    assert asked and f"{SF_SMALL}/lineitem.parquet" in asked[0] and len(asked[0]) == 7
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f.name for d in folders for f in Path(d).rglob("shuffle_*.data")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(2000).withColumn("k", F.col("id") % 7)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(setting, None), shuffle_files(spark)
+    rows.repartition(5, "k").write.parquet(str(tmp_path / "plain"))
+    assert shuffle_files(spark) - before
+    before = shuffle_files(spark)
+    write_csv(rows.repartition(5, "k"), str(tmp_path / "out"))
+    with written_once(rows.repartition(5, "k")) as copy:
+        assert len(copy.columns) == 2
+    for _ in range(50):  # files are deleted beside the job
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting, None) == was
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 2000
