@@ -55,10 +55,10 @@ class BatchStore:
         return self.spark.table(self.table).filter(F.col(_RUN).isin(runs)).select(_KEY)
 
     def first_rows(self, raw: DataFrame, runs: list[str] | None = None) -> DataFrame:
-        """The rows of a batch that are the first of their order, with their ``order_key``."""
+        """The rows of a batch that are the first of their order, with their ``order_key`` and without their place."""
         keyed = raw.withColumn(_KEY, self._key())
         # A key that fills the batch is cut to one row per task before anything moves.
-        first = keep_first(keyed, [_KEY]).repartition(self.buckets, _KEY)
+        first = keep_first(keyed, [_KEY]).drop(SEQUENCE).repartition(self.buckets, _KEY)
         # An anti-join would be moved ahead of the buckets, and then move the stored side.
         known = self._keys(self._runs() if runs is None else runs).withColumn("_known", F.lit(True))
         return first.join(known.hint("merge"), _KEY, "left").filter("_known IS NULL").drop("_known")
@@ -79,7 +79,7 @@ class BatchStore:
                 keys = first.select(_KEY, F.lit(run).alias(_RUN))
                 keys.write.mode("append").bucketBy(self.buckets, _KEY).sortBy(_KEY).format("parquet").saveAsTable(self.table)
                 # Rows stay where the written copy has them: by year, all would move once more.
-                publish(clean_unique(first.drop(_KEY, SEQUENCE))).write.parquet(f"{self.path}/sales/{run}")
+                publish(clean_unique(first.drop(_KEY))).write.parquet(f"{self.path}/sales/{run}")
             rows = list(enumerate([*runs, run], 1))
             self.spark.createDataFrame(rows, "number int, run string").coalesce(1).write.parquet(f"{version.folder}/runs")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from saleswright.operators import clean
 from saleswright.schema import SEQUENCE
-from saleswright.sources import batches
+from saleswright.sources import batches, staging
 from saleswright.sources.batches import BatchStore
 
 
@@ -95,6 +95,7 @@ def test_the_cut_into_batches_gathers_no_keys(spark, monkeypatch, plan):
     """Three parts near a third each, every row in one of them, from a sketch instead of all distinct keys."""
     seen = []
     thirds = contract._thirds
+    monkeypatch.setattr(staging, "_made", set())
     monkeypatch.setattr(contract, "_thirds", lambda df, column: (seen.append((df, thirds(df, column))), seen[-1][1])[1])
     contract.queries()["sales_in_batches"](spark, SF_SMALL)
     ((orders, cut),) = seen
@@ -106,3 +107,9 @@ def test_the_cut_into_batches_gathers_no_keys(spark, monkeypatch, plan):
     n = keys.count()
     parts = [keys.filter(x).count() for x in (f"o_orderkey <= {low}", f"o_orderkey > {low} AND o_orderkey <= {high}", f"o_orderkey > {high}")]
     assert sum(parts) == n and all(abs(p - n / 3) <= 0.01 * n for p in parts)
+
+
+def test_places_of_rows_move_once(spark, raw, tmp_path):
+    """The place of a row decides which is first; neither the way to the buckets nor the written copy has it."""
+    store = BatchStore(spark, str(tmp_path / "s"), buckets=4)
+    assert SEQUENCE not in store.first_rows(raw).columns
